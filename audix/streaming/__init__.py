@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The method works on static snapshots of transactions: every input is a
+table read in batch, and no operator keeps state across micro-batches. This
+package stays empty on purpose (see README).
+"""
