@@ -25,7 +25,8 @@ def export_lists(df: DataFrame, path: str, group_col: str = C.GROUP, arm_col: st
 
 def export_counts(spark: SparkSession, path: str, group_col: str = C.GROUP, arm_col: str = C.ARM) -> DataFrame:
     """Rows and files per exported list, read back in one scan."""
-    back = spark.read.option("header", True).option("basePath", path).csv(path)
+    back = (spark.read.option("header", True).option("basePath", path).csv(path)
+            .withColumn("_file", F.input_file_name()))
     return (back.groupBy(F.col(group_col).cast("string").alias(group_col), F.col(arm_col).cast("string").alias(arm_col))
             .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.countDistinct(F.input_file_name()).alias("n_files")))
+                 F.countDistinct("_file").alias("n_files")))

@@ -322,7 +322,7 @@ FROM per_hh LEFT JOIN seg USING (household_id) GROUP BY 1"""),
         "rank_union": _with([FREQ,
                              ("p2", _rank("snap", "pool_groups", where=f"channel = 'HDE' AND gr_nm = {_q(S.HDE_GROUP)}")),
                              ("p3", _rank("snap", "pool_groups", where=f"gr_nm = {_q(S.PLAIN_GROUP)}"))], f"""
-SELECT household_id, sales, gr_nm, gr_sales_rank FROM freq
+SELECT household_id, gr_nm, sales, gr_sales_rank FROM freq
 UNION ALL SELECT {SALES_OUT} FROM p2 UNION ALL SELECT {SALES_OUT} FROM p3"""),
         "group_list": _with(POOL, "SELECT household_id, gr_nm_list, n_gr FROM pool_hh"),
         "rank_map": _with(POOL, "SELECT household_id, n_gr, gr_rank_map FROM pool_hh"),
