@@ -84,6 +84,7 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
     spark = pool.sparkSession
     rows = _spec_rows(spec)
     long = stage_table(pool_long(pool), "pool-long")
+    bound = long.count()   # every step ranks a subset of the staged long pool
     parts: list[DataFrame] = []
     allocated: Counter = Counter()
     if picks is not None:
@@ -101,9 +102,13 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
             cand = long.where((F.col(C.GROUP_COUNT) == n) & (F.col(C.GROUP) == gr))
             if parts:
                 cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
-            best = top_within(cand, [], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], to_alloc, name="_pick")
+            best = top_within(cand, [], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], to_alloc, name="_pick",
+                              rows_bound=bound)
             picked = best.select(C.HOUSEHOLD, F.lit(ca).alias(C.AUDIENCE), C.GROUP, C.GROUP_COUNT, "rank",
                                  F.lit(n).alias("pass_n"), F.lit(step).alias("step"))
+            # Staged (at most to_alloc rows): the next step's anti join reads
+            # this table instead of re-planning every earlier step.
+            picked = stage_table(picked.coalesce(1), "picks")
             got = picked.count()
             entry["picked"] = got
             allocated[ca] += got

@@ -52,23 +52,16 @@ def combination_report(pool: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_households")))
 
 
-def household_group_sets(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP,
-                         set_col: str = "gr_set") -> DataFrame:
-    """The sorted set of groups each household bought, and its size."""
-    pairs = (txn.select(C.HOUSEHOLD, C.PRODUCT).join(groups.select(C.PRODUCT, group_col), C.PRODUCT)
-             .select(C.HOUSEHOLD, group_col).repartition(C.HOUSEHOLD).distinct())
-    return (pairs.groupBy(C.HOUSEHOLD).agg(F.sort_array(F.collect_list(group_col)).alias(set_col))
+def household_group_sets(spend: DataFrame, group_col: str = C.GROUP, set_col: str = "gr_set") -> DataFrame:
+    """The sorted set of groups each household bought (from a household x
+    group spend table), and its size. A household has at most one row per
+    group, so the collected set is bounded by the number of groups."""
+    return (spend.groupBy(C.HOUSEHOLD).agg(F.sort_array(F.collect_set(group_col)).alias(set_col))
             .withColumn("n_" + set_col, F.size(set_col)))
 
 
-def exclusive_shoppers(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP) -> DataFrame:
-    """Households that bought exactly one of the given groups: (household, group)."""
-    sets = household_group_sets(txn, groups, group_col)
-    return sets.where(F.col("n_gr_set") == 1).select(C.HOUSEHOLD, F.col("gr_set")[0].alias(group_col))
-
-
-def set_report(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP) -> DataFrame:
-    """Households per bought group set."""
-    sets = household_group_sets(txn, groups, group_col)
-    return (sets.groupBy(sorted_join(F.col("gr_set")).alias("gr_set"), F.col("n_gr_set"))
-            .agg(F.count(F.lit(1)).alias("n_households")))
+def exclusive_shoppers(spend: DataFrame, group_col: str = C.GROUP) -> DataFrame:
+    """Households that bought exactly one of the groups in ``spend``: (household, group)."""
+    return (spend.groupBy(C.HOUSEHOLD)
+            .agg(F.countDistinct(group_col).alias("_k"), F.min(group_col).alias(group_col))
+            .where(F.col("_k") == 1).select(C.HOUSEHOLD, group_col))

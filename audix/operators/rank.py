@@ -20,6 +20,33 @@ def _spend_lines(txn: DataFrame, groups: DataFrame, group_col: str, amount: str,
             .join(groups.select(C.PRODUCT, group_col), C.PRODUCT))
 
 
+def group_spend(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, amount: str = C.SPEND,
+                sales_col: str = C.SALES) -> DataFrame:
+    """Transaction lines reduced to one row per (household, group): sales and
+    line count. A product listed in two groups counts in both, as a join
+    fan-out does. This is the one pass over the lines that the ranking and
+    waterfall steps need; everything after it works on households x groups.
+    """
+    return (_spend_lines(txn, groups, group_col, amount)
+            .groupBy(C.HOUSEHOLD, group_col)
+            .agg(F.sum(amount).alias(sales_col), F.count(F.lit(1)).alias("n_lines")))
+
+
+def rank_spend(spend: DataFrame, group_col: str = C.GROUP, label: str | None = None,
+               names: Sequence[str] | None = None, rank_col: str = C.RANK,
+               sales_col: str = C.SALES, rows_bound: int | None = None) -> DataFrame:
+    """Rank households inside each group of a spend table (highest sales
+    first, ties by household id). ``names`` keeps some groups; ``label``
+    pools them into one group (sales summed per household)."""
+    src = spend if names is None else spend.where(F.col(group_col).isin(list(names)))
+    if label is not None:
+        src = (src.groupBy(C.HOUSEHOLD).agg(F.sum(sales_col).alias(sales_col))
+               .withColumn(group_col, F.lit(label)))
+    src = src.select(C.HOUSEHOLD, group_col, sales_col)
+    return rank_within(src, [group_col], [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col,
+                       rows_bound=rows_bound)
+
+
 def sales_rank(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, label: str | None = None,
                amount: str = C.SPEND, rank_col: str = C.RANK, sales_col: str = C.SALES) -> DataFrame:
     """Sales per (household, group) and the household's rank in the group
@@ -29,12 +56,8 @@ def sales_rank(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, labe
     listed in two pooled groups then counts twice, as a join fan-out does.
     Sums are exact when ``amount`` is an integer or decimal column.
     """
-    lines = _spend_lines(txn, groups, group_col, amount)
-    if label is not None:
-        lines = lines.withColumn(group_col, F.lit(label))
-    per_hh = lines.groupBy(C.HOUSEHOLD, group_col).agg(F.sum(amount).alias(sales_col))
-    return rank_within(per_hh, [group_col],
-                       [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col)
+    spend = group_spend(txn, groups, group_col, amount, sales_col)
+    return rank_spend(spend, group_col, label, None, rank_col, sales_col)
 
 
 def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (), group_col: str = C.GROUP,

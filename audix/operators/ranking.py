@@ -21,6 +21,11 @@ a third of the data. ``rank_within`` gives the same numbers without that:
 The order keys must be a total order inside each group (end them with a
 unique key, e.g. the household id), so the numbering is deterministic and a
 retried task produces the same rows.
+
+Groups are sized first (one small aggregate). When the largest group has at
+most ``spark.audix.rank.maxWindowRows`` rows (default 2,000,000) the plain
+window is used, since one task sorts that many narrow rows comfortably;
+beyond it the distributed form above runs.
 """
 
 from __future__ import annotations
@@ -41,15 +46,43 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+MAX_WINDOW_ROWS_CONF = "spark.audix.rank.maxWindowRows"
+DEFAULT_MAX_WINDOW_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows in the largest group (one aggregate; only a number reaches the driver)."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    top = sizes.agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
+def max_window_rows(spark) -> int:
+    return int(spark.conf.get(MAX_WINDOW_ROWS_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
+
+
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, rows_bound: int | None = None) -> DataFrame:
     """Add ``name`` = row_number() over (partition by ``by`` order by ``order``).
 
     Meant for few, possibly huge groups (groups of a product family, one
-    audience); for many small groups a plain window is cheaper, see
-    :func:`row_number_small_groups`.
+    audience); for many small groups of a known bound use
+    :func:`row_number_small_groups` directly. ``rows_bound`` is a proven
+    upper bound on the rows of any group (e.g. the row count of a staged
+    table this frame is a subset of); when it is under the window limit the
+    sizing job is skipped.
     """
     by = list(by)
+    limit = max_window_rows(df.sparkSession)
+    small = rows_bound is not None and rows_bound <= limit
+    if small or largest_group(df, by) <= limit:
+        return row_number_small_groups(df, by, order, name).withColumn(name, F.col(name).cast("int"))
+    return distributed_rank(df, by, order, name, num_partitions)
+
+
+def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank",
+                     num_partitions: int | None = None) -> DataFrame:
+    """The range-partitioned form of :func:`rank_within` (see module doc)."""
     n = _partitions(df, num_partitions)
     keys = [F.col(c).asc_nulls_first() for c in by] + list(order)
     placed = (df.repartitionByRange(n, *keys)
@@ -73,15 +106,17 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
 
 
 def top_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: Column | int,
-               name: str = "rank", num_partitions: int | None = None) -> DataFrame:
+               name: str = "rank", num_partitions: int | None = None,
+               rows_bound: int | None = None) -> DataFrame:
     """Rows whose rank inside their group is at most ``limit`` (a number or a
     column, e.g. a quota joined from a spec)."""
     lim = limit if isinstance(limit, Column) else F.lit(limit)
-    return rank_within(df, by, order, name, num_partitions).where(F.col(name) <= lim)
+    return rank_within(df, by, order, name, num_partitions, rows_bound).where(F.col(name) <= lim)
 
 
 def row_number_small_groups(df: DataFrame, by: Sequence[str], order: Sequence[Column],
                             name: str = "rank") -> DataFrame:
     """Plain window row_number, for groups whose size is bounded (e.g. the
     dates of one household)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
+    return df.withColumn(name, F.row_number().over(w))

@@ -25,53 +25,68 @@ def exclude_allocated(df: DataFrame, *allocations: DataFrame) -> DataFrame:
     return df.join(allocated_households(*allocations), C.HOUSEHOLD, "left_anti")
 
 
-def _products(groups: DataFrame, names: Sequence[str], group_col: str) -> DataFrame:
-    return groups.where(F.col(group_col).isin(list(names))).select(C.PRODUCT, group_col)
-
-
-def bought_all(txn: DataFrame, groups: DataFrame, names: Sequence[str], label: str | None = None,
+def bought_all(spend: DataFrame, names: Sequence[str], label: str | None = None,
                group_col: str = C.GROUP) -> DataFrame:
-    """Households that bought every one of the named groups."""
+    """Households with purchases in every one of the named groups (from a
+    household x group spend table)."""
     need = len(set(names))
-    hh = (txn.select(C.HOUSEHOLD, C.PRODUCT).join(_products(groups, names, group_col), C.PRODUCT)
+    hh = (spend.where(F.col(group_col).isin(list(names)))
           .groupBy(C.HOUSEHOLD).agg(F.countDistinct(group_col).alias("_k"))
           .where(F.col("_k") == need).select(C.HOUSEHOLD))
     return hh if label is None else hh.withColumn(group_col, F.lit(label))
 
 
-def bought_excluding_lines(txn: DataFrame, groups: DataFrame, departments: Sequence[str],
-                           excluded: Sequence[str], household_level: bool = False,
+def exclusion_groups(groups: DataFrame, departments: Sequence[str], excluded: Sequence[str], suffix: str,
+                     group_col: str = C.GROUP) -> DataFrame:
+    """Product-level difference, on the small group table: for each
+    department, its products that are in no excluded group, named
+    ``<department><suffix>``. Spend on these groups is spend on the
+    department's lines minus the excluded products' lines."""
+    exc = groups.where(F.col(group_col).isin(list(excluded))).select(C.PRODUCT).distinct()
+    return (groups.where(F.col(group_col).isin(list(departments)))
+            .join(exc, C.PRODUCT, "left_anti")
+            .select(C.PRODUCT, F.concat(F.col(group_col), F.lit(suffix)).alias(group_col)))
+
+
+def bought_excluding_lines(spend: DataFrame, departments: Sequence[str], suffix: str,
+                           excluded: Sequence[str] | None = None, household_level: bool = False,
                            group_col: str = C.GROUP) -> DataFrame:
     """Households that bought every listed department, counting only lines
-    whose product is not in an excluded group.
+    whose product is not in an excluded group (the ``<department><suffix>``
+    groups of :func:`exclusion_groups` must be in ``spend``).
 
     The exclusion is per line: a household that also bought an excluded
     product stays if it bought another product of the department. With
-    ``household_level`` a household that bought any excluded product is
-    dropped instead.
+    ``household_level`` (and ``excluded`` given) a household that bought any
+    excluded group is dropped as well.
     """
-    need = len(set(departments))
-    dep = _products(groups, departments, group_col)
-    exc = _products(groups, excluded, group_col).select(C.PRODUCT).distinct()
-    lines = txn.select(C.HOUSEHOLD, C.PRODUCT).join(dep, C.PRODUCT)
-    if household_level:
-        bad = txn.select(C.HOUSEHOLD, C.PRODUCT).join(exc, C.PRODUCT, "left_semi").select(C.HOUSEHOLD)
-        lines = lines.join(bad, C.HOUSEHOLD, "left_anti")
-    else:
-        lines = lines.join(exc, C.PRODUCT, "left_anti")
-    return (lines.groupBy(C.HOUSEHOLD).agg(F.countDistinct(group_col).alias("_k"))
-            .where(F.col("_k") == need).select(C.HOUSEHOLD))
-
-
-def top_k(candidates: DataFrame, ranks: DataFrame, k: int, rank_col: str = C.RANK) -> DataFrame:
+    out = bought_all(spend, [d + suffix for d in departments], group_col=group_col)
+    if household_level and excluded:
+        bad = spend.where(F.col(group_col).isin(list(excluded))).select(C.HOUSEHOLD).distinct()
+        out = out.join(bad, C.HOUSEHOLD, "left_anti")
+    return out
+
+
+def regroup_spend(spend: DataFrame, mapping: Mapping[str, str], group_col: str = C.GROUP,
+                  sales_col: str = C.SALES) -> DataFrame:
+    """Roll a spend table up into super-groups (sales and lines summed)."""
+    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return (spend.withColumn(group_col, lookup[F.col(group_col)]).where(F.col(group_col).isNotNull())
+            .groupBy(C.HOUSEHOLD, group_col)
+            .agg(F.sum(sales_col).alias(sales_col), F.sum("n_lines").alias("n_lines")))
+
+
+def top_k(candidates: DataFrame, ranks: DataFrame, k: int, rank_col: str = C.RANK,
+          rows_bound: int | None = None) -> DataFrame:
     """The ``k`` candidates with the best rank (ranks of one group)."""
     joined = candidates.select(C.HOUSEHOLD).join(ranks, C.HOUSEHOLD)
-    out = top_within(joined, [], [F.col(rank_col).asc(), F.col(C.HOUSEHOLD).asc()], k, name="_pick")
+    out = top_within(joined, [], [F.col(rank_col).asc(), F.col(C.HOUSEHOLD).asc()], k, name="_pick",
+                     rows_bound=rows_bound)
     return out.drop("_pick")
 
 
 def limit_by_quota(df: DataFrame, quotas: Mapping[str, int] | DataFrame, group_col: str = C.GROUP,
-                   rank_col: str = C.RANK, limit_col: str = "limit") -> DataFrame:
+                   rank_col: str = C.RANK, limit_col: str = "limit", rows_bound: int | None = None) -> DataFrame:
     """Best ``limit`` rows per group by rank, all groups in one job.
 
     ``quotas`` is {group: limit} or a (group, limit) table of spec size,
@@ -83,7 +98,7 @@ def limit_by_quota(df: DataFrame, quotas: Mapping[str, int] | DataFrame, group_c
                                        f"{group_col} string, {limit_col} long")
     joined = df.join(F.broadcast(quotas.select(group_col, limit_col)), group_col)
     out = top_within(joined, [group_col], [F.col(rank_col).asc(), F.col(C.HOUSEHOLD).asc()],
-                     F.col(limit_col), name="_pick")
+                     F.col(limit_col), name="_pick", rows_bound=rows_bound)
     return out.drop("_pick", limit_col)
 
 

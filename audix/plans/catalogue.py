@@ -195,7 +195,9 @@ def q_set_mapping(spark, sf_dir):
 
 def q_waterfall_exclude(spark, sf_dir):
     rest = K.waterfall(spark, sf_dir).remaining2
-    return rest.groupBy(C.HOUSEHOLD).agg(F.count(F.lit(1)).alias("n_lines"))
+    listed = rest.where(~F.col(C.GROUP).contains("~"))
+    return listed.groupBy(C.HOUSEHOLD).agg(F.countDistinct(C.GROUP).alias("n_groups"),
+                                           F.sum("n_lines").alias("n_lines"))
 
 
 def q_bought_both(spark, sf_dir):

@@ -24,6 +24,7 @@ from audix.operators.segment import last_date_of_week, segment_as_of
 from audix.operators.snapshot import snapshot_txn
 from audix.plans import specs as S
 from audix.sources import fixtures
+from audix.sources.sinks import stage_table
 
 
 def full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +69,7 @@ def allocation(spark: SparkSession, sf_dir: str, sizes=(1, 2, 3, 4)) -> tuple[Da
 
 @dataclass
 class Waterfall:
-    snap: DataFrame
-    groups: DataFrame
+    spend: DataFrame
     exclusive: DataFrame
     alloc1: DataFrame
     super_rank: DataFrame
@@ -84,40 +84,59 @@ class Waterfall:
     combined: DataFrame
 
 
+G5_SUFFIX, G11_SUFFIX = "~g5", "~g11"
+
+
 def waterfall(spark: SparkSession, sf_dir: str) -> Waterfall:
-    snap = full_snapshot(spark, sf_dir)
-    groups = S.waterfall_groups(spark, sf_dir)
+    """Exclusive shoppers -> super-group sets -> co-buyers -> department
+    minus products (twice), each stage excluding the households of the
+    earlier ones.
+
+    The transaction lines are read once: they are reduced to a staged
+    household x group spend table over the listed groups and the
+    department-minus-products groups (defined on the small product table),
+    and every stage works on that table.
+    """
+    base = S.waterfall_groups(spark, sf_dir)
+    groups = (base
+              .unionByName(W.exclusion_groups(base, S.G5_DEPARTMENTS, S.G5_EXCLUDED, G5_SUFFIX))
+              .unionByName(W.exclusion_groups(base, S.G11_DEPARTMENTS, S.G11_EXCLUDED, G11_SUFFIX)))
+    spend = stage_table(R.group_spend(full_snapshot(spark, sf_dir), groups), "waterfall-spend")
+    # Every ranked frame below is a subset of the staged spend table (or its
+    # households), so its row count bounds every rank group.
+    bound = spend.count()
     n = S.customers(spark, sf_dir)
     q1, q2 = S.scaled(S.Q1_BASE, n), S.scaled(S.Q2_BASE, n)
 
-    family = groups.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY))
-    family_rank = R.sales_rank(snap, family)
-    exclusive = P.exclusive_shoppers(snap, family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
-    alloc1 = W.limit_by_quota(exclusive, {g: q1 for g in S.EXCLUSIVE_FAMILY})
+    family = spend.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY))
+    family_rank = R.rank_spend(family, rows_bound=bound)
+    exclusive = P.exclusive_shoppers(family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
+    # Every stage's picks are staged (bounded by its quota): later stages
+    # anti-join a short plan instead of re-running all earlier stages.
+    alloc1 = stage_table(W.limit_by_quota(exclusive, {g: q1 for g in S.EXCLUSIVE_FAMILY}, rows_bound=bound), "alloc1")
 
-    txn1 = W.exclude_allocated(snap, alloc1)
-    supers = G.regroup(family, S.SUPER_GROUPS)
-    super_rank = R.sales_rank(txn1, supers)
-    sets = P.household_group_sets(txn1, supers)
+    s1 = W.exclude_allocated(spend, alloc1)
+    supers = W.regroup_spend(s1.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY)), S.SUPER_GROUPS)
+    super_rank = R.rank_spend(supers, rows_bound=bound)
     mapping = spark.createDataFrame(S.SET_MAPPING, "gr_set array<string>, gr_nm string")
-    mapped = W.map_sets(sets, mapping, super_rank)
-    alloc2 = W.limit_by_quota(mapped, {"4_abc": q2, "9_def": q2})
+    mapped = W.map_sets(P.household_group_sets(supers), mapping, super_rank)
+    alloc2 = stage_table(W.limit_by_quota(mapped, {"4_abc": q2, "9_def": q2}, rows_bound=bound), "alloc2")
 
-    txn2 = W.exclude_allocated(snap, alloc1, alloc2)
-    alloc3 = W.bought_all(txn2, groups, S.BOTH_GROUPS, label=S.BOTH_LABEL)
+    s2 = W.exclude_allocated(spend, alloc1, alloc2)
+    alloc3 = stage_table(W.bought_all(s2, S.BOTH_GROUPS, label=S.BOTH_LABEL), "alloc3")
 
-    txn3 = W.exclude_allocated(txn2, alloc3)
-    cand5 = W.bought_excluding_lines(txn3, groups, S.G5_DEPARTMENTS, S.G5_EXCLUDED)
-    rank5 = R.sales_rank(txn3, groups.where(F.col(C.GROUP).isin(S.G5_DEPARTMENTS)), label=S.G5_LABEL)
-    alloc5 = W.top_k(cand5, rank5, S.G5_FACTOR * q1)
+    s3 = W.exclude_allocated(s2, alloc3)
+    cand5 = W.bought_excluding_lines(s3, S.G5_DEPARTMENTS, G5_SUFFIX)
+    rank5 = R.rank_spend(s3, names=S.G5_DEPARTMENTS, label=S.G5_LABEL, rows_bound=bound)
+    alloc5 = stage_table(W.top_k(cand5, rank5, S.G5_FACTOR * q1, rows_bound=bound), "alloc5")
 
-    txn5 = W.exclude_allocated(txn3, alloc5)
-    cand11 = W.bought_excluding_lines(txn5, groups, S.G11_DEPARTMENTS, S.G11_EXCLUDED)
-    rank11 = R.sales_rank(txn5, groups.where(F.col(C.GROUP).isin(S.G11_DEPARTMENTS)), label=S.G11_LABEL)
-    alloc11 = W.top_k(cand11, rank11, S.G11_FACTOR * q1)
+    s5 = W.exclude_allocated(s3, alloc5)
+    cand11 = W.bought_excluding_lines(s5, S.G11_DEPARTMENTS, G11_SUFFIX)
+    rank11 = R.rank_spend(s5, names=S.G11_DEPARTMENTS, label=S.G11_LABEL, rows_bound=bound)
+    alloc11 = stage_table(W.top_k(cand11, rank11, S.G11_FACTOR * q1, rows_bound=bound), "alloc11")
 
     combined = W.combine_allocations(alloc1, alloc2, alloc3, alloc5, alloc11)
-    return Waterfall(snap, groups, exclusive, alloc1, super_rank, mapped, alloc2, txn2, alloc3,
+    return Waterfall(spend, exclusive, alloc1, super_rank, mapped, alloc2, s2, alloc3,
                      cand5, alloc5, cand11, alloc11, combined)
 
 

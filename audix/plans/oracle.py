@@ -358,7 +358,8 @@ FROM preview GROUP BY household_id HAVING count(*) > 1""", {"pool_rank"}),
         "quota_top_k": _wf(f"SELECT {SALES_OUT} FROM alloc1"),
         "super_group_rank": _wf(f"SELECT {SALES_OUT} FROM super_rank"),
         "set_mapping": _wf(f"SELECT {SALES_OUT} FROM mapped"),
-        "waterfall_exclude": _wf("SELECT household_id, count(*) AS n_lines FROM txn2 GROUP BY household_id"),
+        "waterfall_exclude": _wf("SELECT household_id, count(DISTINCT gr_nm) AS n_groups, count(*) AS n_lines "
+                                 "FROM txn2 JOIN wf_groups USING (upc_id) GROUP BY household_id"),
         "bought_both": _wf("SELECT household_id, gr_nm FROM alloc3"),
         "bought_excluding_lines": _wf("SELECT household_id FROM cand5"),
         "pooled_rank_top_k": _wf(f"SELECT {SALES_OUT} FROM alloc5 UNION ALL SELECT {SALES_OUT} FROM alloc11"),
