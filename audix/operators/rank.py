@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from audix import contracts as C
 from audix.operators.ranking import rank_within
 from audix.sources.readers import union_all
+from audix.sources.sinks import stage_table
 
 
 def _spend_lines(txn: DataFrame, groups: DataFrame, group_col: str, amount: str,
@@ -56,8 +57,10 @@ def sales_rank(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, labe
     listed in two pooled groups then counts twice, as a join fan-out does.
     Sums are exact when ``amount`` is an integer or decimal column.
     """
-    spend = group_spend(txn, groups, group_col, amount, sales_col)
-    return rank_spend(spend, group_col, label, None, rank_col, sales_col)
+    # Staged once: the rank's size check and the rank itself then read the
+    # household x group table instead of scanning the lines twice.
+    spend = stage_table(group_spend(txn, groups, group_col, amount, sales_col), "group-spend")
+    return rank_spend(spend, group_col, label, None, rank_col, sales_col, rows_bound=spend.count())
 
 
 def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (), group_col: str = C.GROUP,
@@ -76,8 +79,10 @@ def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (),
              .withColumn("_new", F.concat_ws("_", F.col(group_col), F.col("times_buy"))))
     if drop:
         named = named.where(~F.col("_new").isin(list(drop)))
+    named = stage_table(named, "frequency-spend")
     ranked = rank_within(named, [group_col, "times_buy"],
-                         [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col)
+                         [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col,
+                         rows_bound=named.count())
     return ranked.select(C.HOUSEHOLD, sales_col, F.col("_new").alias(group_col), rank_col)
 
 
