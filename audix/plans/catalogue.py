@@ -251,6 +251,12 @@ def q_split_no_control(spark, sf_dir):
     return _split(spark, sf_dir, S.NO_CONTROL).select(C.HOUSEHOLD, C.GROUP, C.SEGMENT, C.ARM)
 
 
+def q_sample_by_split(spark, sf_dir):
+    """The seeded sampleBy form of the split (layout-dependent: rows-only check)."""
+    alloc = _with_segment(spark, sf_dir).where(~F.col(C.GROUP).isin(S.NO_CONTROL))
+    return SP.sample_by_arm(alloc, FRACTIONS, seed=0).select(C.HOUSEHOLD, C.GROUP, C.SEGMENT, C.ARM)
+
+
 def q_split_summary(spark, sf_dir):
     return SP.split_summary(_split(spark, sf_dir, S.NO_CONTROL))
 
@@ -351,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "alloc_segment": q_alloc_segment,
     "stratified_split": q_stratified_split,
     "split_no_control": q_split_no_control,
+    "sample_by_split": q_sample_by_split,
     "split_summary": q_split_summary,
     "hashed_ids": q_hashed_ids,
     "export_lists": q_export_lists,
@@ -366,6 +373,10 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# Queries without a SQL twin: their result depends on the partition layout.
+ROWS_ONLY = {"sample_by_split"}
+
+
 def queries() -> dict[str, Query]:
     return {name: (lambda fn: (lambda spark, sf_dir: normalize(fn(spark, sf_dir))))(fn)
             for name, fn in QUERIES.items()}
