@@ -83,7 +83,9 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
     earlier picks (same columns as the result)."""
     spark = pool.sparkSession
     rows = _spec_rows(spec)
-    long = stage_table(pool_long(pool), "pool-long")
+    # One folder per combination size: a step reads only its size's folder.
+    long = stage_table(pool_long(pool), "pool-long", partition_by=[C.GROUP_COUNT])
+    long = long.withColumn(C.GROUP_COUNT, F.col(C.GROUP_COUNT).cast("int"))
     bound = long.count()   # every step ranks a subset of the staged long pool
     parts: list[DataFrame] = []
     allocated: Counter = Counter()

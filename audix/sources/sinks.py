@@ -20,10 +20,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def stage_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+def stage_table(df: DataFrame, name: str, fmt: str = "parquet",
+                partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and read
-    it back: the lineage is cut and the table survives lost executors."""
+    it back: the lineage is cut and the table survives lost executors.
+    ``partition_by`` lays it out by key so later filters prune folders."""
     spark = df.sparkSession
     path = stage_path(spark, name)
-    write_table(df, path, fmt=fmt)
+    write_table(df, path, fmt=fmt, partition_by=partition_by)
     return spark.read.format(fmt).load(path)
