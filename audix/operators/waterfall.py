@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from audix import contracts as C
@@ -135,5 +135,13 @@ def allocation_profile(alloc: DataFrame, group_col: str = C.GROUP, rank_col: str
                                         F.count(F.lit(1)).alias("n_households"))
 
 
+def cut_tail(picks: DataFrame, width: int = 10, group_col: str = C.GROUP, rank_col: str = C.RANK) -> DataFrame:
+    """The last ``width`` picks of every audience (worst ranks picked): a
+    check of where each quota cut fell. A pick set is bounded by its quota,
+    so the per-audience window stays small."""
+    w = Window.partitionBy(group_col).orderBy(F.col(rank_col).desc(), F.col(C.HOUSEHOLD).desc())
+    return picks.withColumn("_from_end", F.row_number().over(w)).where(F.col("_from_end") <= width).drop("_from_end")
+
+
 def tag(df: DataFrame, label: str | Column, group_col: str = C.GROUP) -> DataFrame:
     return df.withColumn(group_col, label if isinstance(label, Column) else F.lit(label))

@@ -185,6 +185,10 @@ def q_quota_top_k(spark, sf_dir):
     return _sales(K.waterfall(spark, sf_dir).alloc1)
 
 
+def q_cut_tail(spark, sf_dir):
+    return _sales(W.cut_tail(K.waterfall(spark, sf_dir).alloc1, width=S.CUT_TAIL_WIDTH))
+
+
 def q_super_group_rank(spark, sf_dir):
     return _sales(K.waterfall(spark, sf_dir).super_rank)
 
@@ -345,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "overlap_candidates": q_overlap_candidates,
     "exclusive_shoppers": q_exclusive_shoppers,
     "quota_top_k": q_quota_top_k,
+    "cut_tail": q_cut_tail,
     "super_group_rank": q_super_group_rank,
     "set_mapping": q_set_mapping,
     "waterfall_exclude": q_waterfall_exclude,

@@ -356,6 +356,10 @@ FROM preview GROUP BY household_id HAVING count(*) > 1""", {"pool_rank"}),
             "SELECT DISTINCT p.household_id, a.ca_nm, p.n_gr FROM pool_long p JOIN aud a USING (gr_nm)"),
         "exclusive_shoppers": _wf(f"SELECT {SALES_OUT} FROM exclusive"),
         "quota_top_k": _wf(f"SELECT {SALES_OUT} FROM alloc1"),
+        "cut_tail": _wf(f"""
+SELECT {SALES_OUT} FROM (
+  SELECT *, row_number() OVER (PARTITION BY gr_nm ORDER BY gr_sales_rank DESC, household_id DESC) AS _e FROM alloc1)
+WHERE _e <= {S.CUT_TAIL_WIDTH}"""),
         "super_group_rank": _wf(f"SELECT {SALES_OUT} FROM super_rank"),
         "set_mapping": _wf(f"SELECT {SALES_OUT} FROM mapped"),
         "waterfall_exclude": _wf("SELECT household_id, count(DISTINCT gr_nm) AS n_groups, count(*) AS n_lines "

@@ -43,6 +43,7 @@ G11_DEPARTMENTS, G11_EXCLUDED, G11_LABEL = ["dep_t"], ["6_d", "7_e", "8_f"], "11
 Q1_BASE, Q2_BASE = 30, 25          # per exclusive group, per super-group
 G5_FACTOR, G11_FACTOR = 10, 20     # group 5 and group 11 quotas in units of q1
 NO_CONTROL = ["6_d", "7_e", "10_d_sec"]
+CUT_TAIL_WIDTH = 10
 SEGMENT_LABELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 SNAP_PROFILE_CHANNEL = "HDE"
 

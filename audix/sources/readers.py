@@ -16,13 +16,24 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def read_spec_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_catalog(spark: SparkSession, name: str) -> DataFrame:
+    """A table of the session catalog (dimension or history tables)."""
+    return spark.table(name)
+
+
+def read_spec_csv(spark: SparkSession, path: str, schema: StructType | str,
+                  json_arrays: Sequence[str] = ()) -> DataFrame:
     """A user spec in CSV with a header, read with an explicit schema.
 
     No type inference: inference would turn a key like "007" into 7 and
-    costs an extra pass over the file.
+    costs an extra pass over the file. Columns in ``json_arrays`` hold a JSON
+    list of strings (e.g. a group set ``["a","b"]``) and are parsed to
+    ``array<string>``.
     """
-    return spark.read.schema(schema).option("header", True).csv(path)
+    df = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    for c in json_arrays:
+        df = df.withColumn(c, F.from_json(F.col(c), "array<string>"))
+    return df
 
 
 def read_many(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None,

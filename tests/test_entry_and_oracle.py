@@ -35,3 +35,15 @@ def test_rows_only_split_covers_its_input(spark):
     assert n > 0 and df.select("household_id").distinct().count() == n
     assert set(r[0] for r in df.select("arm").distinct().collect()) <= {"test", "ctrl"}
     assert df.where(F.col("gr_nm").isin("6_d", "7_e", "10_d_sec")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["sales_rank", "quota_top_k", "allocation_audit"])
+def test_distributed_rank_path_matches_sql_twin(spark, name):
+    """Force the hot-group path (range-partitioned exact rank) everywhere."""
+    from tools.compare import compare
+    spark.conf.set("spark.audix.rank.maxWindowRows", "0")
+    try:
+        res = compare(spark, SF, [name], verbose=True)
+    finally:
+        spark.conf.unset("spark.audix.rank.maxWindowRows")
+    assert res[name][0] == "match", res[name]

@@ -95,3 +95,12 @@ def test_read_many_unions_by_name(spark):
     spark.createDataFrame([(3, "c")], "household_id long, gr_nm string").write.parquet(f"{d}/other")
     both = read_many(spark, [f"{d}/part_1", f"{d}/part_2"])
     assert rows(both, "household_id", "r") == [(1, 3), (2, None)]
+
+
+def test_spec_csv_json_array_column(spark):
+    d = tempfile.mkdtemp(prefix="audix-csv-")
+    path = os.path.join(d, "sets.csv")
+    with open(path, "w") as fh:
+        fh.write('gr_set,gr_nm\n"[""a"",""b""]",b\n"[""a""]",a\n')
+    got = rows(read_spec_csv(spark, path, "gr_set string, gr_nm string", json_arrays=["gr_set"]), "gr_nm", "gr_set")
+    assert got == [("a", ["a"]), ("b", ["a", "b"])]

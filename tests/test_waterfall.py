@@ -1,6 +1,6 @@
 from audix import contracts as C
 from audix.operators.rank import group_spend
-from audix.operators.waterfall import (bought_all, bought_excluding_lines, combine_allocations, exclude_allocated,
+from audix.operators.waterfall import (bought_all, cut_tail, bought_excluding_lines, combine_allocations, exclude_allocated,
                                        exclusion_groups, limit_by_quota, map_sets, one_audience_check, top_k)
 from tests.conftest import rows
 
@@ -56,3 +56,9 @@ def test_combine_allocations_fills_missing_rank(spark):
     comb = combine_allocations(a, b)
     assert rows(comb) == [(1, "a", 1), (2, "b", None)]
     assert rows(one_audience_check(comb)) == [(2, 2)]
+
+
+def test_cut_tail(spark):
+    picks = spark.createDataFrame([(h, "a", h) for h in range(1, 8)] + [(20, "b", 3)],
+                                  "household_id long, gr_nm string, gr_sales_rank int")
+    assert rows(cut_tail(picks, width=2), C.HOUSEHOLD) == [(6,), (7,), (20,)]
