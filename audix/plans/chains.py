@@ -8,7 +8,7 @@ jobs up to its ranks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,27 +67,10 @@ def allocation(spark: SparkSession, sf_dir: str, sizes=(1, 2, 3, 4)) -> tuple[Da
 
 # ---- chain B: hand-written waterfall -----------------------------------
 
-@dataclass
-class Waterfall:
-    spend: DataFrame
-    exclusive: DataFrame
-    alloc1: DataFrame
-    super_rank: DataFrame
-    mapped: DataFrame
-    alloc2: DataFrame
-    remaining2: DataFrame
-    alloc3: DataFrame
-    cand5: DataFrame
-    alloc5: DataFrame
-    cand11: DataFrame
-    alloc11: DataFrame
-    combined: DataFrame
-
-
 G5_SUFFIX, G11_SUFFIX = "~g5", "~g11"
 
 
-def waterfall(spark: SparkSession, sf_dir: str) -> Waterfall:
+class Waterfall:
     """Exclusive shoppers -> super-group sets -> co-buyers -> department
     minus products (twice), each stage excluding the households of the
     earlier ones.
@@ -95,49 +78,108 @@ def waterfall(spark: SparkSession, sf_dir: str) -> Waterfall:
     The transaction lines are read once: they are reduced to a staged
     household x group spend table over the listed groups and the
     department-minus-products groups (defined on the small product table),
-    and every stage works on that table.
+    and every stage works on that table. Stages are built on first use, so a
+    report on an early stage does not run the later ones; every stage's picks
+    are staged (bounded by its quota), so later stages anti-join short plans.
     """
-    base = S.waterfall_groups(spark, sf_dir)
-    groups = (base
-              .unionByName(W.exclusion_groups(base, S.G5_DEPARTMENTS, S.G5_EXCLUDED, G5_SUFFIX))
-              .unionByName(W.exclusion_groups(base, S.G11_DEPARTMENTS, S.G11_EXCLUDED, G11_SUFFIX)))
-    spend = stage_table(R.group_spend(full_snapshot(spark, sf_dir), groups), "waterfall-spend")
-    # Every ranked frame below is a subset of the staged spend table (or its
-    # households), so its row count bounds every rank group.
-    bound = spend.count()
-    n = S.customers(spark, sf_dir)
-    q1, q2 = S.scaled(S.Q1_BASE, n), S.scaled(S.Q2_BASE, n)
-
-    family = spend.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY))
-    family_rank = R.rank_spend(family, rows_bound=bound)
-    exclusive = P.exclusive_shoppers(family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
-    # Every stage's picks are staged (bounded by its quota): later stages
-    # anti-join a short plan instead of re-running all earlier stages.
-    alloc1 = stage_table(W.limit_by_quota(exclusive, {g: q1 for g in S.EXCLUSIVE_FAMILY}, rows_bound=bound), "alloc1")
-
-    s1 = W.exclude_allocated(spend, alloc1)
-    supers = W.regroup_spend(s1.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY)), S.SUPER_GROUPS)
-    super_rank = R.rank_spend(supers, rows_bound=bound)
-    mapping = spark.createDataFrame(S.SET_MAPPING, "gr_set array<string>, gr_nm string")
-    mapped = W.map_sets(P.household_group_sets(supers), mapping, super_rank)
-    alloc2 = stage_table(W.limit_by_quota(mapped, {"4_abc": q2, "9_def": q2}, rows_bound=bound), "alloc2")
-
-    s2 = W.exclude_allocated(spend, alloc1, alloc2)
-    alloc3 = stage_table(W.bought_all(s2, S.BOTH_GROUPS, label=S.BOTH_LABEL), "alloc3")
-
-    s3 = W.exclude_allocated(s2, alloc3)
-    cand5 = W.bought_excluding_lines(s3, S.G5_DEPARTMENTS, G5_SUFFIX)
-    rank5 = R.rank_spend(s3, names=S.G5_DEPARTMENTS, label=S.G5_LABEL, rows_bound=bound)
-    alloc5 = stage_table(W.top_k(cand5, rank5, S.G5_FACTOR * q1, rows_bound=bound), "alloc5")
-
-    s5 = W.exclude_allocated(s3, alloc5)
-    cand11 = W.bought_excluding_lines(s5, S.G11_DEPARTMENTS, G11_SUFFIX)
-    rank11 = R.rank_spend(s5, names=S.G11_DEPARTMENTS, label=S.G11_LABEL, rows_bound=bound)
-    alloc11 = stage_table(W.top_k(cand11, rank11, S.G11_FACTOR * q1, rows_bound=bound), "alloc11")
-
-    combined = W.combine_allocations(alloc1, alloc2, alloc3, alloc5, alloc11)
-    return Waterfall(spend, exclusive, alloc1, super_rank, mapped, alloc2, s2, alloc3,
-                     cand5, alloc5, cand11, alloc11, combined)
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def spend(self) -> DataFrame:
+        base = S.waterfall_groups(self.spark, self.sf_dir)
+        groups = (base
+                  .unionByName(W.exclusion_groups(base, S.G5_DEPARTMENTS, S.G5_EXCLUDED, G5_SUFFIX))
+                  .unionByName(W.exclusion_groups(base, S.G11_DEPARTMENTS, S.G11_EXCLUDED, G11_SUFFIX)))
+        return stage_table(R.group_spend(full_snapshot(self.spark, self.sf_dir), groups), "waterfall-spend")
+
+    @cached_property
+    def bound(self) -> int:
+        # Every ranked frame below is a subset of the staged spend table (or
+        # its households), so its row count bounds every rank group.
+        return self.spend.count()
+
+    @cached_property
+    def quotas(self) -> tuple[int, int]:
+        n = S.customers(self.spark, self.sf_dir)
+        return S.scaled(S.Q1_BASE, n), S.scaled(S.Q2_BASE, n)
+
+    @cached_property
+    def exclusive(self) -> DataFrame:
+        family = self.spend.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY))
+        family_rank = R.rank_spend(family, rows_bound=self.bound)
+        return P.exclusive_shoppers(family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
+
+    @cached_property
+    def alloc1(self) -> DataFrame:
+        q1 = self.quotas[0]
+        return stage_table(W.limit_by_quota(self.exclusive, {g: q1 for g in S.EXCLUSIVE_FAMILY},
+                                            rows_bound=self.bound), "alloc1")
+
+    @cached_property
+    def _supers(self) -> DataFrame:
+        s1 = W.exclude_allocated(self.spend, self.alloc1)
+        return W.regroup_spend(s1.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY)), S.SUPER_GROUPS)
+
+    @cached_property
+    def super_rank(self) -> DataFrame:
+        return R.rank_spend(self._supers, rows_bound=self.bound)
+
+    @cached_property
+    def mapped(self) -> DataFrame:
+        mapping = self.spark.createDataFrame(S.SET_MAPPING, "gr_set array<string>, gr_nm string")
+        return W.map_sets(P.household_group_sets(self._supers), mapping, self.super_rank)
+
+    @cached_property
+    def alloc2(self) -> DataFrame:
+        q2 = self.quotas[1]
+        return stage_table(W.limit_by_quota(self.mapped, {"4_abc": q2, "9_def": q2}, rows_bound=self.bound),
+                           "alloc2")
+
+    @cached_property
+    def remaining2(self) -> DataFrame:
+        return W.exclude_allocated(self.spend, self.alloc1, self.alloc2)
+
+    @cached_property
+    def alloc3(self) -> DataFrame:
+        return stage_table(W.bought_all(self.remaining2, S.BOTH_GROUPS, label=S.BOTH_LABEL), "alloc3")
+
+    @cached_property
+    def _s3(self) -> DataFrame:
+        return W.exclude_allocated(self.remaining2, self.alloc3)
+
+    @cached_property
+    def cand5(self) -> DataFrame:
+        return W.bought_excluding_lines(self._s3, S.G5_DEPARTMENTS, G5_SUFFIX)
+
+    @cached_property
+    def alloc5(self) -> DataFrame:
+        rank5 = R.rank_spend(self._s3, names=S.G5_DEPARTMENTS, label=S.G5_LABEL, rows_bound=self.bound)
+        return stage_table(W.top_k(self.cand5, rank5, S.G5_FACTOR * self.quotas[0], rows_bound=self.bound),
+                           "alloc5")
+
+    @cached_property
+    def _s5(self) -> DataFrame:
+        return W.exclude_allocated(self._s3, self.alloc5)
+
+    @cached_property
+    def cand11(self) -> DataFrame:
+        return W.bought_excluding_lines(self._s5, S.G11_DEPARTMENTS, G11_SUFFIX)
+
+    @cached_property
+    def alloc11(self) -> DataFrame:
+        rank11 = R.rank_spend(self._s5, names=S.G11_DEPARTMENTS, label=S.G11_LABEL, rows_bound=self.bound)
+        return stage_table(W.top_k(self.cand11, rank11, S.G11_FACTOR * self.quotas[0], rows_bound=self.bound),
+                           "alloc11")
+
+    @cached_property
+    def combined(self) -> DataFrame:
+        return W.combine_allocations(self.alloc1, self.alloc2, self.alloc3, self.alloc5, self.alloc11)
+
+
+def waterfall(spark: SparkSession, sf_dir: str) -> Waterfall:
+    return Waterfall(spark, sf_dir)
 
 
 # ---- chain C: purchase cycles ------------------------------------------
