@@ -34,12 +34,11 @@ def assign_arm(df: DataFrame, fractions: Mapping[str, float] | None = None, stra
     test. A stratum missing from ``fractions`` uses ``default_fraction``;
     without one it gets no control rows, or fails the job when ``strict``.
     """
-    fractions = fractions or {}
-    frac = _fraction_of(F.col(stratum_col), fractions, default_fraction, strict)
+    frac = _fraction_of(F.col(stratum_col), fractions or {}, default_fraction, strict)
     control = unit_bucket(F.col(key_col), salt) < frac * F.lit(float(BUCKETS))
-    arm = F.when(F.col(group_col).isin(list(no_control)), F.lit(C.ARM_TEST)) if no_control else None
-    arm = (arm.when(control, F.lit(C.ARM_CONTROL)) if arm is not None else F.when(control, F.lit(C.ARM_CONTROL)))
-    return df.withColumn(arm_col, arm.otherwise(F.lit(C.ARM_TEST)))
+    if no_control:
+        control = ~F.col(group_col).isin(list(no_control)) & control
+    return df.withColumn(arm_col, F.when(control, F.lit(C.ARM_CONTROL)).otherwise(F.lit(C.ARM_TEST)))
 
 
 def sample_by_arm(df: DataFrame, fractions: Mapping[str, float], stratum_col: str = C.SEGMENT,

@@ -59,7 +59,7 @@ SELECT DISTINCT upc_id, gr_nm FROM (
             WHERE department_name IN ('PROMO', 'MEDIUM') AND section_name < 'Brand#2')"""),
     ("cls", """
 SELECT DISTINCT upc_id FROM prod_dim
-WHERE class_code IN (SELECT class_code FROM prod_dim WHERE department_name = 'SMALL' AND class_code <= 5)"""),
+WHERE class_code IN (SELECT class_code FROM prod_dim WHERE department_name IN ('SMALL', 'MEDIUM') AND class_code <= 5)"""),
 ]
 
 

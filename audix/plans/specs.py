@@ -47,8 +47,10 @@ CUT_TAIL_WIDTH = 10
 SEGMENT_LABELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 SNAP_PROFILE_CHANNEL = "HDE"
 
-# Chain C: target products SMALL parts of size <= 5, expanded to their class.
-CYCLE_TYPE, CYCLE_MAX_SIZE = "SMALL", 5
+# Chain C: target products SMALL and MEDIUM parts of size <= 5, expanded to
+# their class (size); the two types cover every size 1..5 at every scale
+# factor, so the expanded class is all parts of size <= 5.
+CYCLE_TYPES, CYCLE_MAX_SIZE = ["SMALL", "MEDIUM"], 5
 CAMPAIGN_START = "2001-07-01"
 
 
@@ -92,5 +94,5 @@ def waterfall_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cycle_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (fixtures.prod_dim(spark, sf_dir)
-            .where((F.col("department_name") == CYCLE_TYPE) & (F.col("class_code") <= CYCLE_MAX_SIZE))
+            .where(F.col("department_name").isin(CYCLE_TYPES) & (F.col("class_code") <= CYCLE_MAX_SIZE))
             .select("upc_id"))
