@@ -26,6 +26,7 @@ def test_query_matches_sql_twin(spark, name):
     from tools.compare import compare
     res = compare(spark, SF, [name], verbose=True)
     assert res[name][0] == "match", res[name]
+    assert not res[name][3], f"nested-loop join in the plan of {name}: {res[name][3]}"
 
 
 def test_rows_only_split_covers_its_input(spark):

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from audix import contracts as C
 from audix.operators.segment import attach_segment, last_date_of_week, period_of, segment_as_of

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from audix import contracts as C
 from audix.operators.split import assign_arm, attach_hashed_ids, sample_by_arm, split_summary
-from tests.conftest import rows
 
 
 def _alloc(spark, n=4000):
