@@ -110,7 +110,7 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
                                  F.lit(n).alias("pass_n"), F.lit(step).alias("step"))
             # Staged (at most to_alloc rows): the next step's anti join reads
             # this table instead of re-planning every earlier step.
-            picked = stage_table(picked.coalesce(1), "picks")
+            picked = stage_table(picked, "picks")
             got = picked.count()
             entry["picked"] = got
             allocated[ca] += got
