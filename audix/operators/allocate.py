@@ -53,6 +53,41 @@ def _order(rows, allocated: Counter) -> list[tuple[str, str, int]]:
     return sorted(live, key=lambda r: (-(max(0, r[2] - allocated[r[1]]) / r[2]), r[1], r[0]))
 
 
+def _independent(order) -> bool:
+    """Rows never compete in the size-1 pass when no two share a group (a
+    size-1 household has one group, so it is a candidate of one row only) and
+    no two share an audience (so every row's room is fixed at the start)."""
+    return len({r[0] for r in order}) == len(order) and len({r[1] for r in order}) == len(order)
+
+
+def _single_group_pass(long: DataFrame, parts: list[DataFrame], order, allocated: Counter, bound: int,
+                       log: list[dict]) -> DataFrame | None:
+    """The size-1 pass in one job: every row takes its best households at
+    once (same picks as running the rows one after another, see
+    :func:`_independent`)."""
+    spark = long.sparkSession
+    rows = [(pos, gr, ca, max(0, q - allocated[ca])) for pos, (gr, ca, q) in enumerate(order, start=1)]
+    for pos, gr, ca, room in rows:
+        log.append({"pass_n": 1, "step": pos, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": room, "picked": 0})
+    live = [r for r in rows if r[3] > 0]
+    if not live:
+        return None
+    caps = spark.createDataFrame(live, f"step int, {C.GROUP} string, {C.AUDIENCE} string, _room long")
+    cand = long.where(F.col(C.GROUP_COUNT) == 1)
+    if parts:
+        cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
+    cand = cand.join(F.broadcast(caps), C.GROUP)    # spec-size
+    best = top_within(cand, [C.GROUP], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], F.col("_room"),
+                      name="_pick", rows_bound=bound)
+    picked = stage_table(best.select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank",
+                                     F.lit(1).alias("pass_n"), "step"), "picks")
+    got = {r[0]: int(r[1]) for r in picked.groupBy(C.AUDIENCE).count().collect()}
+    for entry in log[-len(rows):]:
+        entry["picked"] = got.get(entry[C.AUDIENCE], 0)
+    allocated.update(got)
+    return picked if got else None
+
+
 def remaining_quota(spec: DataFrame, picks: DataFrame | None = None) -> DataFrame:
     """Spec rows with households allocated so far to their audience, the
     number still open and its share of the quota (null for a zero quota)."""
@@ -95,7 +130,13 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
             allocated[r[0]] += int(r[1])
     log: list[dict] = []
     for n in sizes:
-        for step, (gr, ca, quota) in enumerate(_order(rows, allocated), start=1):
+        order = _order(rows, allocated)
+        if n == 1 and _independent(order):
+            got = _single_group_pass(long, parts, order, allocated, bound, log)
+            if got is not None:
+                parts.append(got)
+            continue
+        for step, (gr, ca, quota) in enumerate(order, start=1):
             to_alloc = max(0, quota - allocated[ca])
             entry = {"pass_n": n, "step": step, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": to_alloc, "picked": 0}
             log.append(entry)
