@@ -42,9 +42,13 @@ def segment_as_of(history: DataFrame, date_dim: DataFrame, end_date: dt.date | s
     published period when the current one is not published yet.
     Returns (household_id, seg_desc) at that period, and the period.
     """
-    back = period_of(date_dim, end_date, back_days)
-    current = period_of(date_dim, end_date, 0)
-    recent = history.where(F.col(C.PERIOD) >= back)
+    end = dt.date.fromisoformat(end_date) if isinstance(end_date, str) else end_date
+    start = end - dt.timedelta(days=back_days)
+    # Both calendar lookups in one read of the calendar.
+    found = {r[0]: r[1] for r in date_dim.where(F.col(C.DATE).isin(start, end))
+             .select(C.DATE, C.PERIOD).distinct().collect()}
+    back, current = found.get(start), found.get(end)
+    recent = history.where(F.col(C.PERIOD) >= back) if back is not None else history
     latest = _scalar(recent.agg(F.max(C.PERIOD)))
     chosen = current if latest is None else min(int(latest), int(current))
     seg = (recent.where(F.col(C.PERIOD) == chosen)
