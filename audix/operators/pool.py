@@ -61,7 +61,11 @@ def household_group_sets(spend: DataFrame, group_col: str = C.GROUP, set_col: st
 
 
 def exclusive_shoppers(spend: DataFrame, group_col: str = C.GROUP) -> DataFrame:
-    """Households that bought exactly one of the groups in ``spend``: (household, group)."""
+    """Households that bought exactly one of the groups in ``spend``: (household, group).
+
+    ``spend`` has one row per (household, group), as ``group_spend`` makes
+    it, so a row count is the number of groups (one plain aggregate, no
+    distinct-aggregate expansion)."""
     return (spend.groupBy(C.HOUSEHOLD)
-            .agg(F.countDistinct(group_col).alias("_k"), F.min(group_col).alias(group_col))
+            .agg(F.count(F.lit(1)).alias("_k"), F.min(group_col).alias(group_col))
             .where(F.col("_k") == 1).select(C.HOUSEHOLD, group_col))

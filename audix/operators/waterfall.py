@@ -28,10 +28,11 @@ def exclude_allocated(df: DataFrame, *allocations: DataFrame) -> DataFrame:
 def bought_all(spend: DataFrame, names: Sequence[str], label: str | None = None,
                group_col: str = C.GROUP) -> DataFrame:
     """Households with purchases in every one of the named groups (from a
-    household x group spend table)."""
+    household x group spend table, one row per household and group, so a row
+    count is the number of groups bought)."""
     need = len(set(names))
-    hh = (spend.where(F.col(group_col).isin(list(names)))
-          .groupBy(C.HOUSEHOLD).agg(F.countDistinct(group_col).alias("_k"))
+    hh = (spend.where(F.col(group_col).isin(list(set(names))))
+          .groupBy(C.HOUSEHOLD).agg(F.count(F.lit(1)).alias("_k"))
           .where(F.col("_k") == need).select(C.HOUSEHOLD))
     return hh if label is None else hh.withColumn(group_col, F.lit(label))
 
