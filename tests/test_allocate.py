@@ -101,3 +101,20 @@ def test_preview_conflicts_and_overlap(spark):
     aud = spark.createDataFrame([("X", ["b"]), ("Y", ["a", "z"])], "ca_nm string, ca_gr_set array<string>")
     assert rows(overlap_candidates(sp_pool, aud), C.HOUSEHOLD, C.AUDIENCE) == [
         (1, "X"), (1, "Y"), (2, "X"), (2, "Y"), (3, "Y")]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000), quotas=st.lists(st.integers(0, 9), min_size=4, max_size=4),
+       shared=st.booleans())
+def test_allocation_property(spark, seed, quotas, shared):
+    """Random pools and specs (zero quotas, an audience on two rows) against the model."""
+    pool = random_pool(seed, n_hh=25)
+    names = ["A", "A", "C", "D"] if shared else ["A", "B", "C", "D"]
+    spec = [(g, ca, q) for g, ca, q in zip("abcd", names, quotas)]
+    alloc = allocate(spark_pool(spark, pool), spark.createDataFrame(spec, SPEC))
+    got = rows(alloc.picks, C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", "pass_n", "step")
+    assert got == model(pool, spec)
