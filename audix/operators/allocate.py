@@ -15,6 +15,8 @@ quota.
 The loop runs on the driver over spec rows (spec-size); every step is one
 Spark job over the long pool, and its picks are held in a staged table so
 later steps anti-join a short plan. Only counts come back to the driver.
+The size-1 pass is a single job when its rows share no group and no
+audience, since its rows then cannot compete for a household.
 """
 
 from __future__ import annotations
