@@ -121,7 +121,11 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
     spark = pool.sparkSession
     rows = _spec_rows(spec)
     # One folder per combination size: a step reads only its size's folder.
-    long = stage_table(pool_long(pool), "pool-long", partition_by=[C.GROUP_COUNT])
+    # Inside it, files hold contiguous (group, rank) ranges, so the min/max
+    # statistics of a file let a step skip the files of other groups.
+    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = stage_table(pool_long(pool).repartitionByRange(n_files, C.GROUP_COUNT, C.GROUP, "rank"),
+                       "pool-long", partition_by=[C.GROUP_COUNT])
     long = long.withColumn(C.GROUP_COUNT, F.col(C.GROUP_COUNT).cast("int"))
     bound = long.count()   # every step ranks a subset of the staged long pool
     parts: list[DataFrame] = []
