@@ -6,25 +6,32 @@ wire the same operators to the driver's test tables).
     split = audience_split(alloc.picks, segments, fractions, group_col="ca_nm")
     files = export_audiences(split, customer_dim, "s3://bucket/export", group_col="ca_nm")
     prob  = purchase_propensity(txn, prod_dim, targets, "2022-08-01")
+    stages = run_waterfall(txn, groups, WaterfallSpec(...))   # hand-written chain
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from audix import contracts as C
 from audix.operators import allocate as A
 from audix.operators import cycle as Y
 from audix.operators import export as X
+from audix.operators import pool as P
+from audix.operators import rank as R
 from audix.operators import split as SP
+from audix.operators import waterfall as W
 from audix.operators.groups import expand_to_class
 from audix.operators.pool import allocation_pool
 from audix.operators.rank import sales_rank
 from audix.operators.segment import attach_segment
 from audix.operators.snapshot import snapshot_txn
+from audix.sources.sinks import stage_table
 
 
 def rank_pool(txn: DataFrame, groups: DataFrame, start_week: int | None = None, end_week: int | None = None,
@@ -67,3 +74,70 @@ def purchase_propensity(txn: DataFrame, prod_dim: DataFrame, targets: DataFrame,
     cyc = Y.purchase_cycle(txn, expand_to_class(prod_dim, targets))
     recent = Y.recency(cyc, Y.smoothed_cycle(cyc, alpha))
     return Y.purchase_probability(recent, campaign_start, campaign_days)
+
+
+@dataclass
+class DepartmentStage:
+    """Households that bought every department, counting only lines outside
+    the excluded groups; ranked on the pooled departments; best ``quota``."""
+    departments: Sequence[str]
+    excluded: Sequence[str]
+    label: str
+    quota: int
+
+
+@dataclass
+class WaterfallSpec:
+    family: Sequence[str]                          # exclusive-shopper groups
+    exclusive_quota: Mapping[str, int]             # quota per family group
+    super_groups: Mapping[str, str]                # family group -> super-group
+    set_mapping: Sequence[tuple[Sequence[str], str]]   # exact super-group set -> target
+    super_quota: Mapping[str, int]                 # quota per target super-group
+    both: Sequence[str] = ()                       # co-purchase stage (no quota)
+    both_label: str | None = None
+    departments: Sequence[DepartmentStage] = field(default_factory=list)
+
+
+def run_waterfall(txn: DataFrame, groups: DataFrame, spec: WaterfallSpec) -> dict[str, DataFrame]:
+    """The hand-written waterfall as one declarative run: exclusive shoppers
+    -> exact super-group sets -> co-buyers -> department-minus-products stages,
+    each stage excluding the households of the earlier ones. The lines are
+    read once into a staged household x group table; every stage's picks are
+    staged (bounded by its quota). Returns each stage and ``combined``."""
+    spark = txn.sparkSession
+    all_groups = groups
+    for i, st in enumerate(spec.departments):
+        all_groups = all_groups.unionByName(W.exclusion_groups(groups, st.departments, st.excluded, f"~d{i}"))
+    spend = stage_table(R.group_spend(snapshot_txn(txn), all_groups), "waterfall-spend")
+    bound = spend.count()
+    out: dict[str, DataFrame] = {}
+
+    family = spend.where(F.col(C.GROUP).isin(list(spec.family)))
+    family_rank = R.rank_spend(family, rows_bound=bound)
+    exclusive = P.exclusive_shoppers(family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
+    out["exclusive"] = stage_table(W.limit_by_quota(exclusive, dict(spec.exclusive_quota), rows_bound=bound),
+                                   "exclusive")
+    picked = [out["exclusive"]]
+
+    rest = W.exclude_allocated(spend, *picked)
+    supers = W.regroup_spend(rest.where(F.col(C.GROUP).isin(list(spec.super_groups))), dict(spec.super_groups))
+    mapping = spark.createDataFrame([(sorted(s), t) for s, t in spec.set_mapping],
+                                    f"gr_set array<string>, {C.GROUP} string")
+    mapped = W.map_sets(P.household_group_sets(supers), mapping, R.rank_spend(supers, rows_bound=bound))
+    out["sets"] = stage_table(W.limit_by_quota(mapped, dict(spec.super_quota), rows_bound=bound), "sets")
+    picked.append(out["sets"])
+
+    if spec.both:
+        rest = W.exclude_allocated(spend, *picked)
+        out["both"] = stage_table(W.bought_all(rest, spec.both, label=spec.both_label), "both")
+        picked.append(out["both"])
+
+    for i, st in enumerate(spec.departments):
+        rest = W.exclude_allocated(spend, *picked)
+        cand = W.bought_excluding_lines(rest, st.departments, f"~d{i}")
+        ranks = R.rank_spend(rest, names=st.departments, label=st.label, rows_bound=bound)
+        out[st.label] = stage_table(W.top_k(cand, ranks, st.quota, rows_bound=bound), st.label)
+        picked.append(out[st.label])
+
+    out["combined"] = W.combine_allocations(*picked)
+    return out

@@ -45,3 +45,24 @@ def test_purchase_propensity(spark):
     out = purchase_propensity(txn, dim, targets, "2022-01-25")
     r = out.collect()[0]
     assert r["smth_prchs_cyc"] == 10.0 and r["day_last_to_cmp_str"] == 4
+
+
+def test_declarative_waterfall_matches_fixture_chain(spark):
+    """run_waterfall with the fixture's spec picks what the fixture chain picks."""
+    from audix.plans import chains as K
+    from audix.plans import specs as S
+    from audix.plans.workflows import DepartmentStage, WaterfallSpec, run_waterfall
+    from audix.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    n = S.customers(spark, sf)
+    q1, q2 = S.scaled(S.Q1_BASE, n), S.scaled(S.Q2_BASE, n)
+    spec = WaterfallSpec(
+        family=S.EXCLUSIVE_FAMILY, exclusive_quota={g: q1 for g in S.EXCLUSIVE_FAMILY},
+        super_groups=S.SUPER_GROUPS, set_mapping=S.SET_MAPPING, super_quota={"4_abc": q2, "9_def": q2},
+        both=S.BOTH_GROUPS, both_label=S.BOTH_LABEL,
+        departments=[DepartmentStage(S.G5_DEPARTMENTS, S.G5_EXCLUDED, S.G5_LABEL, S.G5_FACTOR * q1),
+                     DepartmentStage(S.G11_DEPARTMENTS, S.G11_EXCLUDED, S.G11_LABEL, S.G11_FACTOR * q1)])
+    got = run_waterfall(fixtures.transactions(spark, sf), S.waterfall_groups(spark, sf), spec)
+    want = K.waterfall(spark, sf).combined
+    assert rows(got["combined"]) == rows(want)
+    assert set(got) == {"exclusive", "sets", "both", S.G5_LABEL, S.G11_LABEL, "combined"}
