@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from audix import contracts as C
 from audix.operators.pool import pool_long
-from audix.operators.ranking import top_within
+from audix.operators.ranking import rank_within, top_within
 from audix.sources.readers import union_all
 from audix.sources.sinks import stage_table
 
@@ -90,6 +90,48 @@ def _single_group_pass(long: DataFrame, parts: list[DataFrame], order, allocated
     return picked if got else None
 
 
+def _deferred_pass(long: DataFrame, parts: list[DataFrame], order, allocated: Counter, n: int, bound: int,
+                   log: list[dict]) -> DataFrame | None:
+    """One pass as deferred acceptance: in each round every unplaced
+    household proposes to its next eligible row (in pass order) and every row
+    keeps its best households up to its room; rejected households move on.
+    With one row per audience (rooms fixed at the start) this gives the same
+    picks as running the rows one after another, in at most #rows rounds of
+    one job each instead of one job per row."""
+    spark = long.sparkSession
+    rows = [(pos, gr, ca, max(0, q - allocated[ca])) for pos, (gr, ca, q) in enumerate(order, start=1)]
+    for pos, gr, ca, room in rows:
+        log.append({"pass_n": n, "step": pos, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": room, "picked": 0})
+    live = [r for r in rows if r[3] > 0]
+    if not live:
+        return None
+    caps = spark.createDataFrame(live, f"step int, {C.GROUP} string, {C.AUDIENCE} string, _room long")
+    cand = long.where(F.col(C.GROUP_COUNT) == n)
+    if parts:
+        cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
+    # (household, eligible row) pairs of this pass, staged once.
+    cand = stage_table(cand.join(F.broadcast(caps), C.GROUP), "pass-cand")
+    ptr = cand.groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step"))
+    while True:
+        proposals = cand.join(ptr, [C.HOUSEHOLD, "step"])
+        ranked = rank_within(proposals, ["step"], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], "_k",
+                             rows_bound=bound)
+        ranked = stage_table(ranked.withColumn("_held", F.col("_k") <= F.col("_room")), "pass-round")
+        rejected = ranked.where(~F.col("_held")).select(C.HOUSEHOLD, F.col("step").alias("_cur"))
+        moved = stage_table(cand.join(rejected, C.HOUSEHOLD).where(F.col("step") > F.col("_cur"))
+                            .groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step")), "pass-next")
+        if moved.count() == 0:
+            break
+        ptr = ranked.where(F.col("_held")).select(C.HOUSEHOLD, "step").unionByName(moved)
+    picked = stage_table(ranked.where(F.col("_held")).select(
+        C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", F.lit(n).alias("pass_n"), "step"), "picks")
+    got = {r[0]: int(r[1]) for r in picked.groupBy(C.AUDIENCE).count().collect()}
+    for entry in log[-len(rows):]:
+        entry["picked"] = got.get(entry[C.AUDIENCE], 0)
+    allocated.update(got)
+    return picked if got else None
+
+
 def remaining_quota(spec: DataFrame, picks: DataFrame | None = None) -> DataFrame:
     """Spec rows with households allocated so far to their audience, the
     number still open and its share of the quota (null for a zero quota)."""
@@ -115,9 +157,11 @@ def merge_picks(pool: DataFrame, picks: DataFrame) -> DataFrame:
 
 
 def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3, 4),
-             picks: DataFrame | None = None) -> Allocation:
+             picks: DataFrame | None = None, method: str = "serial") -> Allocation:
     """Sequential quota allocation (see module doc). ``picks`` resumes from
-    earlier picks (same columns as the result)."""
+    earlier picks (same columns as the result). ``method="deferred"`` runs a
+    pass as deferred acceptance (fewer jobs for specs with many rows) when
+    every audience is on one row; other passes run serially."""
     spark = pool.sparkSession
     rows = _spec_rows(spec)
     # One folder per combination size: a step reads only its size's folder.
@@ -142,6 +186,11 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
             if got is not None:
                 parts.append(got)
             continue
+        if method == "deferred" and len({r[1] for r in order}) == len(order):
+            got = _deferred_pass(long, parts, order, allocated, n, bound, log)
+            if got is not None:
+                parts.append(got)
+            continue
         for step, (gr, ca, quota) in enumerate(order, start=1):
             to_alloc = max(0, quota - allocated[ca])
             entry = {"pass_n": n, "step": step, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": to_alloc, "picked": 0}

@@ -48,12 +48,12 @@ def spark_pool(spark, pool):
     return allocation_pool(spark.createDataFrame(data, "household_id long, gr_nm string, gr_sales_rank int"))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_allocation_matches_model(spark, seed):
+@pytest.mark.parametrize("seed,method", [(1, "serial"), (2, "serial"), (1, "deferred"), (3, "deferred")])
+def test_allocation_matches_model(spark, seed, method):
     rnd = random.Random(100 + seed)
     pool = random_pool(seed)
     spec = [(g, f"ca_{g}", rnd.randint(2, 12)) for g in "abcd"]
-    alloc = allocate(spark_pool(spark, pool), spark.createDataFrame(spec, SPEC))
+    alloc = allocate(spark_pool(spark, pool), spark.createDataFrame(spec, SPEC), method=method)
     got = rows(alloc.picks, C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", "pass_n", "step")
     assert got == model(pool, spec)
     # every household at most once, no audience over quota
@@ -107,14 +107,14 @@ from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10_000), quotas=st.lists(st.integers(0, 9), min_size=4, max_size=4),
-       shared=st.booleans())
-def test_allocation_property(spark, seed, quotas, shared):
+       shared=st.booleans(), method=st.sampled_from(["serial", "deferred"]))
+def test_allocation_property(spark, seed, quotas, shared, method):
     """Random pools and specs (zero quotas, an audience on two rows) against the model."""
     pool = random_pool(seed, n_hh=25)
     names = ["A", "A", "C", "D"] if shared else ["A", "B", "C", "D"]
     spec = [(g, ca, q) for g, ca, q in zip("abcd", names, quotas)]
-    alloc = allocate(spark_pool(spark, pool), spark.createDataFrame(spec, SPEC))
+    alloc = allocate(spark_pool(spark, pool), spark.createDataFrame(spec, SPEC), method=method)
     got = rows(alloc.picks, C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", "pass_n", "step")
     assert got == model(pool, spec)
