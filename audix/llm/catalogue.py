@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import sharding, url_filter
+from audix.llm import bpe, sharding, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -21,6 +22,14 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def rank_file() -> bytes:
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), rank_file(), public_tokenizers.PATTERN)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"), N_SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -28,4 +37,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_url_filters": op2_url_filters, "op10_sharding": op10_sharding}
+    return {"op2_url_filters": op2_url_filters, "op4_byte_bpe": op4_byte_bpe, "op10_sharding": op10_sharding}
