@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import bpe, sharding, url_filter
+from audix.llm import bpe, sharding, toxicity, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -30,6 +30,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), rank_file(), public_tokenizers.PATTERN)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"), N_SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -37,4 +41,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_url_filters": op2_url_filters, "op4_byte_bpe": op4_byte_bpe, "op10_sharding": op10_sharding}
+    return {"op2_url_filters": op2_url_filters, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
+            "op10_sharding": op10_sharding}
