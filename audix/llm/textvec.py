@@ -70,6 +70,7 @@ class Words:
     ends: np.ndarray
     doc: np.ndarray
     hashes: np.ndarray
+    prefixes: np.ndarray | None = None
 
     @property
     def bounds(self) -> np.ndarray:
@@ -82,7 +83,7 @@ class Words:
         return before[at] - before[self.offsets[doc]]
 
 
-def _words(first: int, texts: list[bytes], kind: np.ndarray, fold: bool) -> Words:
+def _words(first: int, texts: list[bytes], kind: np.ndarray, fold: bool, prefix: int = 0) -> Words:
     buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     offsets = np.concatenate([[0], np.cumsum(lengths)])[:-1]
@@ -94,21 +95,28 @@ def _words(first: int, texts: list[bytes], kind: np.ndarray, fold: bool) -> Word
     total = np.empty(len(buffer) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum((_FOLDED if fold else _EXACT)[buffer] * _table("powers", _M, len(buffer)), out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * _table("inverse", _INVERSE, len(buffer))[starts])
+    back = _table("inverse", _INVERSE, len(buffer))[starts]
+    hashes = mix((total[ends] - total[starts]) * back)
+    heads = mix((total[np.minimum(starts + prefix, ends)] - total[starts]) * back) if prefix else None
     doc = np.searchsorted(offsets, starts, side="right") - 1
-    return Words(first, len(texts), buffer, offsets, starts, ends, doc, hashes)
+    return Words(first, len(texts), buffer, offsets, starts, ends, doc, hashes, heads)
 
 
-def blocks(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False) -> Iterator[Words]:
-    """Words of ``texts``, block by block; ``fold`` hashes A-Z as a-z."""
+def blocks(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False, prefix: int = 0) -> Iterator[Words]:
+    """Words of ``texts``, block by block; ``fold`` hashes A-Z as a-z, ``prefix`` also hashes so many first bytes."""
     first, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > BLOCK:
-            yield _words(first, texts[first:i], kind, fold)
+            yield _words(first, texts[first:i], kind, fold, prefix)
             first, size = i, 0
         size += len(t) + 1
     if first < len(texts):
-        yield _words(first, texts[first:], kind, fold)
+        yield _words(first, texts[first:], kind, fold, prefix)
+
+
+def together(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False, prefix: int = 0) -> Words:
+    """Words of all ``texts`` as one block (for lists that are known to be small)."""
+    return _words(0, texts, kind, fold, prefix)
 
 
 def raw_texts(column: pa.Array) -> list[bytes]:

@@ -1,13 +1,14 @@
 """Toxic spans and document scores from a linear-chain CRF (operator 7).
 
 Tokens are runs of letters and digits, lower-cased. The chain has the states
-clean and toxic. A token's potential sums weights of itself, its left and its right neighbour
-(hashed into ``BUCKETS``); transitions have a weight each.
+clean and toxic. A token's potential sums weights of itself, its first ``STEM`` bytes, its left
+and its right neighbour (hashed into ``BUCKETS``); transitions have a weight each.
 
 Training takes a bounded sample of the labelled rows (``sample`` documents of at
-most ``sample_bytes`` each, the first in hash order). Labelled tokens come from
+most ``sample_bytes`` each, the first in hash order), without those that mostly
+repeat an earlier one of the sample. Labelled tokens come from
 labelled documents: a token of a toxic document is toxic if documents with its
-type are toxic significantly more often than others (``Z``). Weights follow the gradient of the
+type, or its stem, are toxic significantly more often than others (``Z``). Weights follow the gradient of the
 log-likelihood, with expectations from the forward-backward recursion. A small
 logistic model then turns a document's marginals (their sum, largest value and
 mean) into the score.
@@ -37,6 +38,7 @@ from audix.llm import textvec
 
 BUCKETS = 1 << 18
 SEGMENT = 64
+STEM = 4
 #: Documents that the model is fitted on, and the longest of them in bytes.
 SAMPLE, SAMPLE_BYTES = 3000, 1 << 15
 Z = 4.0
@@ -47,6 +49,7 @@ SPANS = "array<struct<start:bigint,end:bigint>>"
 @dataclass
 class Model:
     token: np.ndarray
+    stem: np.ndarray
     left: np.ndarray
     right: np.ndarray
     bias: float
@@ -54,7 +57,7 @@ class Model:
     score: np.ndarray  # intercept and weights of the document features
 
     def slim(self) -> "Model":
-        return Model(*(x.astype(np.float32) for x in (self.token, self.left, self.right)), self.bias, self.moves, self.score)
+        return Model(*(x.astype(np.float32) for x in (self.token, self.stem, self.left, self.right)), self.bias, self.moves, self.score)
 
 
 def held_out(id_col: Column) -> Column:
@@ -78,6 +81,7 @@ class Chains:
         self.live = np.zeros(self.shape, bool)
         self.live.reshape(-1)[self.cell] = True
         self.type = (words.hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
+        self.stem = (words.prefixes & np.uint64(BUCKETS - 1)).astype(np.int64)
         self.doc = words.doc
         starts, ends = np.zeros(len(inside), bool), np.zeros(len(inside), bool)
         some = n > 0
@@ -88,7 +92,8 @@ class Chains:
         self.right = np.concatenate([self.type[1:], [0]]) if len(self.type) else self.type
 
     def potentials(self, m: Model) -> np.ndarray:
-        return m.bias + m.token[self.type] + m.left[self.left] * self.has_left + m.right[self.right] * self.has_right
+        return (m.bias + m.token[self.type] + m.stem[self.stem]
+                + m.left[self.left] * self.has_left + m.right[self.right] * self.has_right)
 
     def marginals(self, m: Model, pairs: bool = False):
         """P(toxic) of each token; with ``pairs`` also the expected counts of the moves."""
@@ -150,31 +155,46 @@ class Chains:
 
 
 def label_tokens(c: Chains, toxic: np.ndarray) -> np.ndarray:
-    """1 for tokens of toxic documents whose type is significantly frequent in them."""
-    pair = np.unique(c.doc.astype(np.int64) * BUCKETS + c.type)
-    doc, kind = pair // BUCKETS, pair % BUCKETS
-    n = np.bincount(kind, minlength=BUCKETS)
-    k = np.bincount(kind, toxic[doc], BUCKETS)
-    share = toxic.mean()
-    z = (k - n * share) / np.sqrt(n * share * (1 - share) + 1)
-    return (z > Z)[c.type] & (toxic[c.doc] > 0)
+    """1 for tokens of toxic documents whose type or stem is significantly frequent in them."""
+    share, found = toxic.mean(), False
+    for kinds in (c.type, c.stem):
+        pair = np.unique(c.doc.astype(np.int64) * BUCKETS + kinds)
+        n = np.bincount(pair % BUCKETS, minlength=BUCKETS)
+        k = np.bincount(pair % BUCKETS, toxic[pair // BUCKETS], BUCKETS)
+        found = found | ((k - n * share) / np.sqrt(n * share * (1 - share) + 1) > Z)[kinds]
+    return found & (toxic[c.doc] > 0)
+
+
+def unrepeated(words: textvec.Words) -> np.ndarray:
+    """Documents less than half of whose five-word runs occur in an earlier one."""
+    seen: set[int] = set()
+    keep = np.zeros(words.count, bool)
+    bounds = words.bounds
+    for d in range(words.count):
+        runs = textvec.gram_hashes(words.hashes[bounds[d]:bounds[d + 1]], 5).tolist()
+        keep[d] = 2 * sum(r in seen for r in runs) <= len(runs)
+        seen.update(runs)
+    return keep
 
 
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
     """Weights from labelled documents."""
     zero = lambda: np.zeros(BUCKETS)
     base = np.array([np.log((toxic.sum() + 1) / (len(toxic) - toxic.sum() + 1)), 0, 0, 0])
-    model = Model(zero(), zero(), zero(), -3.0, np.zeros((2, 2)), base)
+    model = Model(zero(), zero(), zero(), zero(), -3.0, np.zeros((2, 2)), base)
     if not 0 < toxic.sum() < len(toxic):
         return model
-    raw = [textvec._words(0, texts, textvec.ALPHANUMERIC, True)]
-    c = Chains(raw[0])
+    keep = unrepeated(textvec.together(texts, textvec.ALPHANUMERIC, True))
+    texts, toxic = [t for t, k in zip(texts, keep) if k], toxic[keep]
+    if not 0 < toxic.sum() < len(toxic):
+        return model
+    c = Chains(textvec.together(texts, textvec.ALPHANUMERIC, True, STEM))
     y = label_tokens(c, toxic).astype(float)
     before = np.where(c.has_left, np.concatenate([[0], y[:-1]]), 0).astype(int)
     seen = np.bincount(before * 2 + y.astype(int), minlength=4).reshape(2, 2)
-    weights = [model.token, model.left, model.right]
-    grids = [(c.type, 1.0), (c.left, c.has_left), (c.right, c.has_right)]
-    first, second = [[0.0] * 5 for _ in range(2)]
+    weights = [model.token, model.stem, model.left, model.right]
+    grids = [(c.type, 1.0), (c.stem, 1.0), (c.left, c.has_left), (c.right, c.has_right)]
+    first, second = [[0.0] * 6 for _ in range(2)]
     for k in range(1, ROUNDS + 1):
         p, moves = c.marginals(model, pairs=True)
         gap = y - p
@@ -184,9 +204,9 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.99 * second[i] + 0.01 * g * g
             step = STEP * (first[i] / (1 - 0.9 ** k)) / (np.sqrt(second[i] / (1 - 0.99 ** k)) + 1e-3)
-            if i < 3:
+            if i < 4:
                 weights[i] += step
-            elif i == 3:
+            elif i == 4:
                 model.bias += float(step)
             else:
                 step[0, 0] = 0
@@ -223,7 +243,7 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", id_col: s
         m = shared.value
         for batch in textvec.small_batches(batches):
             scores, spans = [], []
-            for w in textvec.blocks(textvec.raw_texts(batch.column(1)), textvec.ALPHANUMERIC, fold=True):
+            for w in textvec.blocks(textvec.raw_texts(batch.column(1)), textvec.ALPHANUMERIC, fold=True, prefix=STEM):
                 c = Chains(w)
                 p = c.marginals(m)
                 scores.append(1 / (1 + np.exp(-(c.features(p) @ m.score))))
