@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import bpe, decontaminate, fingerprint, sharding, toxicity, url_filter
+from audix.llm import bpe, decontaminate, fingerprint, pii, sharding, toxicity, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -30,6 +30,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), rank_file(), public_tokenizers.PATTERN)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,5 +54,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_url_filters": op2_url_filters, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
-            "op6_decontamination": op6_decontamination, "op8_fingerprints": op8_fingerprints,
+            "op5_pii": op5_pii, "op6_decontamination": op6_decontamination, "op8_fingerprints": op8_fingerprints,
             "op10_sharding": op10_sharding}
