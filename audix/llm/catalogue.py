@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import bpe, decontaminate, fingerprint, pii, sharding, toxicity, url_filter
+from audix.llm import bpe, decontaminate, fingerprint, ngram_join, pii, sharding, toxicity, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -22,6 +22,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def rank_file() -> bytes:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -53,6 +57,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_url_filters": op2_url_filters, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
+    return {"op2_url_filters": op2_url_filters, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
             "op5_pii": op5_pii, "op6_decontamination": op6_decontamination, "op8_fingerprints": op8_fingerprints,
             "op10_sharding": op10_sharding}

@@ -258,6 +258,28 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", id_col: s
     return rows.mapInArrow(run, f"doc_id {kind}, score double, predicted int, spans {SPANS}")
 
 
+def scores(texts: list[bytes], m: Model) -> np.ndarray:
+    """Scores of texts."""
+    found = [np.empty(0)]
+    for w in textvec.blocks(texts, textvec.ALPHANUMERIC, fold=True, prefix=STEM):
+        c = Chains(w)
+        found.append(1 / (1 + np.exp(-(c.features(c.marginals(m)) @ m.score))))
+    return np.concatenate(found)
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, all columns, that score below one half."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(*sample_labelled(docs, labels, text_col, id_col)))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in textvec.small_batches(batches):
+            keep = scores(textvec.raw_texts(batch.column(at)), shared.value) < 0.5
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _spans(w: textvec.Words, p: np.ndarray) -> list[list[dict]]:
     """Runs of consecutive toxic tokens of each text."""
     out: list[list[dict]] = [[] for _ in range(w.count)]
