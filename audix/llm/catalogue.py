@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import bpe, decontaminate, fingerprint, ngram_join, pii, sharding, toxicity, url_filter
+from audix.llm import bpe, decontaminate, fingerprint, ngram_join, pii, sharding, substring_dedup, toxicity, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -50,6 +50,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"), N_SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -59,4 +63,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_url_filters": op2_url_filters, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
             "op5_pii": op5_pii, "op6_decontamination": op6_decontamination, "op8_fingerprints": op8_fingerprints,
-            "op10_sharding": op10_sharding}
+            "op9_substring_dedup": op9_substring_dedup, "op10_sharding": op10_sharding}

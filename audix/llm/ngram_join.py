@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm import textvec
+from audix.llm.bits import bit_table, is_set, with_bit
 from audix.llm.common import staged
 from audix.llm.components import components
 
@@ -45,8 +46,6 @@ SHINGLE = 5
 #: Link at overlap / union >= NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 75, 100
 LOWEST = 40
-#: Bits of the table that prefilters classes.
-BITS = 1 << 24
 #: Classes and shingles of a block.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 1 << 19
 #: Columns of the incidence matrix multiplied at a time.
@@ -114,8 +113,7 @@ def _sets_of(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
         for batch in textvec.small_batches(batches):
             for _, bounds, grams in shingle_sets(textvec.raw_texts(batch.column(0))):
                 c1, c2, n = _class(bounds, grams)
-                at = (c1.view(np.uint64) & np.uint64(BITS - 1)).astype(np.int64)
-                keep = pa.array(((bits[at >> 5] >> (at & 31)) & 1 == 1) & (n > 2))
+                keep = pa.array(is_set(bits, c1) & (n > 2))
                 out = pa.RecordBatch.from_arrays([pa.array(c1), pa.array(c2), pa.array(n), _lists(bounds, grams)],
                                                  ["c1", "c2", "n", "shingles"])
                 yield out.filter(keep)
@@ -123,17 +121,6 @@ def _sets_of(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
     return rows.select("_text").mapInArrow(run, "c1 bigint, c2 bigint, n bigint, shingles array<bigint>")
 
 
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """Fixed-size table with the bits of a hash column set (at most ``BITS / 32`` rows reach the driver)."""
-    (name,) = hashes.columns
-    at = F.col(name).bitwiseAND(F.lit(BITS - 1))
-    words = (hashes.select(F.shiftright(at, 5).alias("w"), F.expr(f"shiftleft(1L, int({name} & 31))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    out = np.zeros(BITS >> 5, np.int64)
-    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
-    return out
-
-
 def _bounded(sets: DataFrame) -> DataFrame:
     """cid of the classes enough of whose shingles occur in another class of ``sets``."""
     cells = sets.select("cid", "n", F.explode(F.transform("shingles", lambda h: F.shiftright(h, 24))).alias("h"))
@@ -281,18 +268,5 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc"))
     hashed = numbered.withColumn("_hash", F.xxhash64("_row"))
     table = bit_table(dropped.select(F.xxhash64("_row").alias("h")))
-    suspects = _with_bit(hashed, table, True).join(dropped, "_row", "left_anti")
-    return _with_bit(hashed, table, False).unionByName(suspects).select("_doc.*")
-
-
-def _with_bit(rows: DataFrame, bits: np.ndarray, value: bool) -> DataFrame:
-    """Rows whose ``_hash`` has its bit set (or not) in a fixed-size table."""
-    table = rows.sparkSession.sparkContext.broadcast(bits)
-    at = rows.columns.index("_hash")
-
-    def run(batches):
-        for batch in batches:
-            h = (batch.column(at).to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(BITS - 1)).astype(np.int64)
-            yield batch.filter(pa.array(((table.value[h >> 5] >> (h & 31)) & 1 == 1) == value))
-
-    return rows.mapInArrow(run, rows.schema)
+    suspects = with_bit(hashed, table, True).join(dropped, "_row", "left_anti")
+    return with_bit(hashed, table, False).unionByName(suspects).select("_doc.*")
