@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import bpe, decontaminate, fingerprint, ngram_join, pii, sharding, substring_dedup, toxicity, url_filter
+from audix.llm import bpe, decontaminate, fingerprint, language_id, ngram_join, pii, sharding, substring_dedup, toxicity, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -17,6 +17,13 @@ URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/
 N_SHARDS = 16
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    names, model = language_id.fit(language_id.sample(docs))
+    rows = language_id.pages_and_documents(table(spark, sf_dir, "pages"), docs)
+    return language_id.identify(rows, names, model, ["doc_id", "page_id"])
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filter.host_rule(*r) for r in URL_RULES] + list(url_filter.PATTERNS)
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
@@ -61,6 +68,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_url_filters": op2_url_filters, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
+    return {"op1_language_id": op1_language_id, "op2_url_filters": op2_url_filters, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
             "op5_pii": op5_pii, "op6_decontamination": op6_decontamination, "op8_fingerprints": op8_fingerprints,
             "op9_substring_dedup": op9_substring_dedup, "op10_sharding": op10_sharding}
