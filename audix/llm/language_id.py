@@ -60,7 +60,7 @@ def fit(texts: dict[str, list[bytes]]) -> tuple[list[str], np.ndarray]:
     for k, name in enumerate(names):
         counts = np.bincount(trigram_buckets(texts[name])[0], minlength=BUCKETS) + 0.5
         table[:, k] = np.log(counts / counts.sum())
-    return names, table - table.mean(axis=1, keepdims=True)
+    return names, table - table.mean(axis=1, keepdims=True) if names else table
 
 
 def likelihoods(texts: list[bytes], table: np.ndarray) -> np.ndarray:
@@ -123,6 +123,9 @@ def identify(rows: DataFrame, names: list[str], table: np.ndarray, keep: list[st
 
     Returns the columns ``keep`` and lang, probability, text_lang.
     """
+    if not names:
+        none = {"lang": "string", "probability": "double", "text_lang": "string"}
+        return rows.select(*keep, *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(table)
     # Keys for grouping: a null piece of evidence is the empty string.
@@ -147,10 +150,9 @@ def identify(rows: DataFrame, names: list[str], table: np.ndarray, keep: list[st
     def summed(*by: str) -> DataFrame:
         return judged.groupBy(*by).agg(F.array(*(F.sum(F.get("_share", F.lit(i))) for i in k)).alias("_sum"))
 
-    total = summed().first()["_sum"]
-    total = [x or 0.0 for x in total] if total else []
+    total = [x or 0.0 for x in summed().first()["_sum"]]
     mass = sum(total) + len(names)
-    overall = F.array(*(F.lit((x + 1) / mass) for x in total)) if total else F.array().cast("array<double>")
+    overall = F.array(*(F.lit((x + 1) / mass) for x in total))
 
     def shares(sums: Column, parent: Column) -> Column:
         n = F.aggregate(sums, F.lit(0.0), lambda a, x: a + x) + WEIGHT
@@ -161,7 +163,7 @@ def identify(rows: DataFrame, names: list[str], table: np.ndarray, keep: list[st
     hosts = summed("_host", "_suffix").where("_host != ''").withColumnRenamed("_sum", "_host_sum")
     hosts = hosts.join(suffixes, "_suffix")
     declared = (summed("_declared").where("_declared != ''")
-                .select("_declared", F.zip_with("_sum", F.array(*(F.lit(float(x)) for x in total)).cast("array<double>"),
+                .select("_declared", F.zip_with("_sum", F.array(*(F.lit(float(x)) for x in total)),
                                                 lambda s, t: F.log((s + 0.1) / (t + 1.0))).alias("_declared_log")))
     joined = judged.join(hosts, ["_host", "_suffix"], "left").join(declared, "_declared", "left")
     others = F.zip_with("_host_sum", "_share", lambda s, p: s - p)
@@ -170,7 +172,7 @@ def identify(rows: DataFrame, names: list[str], table: np.ndarray, keep: list[st
     logs = F.when(F.col("_declared_log").isNotNull(),
                   F.zip_with(logs, "_declared_log", lambda a, b: a + b)).otherwise(logs)
     joined = joined.withColumn("_log", logs).withColumn("_best", F.array_max("_log"))
-    known = F.array(*(F.lit(n) for n in names)) if names else F.array().cast("array<string>")
+    known = F.array(*(F.lit(n) for n in names))
     weight = F.aggregate(F.transform("_log", lambda x: F.exp(x - F.col("_best"))), F.lit(0.0), lambda a, x: a + x)
     return joined.select(
         "_keep.*", F.get(known, F.array_position("_log", F.col("_best")).cast("int") - 1).alias("lang"),

@@ -180,7 +180,7 @@ def unrepeated(words: textvec.Words) -> np.ndarray:
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
     """Weights from labelled documents."""
     zero = lambda: np.zeros(BUCKETS)
-    base = np.array([np.log((toxic.sum() + 1) / (len(toxic) - toxic.sum() + 1)), 0, 0, 0])
+    base = np.array([np.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 1.5)), 0, 0, 0])
     model = Model(zero(), zero(), zero(), zero(), -3.0, np.zeros((2, 2)), base)
     if not 0 < toxic.sum() < len(toxic):
         return model
