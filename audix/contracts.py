@@ -12,7 +12,7 @@ WEEK = "week_id"
 PERIOD = "period_id"
 SPEND = "net_spend_amt"
 UNITS = "pkg_weight_unit"
-CHANNEL = "store_format_online_subchannel_other"
+CHANNEL = "channel"
 SEGMENT = "seg_desc"
 GROUP = "gr_nm"
 RANK = "gr_sales_rank"
@@ -25,6 +25,9 @@ GROUP_LIST = "gr_nm_list"
 GROUP_COUNT = "n_gr"
 RANK_MAP = "gr_rank_map"
 
+#: Columns of a household's buying rhythm.
+RHYTHM = (HOUSEHOLD, "last_date", "n_gaps", "cycle_days", "days_per_unit")
+
 # Fixed values of the method (kept as the reference states them).
 SEGMENT_LOOKBACK_DAYS = 180        # segment look-back from the campaign end
 SMOOTHING_ALPHA = 0.5              # weight of the latest purchase cycle
@@ -32,10 +35,10 @@ CAMPAIGN_DAYS = 14                 # campaign window length in days
 CONTROL_FRACTION = 0.05            # control share in every stratum
 ONE_TIME_LABEL = "onetime"         # one distinct visit
 MULTI_TIME_LABEL = "multitimes"    # two or more distinct visits
-CHANNEL_HDE = "HDE"
-CHANNEL_GOFRESH = "GoFresh"
 
 # Our own labels.
+CHANNEL_DELIVERY = "delivery"
+CHANNEL_PICKUP = "pickup"
 SEGMENT_FILL_LABEL = "No segment data"
 ARM_TEST = "test"
 ARM_CONTROL = "ctrl"

@@ -4,19 +4,24 @@ Spec: rows (gr_nm, ca_nm, n_ca) -- households of group ``gr_nm`` may go to
 audience ``ca_nm``, which takes at most ``n_ca`` households in all.
 
 ``allocate`` runs passes over combination sizes n (households that bought
-exactly n of the pooled groups). Before each pass the spec rows are ordered
-by the share of their quota still open (descending), then audience and group
-names. Within a pass the rows pick one after another: a row takes the best
-``n_ca - already allocated to its audience`` unallocated households of size n
-that bought its group, by their rank in the group. Each household ends in at
-most one audience, and an audience on several spec rows never exceeds its
-quota.
-
-The loop runs on the driver over spec rows (spec-size); every step is one
-Spark job over the long pool, and its picks are held in a staged table so
-later steps anti-join a short plan. Only counts come back to the driver.
-The size-1 pass is a single job when its rows share no group and no
-audience, since its rows then cannot compete for a household.
+exactly n of the pooled groups). Before each pass the spec rows are put in order
+(``remaining_quota``: by the share of their quota still open, descending, then
+audience and group names). Within a pass the rows pick one after another: a row
+takes the best ``n_ca - already allocated to its audience`` unallocated
+households of size n that bought its group, by their rank in the group. Each
+household ends in at most one audience, and an audience on several spec rows
+never exceeds its quota.
+
+When every audience is on one spec row, the room of a row is fixed before the
+pass, and the pass runs as deferred acceptance: every unplaced household
+proposes to its next row in pass order, every row keeps its best households up
+to its room, the others move on. That gives the same picks as one row after
+another, in a few jobs per round whatever the number of rows. A pass in which an
+audience is on several rows runs row by row, with a few jobs for each.
+
+The driver holds spec rows and counts only. With ``state_path`` every pass
+leaves its picks there; a later call goes on after the last finished pass,
+or starts over with ``reset``.
 """
 
 from __future__ import annotations
@@ -25,17 +30,19 @@ from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from audix import contracts as C
 from audix.operators.pool import pool_long
-from audix.operators.ranking import rank_within, top_within
+from audix.operators.ranking import pick_by_rank
 from audix.sources.readers import union_all
-from audix.sources.sinks import stage_table
+from audix.sources.sinks import stage_table, write_table
 
-SPEC_SCHEMA = f"{C.GROUP} string, {C.AUDIENCE} string, {C.QUOTA} long"
 PICKS_COLUMNS = [C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", "pass_n", "step"]
+PICKS_SCHEMA = (f"{C.HOUSEHOLD} long, {C.AUDIENCE} string, {C.GROUP} string, {C.GROUP_COUNT} int, "
+                "rank int, pass_n int, step int")
 
 
 @dataclass
@@ -45,104 +52,69 @@ class Allocation:
     log: list[dict] = field(default_factory=list)   # one entry per step (spec-size)
 
 
-def _spec_rows(spec: DataFrame) -> list[tuple[str, str, int]]:
-    return [(r[C.GROUP], r[C.AUDIENCE], int(r[C.QUOTA] or 0))
-            for r in spec.select(C.GROUP, C.AUDIENCE, C.QUOTA).collect()]
-
-
-def _order(rows, allocated: Counter) -> list[tuple[str, str, int]]:
-    live = [r for r in rows if r[2] > 0]
-    return sorted(live, key=lambda r: (-(max(0, r[2] - allocated[r[1]]) / r[2]), r[1], r[0]))
-
-
-def _independent(order) -> bool:
-    """Rows never compete in the size-1 pass when no two share a group (a
-    size-1 household has one group, so it is a candidate of one row only) and
-    no two share an audience (so every row's room is fixed at the start)."""
-    return len({r[0] for r in order}) == len(order) and len({r[1] for r in order}) == len(order)
-
-
-def _single_group_pass(long: DataFrame, parts: list[DataFrame], order, allocated: Counter, bound: int,
-                       log: list[dict]) -> DataFrame | None:
-    """The size-1 pass in one job: every row takes its best households at
-    once (same picks as running the rows one after another, see
-    :func:`_independent`)."""
-    spark = long.sparkSession
-    rows = [(pos, gr, ca, max(0, q - allocated[ca])) for pos, (gr, ca, q) in enumerate(order, start=1)]
-    for pos, gr, ca, room in rows:
-        log.append({"pass_n": 1, "step": pos, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": room, "picked": 0})
-    live = [r for r in rows if r[3] > 0]
-    if not live:
-        return None
-    caps = spark.createDataFrame(live, f"step int, {C.GROUP} string, {C.AUDIENCE} string, _room long")
-    cand = long.where(F.col(C.GROUP_COUNT) == 1)
+def _free(long: DataFrame, n: int, parts: list[DataFrame]) -> DataFrame:
+    """Rows of unallocated households of size ``n``."""
+    cand = long.where(F.col(C.GROUP_COUNT) == n)
     if parts:
         cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
-    cand = cand.join(F.broadcast(caps), C.GROUP)    # spec-size
-    best = top_within(cand, [C.GROUP], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], F.col("_room"),
-                      name="_pick", rows_bound=bound)
-    picked = stage_table(best.select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank",
-                                     F.lit(1).alias("pass_n"), "step"), "picks")
-    got = {r[0]: int(r[1]) for r in picked.groupBy(C.AUDIENCE).count().collect()}
-    for entry in log[-len(rows):]:
-        entry["picked"] = got.get(entry[C.AUDIENCE], 0)
-    allocated.update(got)
-    return picked if got else None
-
-
-def _deferred_pass(long: DataFrame, parts: list[DataFrame], order, allocated: Counter, n: int, bound: int,
-                   log: list[dict]) -> DataFrame | None:
-    """One pass as deferred acceptance: in each round every unplaced
-    household proposes to its next eligible row (in pass order) and every row
-    keeps its best households up to its room; rejected households move on.
-    With one row per audience (rooms fixed at the start) this gives the same
-    picks as running the rows one after another, in at most #rows rounds of
-    one job each instead of one job per row."""
-    spark = long.sparkSession
-    rows = [(pos, gr, ca, max(0, q - allocated[ca])) for pos, (gr, ca, q) in enumerate(order, start=1)]
-    for pos, gr, ca, room in rows:
-        log.append({"pass_n": n, "step": pos, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": room, "picked": 0})
-    live = [r for r in rows if r[3] > 0]
+    return cand
+
+
+def _deferred_pass(long: DataFrame, parts: list[DataFrame], order: list[dict], n: int) -> DataFrame | None:
+    """Picks of one pass by deferred acceptance (see module doc)."""
+    live = [(r["position"], r[C.GROUP], r[C.AUDIENCE], r["to_alloc"]) for r in order if r["to_alloc"] > 0]
     if not live:
         return None
-    caps = spark.createDataFrame(live, f"step int, {C.GROUP} string, {C.AUDIENCE} string, _room long")
-    cand = long.where(F.col(C.GROUP_COUNT) == n)
-    if parts:
-        cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
+    caps = long.sparkSession.createDataFrame(live, f"step int, {C.GROUP} string, {C.AUDIENCE} string, _room long")
     # (household, eligible row) pairs of this pass, staged once.
-    cand = stage_table(cand.join(F.broadcast(caps), C.GROUP), "pass-cand")
-    ptr = cand.groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step"))
+    cand = stage_table(_free(long, n, parts).join(caps, C.GROUP), "pass-cand")
+    at = cand.groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step"))
     while True:
-        proposals = cand.join(ptr, [C.HOUSEHOLD, "step"])
-        ranked = rank_within(proposals, ["step"], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], "_k",
-                             rows_bound=bound)
-        ranked = stage_table(ranked.withColumn("_held", F.col("_k") <= F.col("_room")), "pass-round")
-        rejected = ranked.where(~F.col("_held")).select(C.HOUSEHOLD, F.col("step").alias("_cur"))
-        moved = stage_table(cand.join(rejected, C.HOUSEHOLD).where(F.col("step") > F.col("_cur"))
+        proposals = cand.join(at, [C.HOUSEHOLD, "step"])
+        held = stage_table(pick_by_rank(proposals, ["step"], F.col("_room"), "rank", [C.HOUSEHOLD]), "pass-round")
+        turned_down = (at.join(held.select(C.HOUSEHOLD), C.HOUSEHOLD, "left_anti")
+                       .select(C.HOUSEHOLD, F.col("step").alias("_from")))
+        moved = stage_table(cand.join(turned_down, C.HOUSEHOLD).where(F.col("step") > F.col("_from"))
                             .groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step")), "pass-next")
-        if moved.count() == 0:
+        if moved.isEmpty():
             break
-        ptr = ranked.where(F.col("_held")).select(C.HOUSEHOLD, "step").unionByName(moved)
-    picked = stage_table(ranked.where(F.col("_held")).select(
-        C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", F.lit(n).alias("pass_n"), "step"), "picks")
-    got = {r[0]: int(r[1]) for r in picked.groupBy(C.AUDIENCE).count().collect()}
-    for entry in log[-len(rows):]:
-        entry["picked"] = got.get(entry[C.AUDIENCE], 0)
-    allocated.update(got)
-    return picked if got else None
+        at = held.select(C.HOUSEHOLD, "step").unionByName(moved)
+    return held.select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", F.lit(n).alias("pass_n"), "step")
+
+
+def _serial_pass(long: DataFrame, parts: list[DataFrame], order: list[dict], n: int) -> DataFrame | None:
+    """Picks of one pass, row after row; rows of one audience share its room."""
+    taken: Counter = Counter()   # households per audience in this pass
+    found: list[DataFrame] = []
+    for r in order:
+        room = r["to_alloc"] - taken[r[C.AUDIENCE]]
+        if room <= 0:
+            continue
+        cand = _free(long, n, parts + found).where(F.col(C.GROUP) == r[C.GROUP])
+        best = pick_by_rank(cand, [], room, "rank", [C.HOUSEHOLD])
+        picked = stage_table(best.select(
+            C.HOUSEHOLD, F.lit(r[C.AUDIENCE]).alias(C.AUDIENCE), C.GROUP, C.GROUP_COUNT, "rank",
+            F.lit(n).alias("pass_n"), F.lit(r["position"]).alias("step")), "picks")
+        taken[r[C.AUDIENCE]] += picked.count()
+        found.append(picked)
+    return union_all(found) if found else None
 
 
 def remaining_quota(spec: DataFrame, picks: DataFrame | None = None) -> DataFrame:
-    """Spec rows with households allocated so far to their audience, the
-    number still open and its share of the quota (null for a zero quota)."""
+    """Spec rows with households allocated so far to their audience, the number
+    still open, its share of the quota (null for a zero quota) and the row's
+    ``position`` in the order of a pass (null for a zero quota)."""
     if picks is None:
         done = spec.sparkSession.createDataFrame([], f"{C.AUDIENCE} string, n_allctd long")
     else:
         done = picks.groupBy(C.AUDIENCE).agg(F.count(F.lit(1)).alias("n_allctd"))
-    return (spec.join(done, C.AUDIENCE, "left").fillna(0, subset=["n_allctd"])
+    rows = (spec.join(done, C.AUDIENCE, "left").fillna(0, subset=["n_allctd"])
             .withColumn("to_alloc", F.greatest(F.lit(0), F.col(C.QUOTA) - F.col("n_allctd")))
             .withColumn("prop_to_alloc", F.try_divide(F.col("to_alloc").cast("double"),
                                                       F.col(C.QUOTA).cast("double"))))
+    # Numbers the rows of the user's spec, not data.
+    order = Window.orderBy(F.col("prop_to_alloc").desc_nulls_last(), C.AUDIENCE, C.GROUP)
+    return rows.withColumn("position", F.when(F.col(C.QUOTA) > 0, F.row_number().over(order)))
 
 
 def available_by_size(pool: DataFrame, picks: DataFrame | None = None) -> DataFrame:
@@ -156,14 +128,26 @@ def merge_picks(pool: DataFrame, picks: DataFrame) -> DataFrame:
     return pool.join(picks.select(C.HOUSEHOLD, C.AUDIENCE), C.HOUSEHOLD, "left")
 
 
+def _finished_pass(spark, state_path: str, n: int) -> DataFrame | None:
+    """Picks that an earlier run left for pass ``n`` (None: not finished)."""
+    path = f"{state_path.rstrip('/')}/pass_{n}"
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException:
+        return None
+    return spark.read.schema(PICKS_SCHEMA).parquet(path)
+
+
 def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3, 4),
-             picks: DataFrame | None = None, method: str = "serial") -> Allocation:
-    """Sequential quota allocation (see module doc). ``picks`` resumes from
-    earlier picks (same columns as the result). ``method="deferred"`` runs a
-    pass as deferred acceptance (fewer jobs for specs with many rows) when
-    every audience is on one row; other passes run serially."""
+             picks: DataFrame | None = None, method: str = "auto", state_path: str | None = None,
+             reset: bool = False) -> Allocation:
+    """Sequential quota allocation (see module doc).
+
+    ``picks`` continues from earlier picks (same columns as the result).
+    ``method`` is ``auto``, or ``serial`` / ``deferred`` to ask for one form of a pass;
+    a pass with an audience on several rows is always serial.
+    """
     spark = pool.sparkSession
-    rows = _spec_rows(spec)
     # One folder per combination size: a step reads only its size's folder.
     # Inside it, files hold contiguous (group, rank) ranges, so the min/max
     # statistics of a file let a step skip the files of other groups.
@@ -171,53 +155,28 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
     long = stage_table(pool_long(pool).repartitionByRange(n_files, C.GROUP_COUNT, C.GROUP, "rank"),
                        "pool-long", partition_by=[C.GROUP_COUNT])
     long = long.withColumn(C.GROUP_COUNT, F.col(C.GROUP_COUNT).cast("int"))
-    bound = long.count()   # every step ranks a subset of the staged long pool
-    parts: list[DataFrame] = []
-    allocated: Counter = Counter()
-    if picks is not None:
-        parts.append(picks.select(*PICKS_COLUMNS))
-        for r in picks.groupBy(C.AUDIENCE).count().collect():
-            allocated[r[0]] += int(r[1])
+    parts: list[DataFrame] = [] if picks is None else [picks.select(*PICKS_COLUMNS)]
     log: list[dict] = []
     for n in sizes:
-        order = _order(rows, allocated)
-        if n == 1 and _independent(order):
-            got = _single_group_pass(long, parts, order, allocated, bound, log)
-            if got is not None:
-                parts.append(got)
-            continue
-        if method == "deferred" and len({r[1] for r in order}) == len(order):
-            got = _deferred_pass(long, parts, order, allocated, n, bound, log)
-            if got is not None:
-                parts.append(got)
-            continue
-        for step, (gr, ca, quota) in enumerate(order, start=1):
-            to_alloc = max(0, quota - allocated[ca])
-            entry = {"pass_n": n, "step": step, C.GROUP: gr, C.AUDIENCE: ca, "to_alloc": to_alloc, "picked": 0}
-            log.append(entry)
-            if to_alloc == 0:
-                continue
-            cand = long.where((F.col(C.GROUP_COUNT) == n) & (F.col(C.GROUP) == gr))
-            if parts:
-                cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
-            best = top_within(cand, [], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()], to_alloc, name="_pick",
-                              rows_bound=bound)
-            picked = best.select(C.HOUSEHOLD, F.lit(ca).alias(C.AUDIENCE), C.GROUP, C.GROUP_COUNT, "rank",
-                                 F.lit(n).alias("pass_n"), F.lit(step).alias("step"))
-            # Staged (at most to_alloc rows): the next step's anti join reads
-            # this table instead of re-planning every earlier step.
-            picked = stage_table(picked, "picks")
-            got = picked.count()
-            entry["picked"] = got
-            allocated[ca] += got
-            if got:
-                parts.append(picked)
-    if parts:
-        all_picks = union_all(parts)
-    else:
-        all_picks = spark.createDataFrame(
-            [], f"{C.HOUSEHOLD} long, {C.AUDIENCE} string, {C.GROUP} string, {C.GROUP_COUNT} int, "
-                "rank int, pass_n int, step int")
+        found = None if state_path is None or reset else _finished_pass(spark, state_path, n)
+        rows = remaining_quota(spec, union_all(parts) if parts else None).where(F.col(C.QUOTA) > 0)
+        order = sorted((r.asDict() for r in rows.collect()), key=lambda r: r["position"])
+        if found is None:
+            alone = len({r[C.AUDIENCE] for r in order}) == len(order)
+            run = _deferred_pass if alone and method != "serial" else _serial_pass
+            found = run(long, parts, order, n)
+            if state_path is not None:
+                empty = spark.createDataFrame([], PICKS_SCHEMA)
+                out = f"{state_path.rstrip('/')}/pass_{n}"
+                write_table(empty if found is None else found.select(*PICKS_COLUMNS), out)
+                found = spark.read.schema(PICKS_SCHEMA).parquet(out)
+        got = Counter() if found is None else Counter(
+            {r["step"]: r["count"] for r in found.groupBy("step").count().collect()})
+        log += [{"pass_n": n, "step": r["position"], C.GROUP: r[C.GROUP], C.AUDIENCE: r[C.AUDIENCE],
+                 "to_alloc": r["to_alloc"], "picked": got[r["position"]]} for r in order]
+        if got:
+            parts.append(found)
+    all_picks = union_all(parts) if parts else spark.createDataFrame([], PICKS_SCHEMA)
     return Allocation(all_picks, merge_picks(pool, all_picks), log)
 
 
@@ -225,9 +184,8 @@ def preview_top_k(pool: DataFrame, spec: DataFrame, n: int) -> DataFrame:
     """Per spec row, its best ``n_ca`` households of size ``n`` on the pool as
     it is, without removing households picked by other rows (one job)."""
     long = pool_long(pool).where(F.col(C.GROUP_COUNT) == n)
-    joined = long.join(F.broadcast(spec.select(C.GROUP, C.AUDIENCE, C.QUOTA)), C.GROUP)
-    out = top_within(joined, [C.AUDIENCE, C.GROUP], [F.col("rank").asc(), F.col(C.HOUSEHOLD).asc()],
-                     F.col(C.QUOTA), name="_pick")
+    joined = long.join(spec.select(C.GROUP, C.AUDIENCE, C.QUOTA), C.GROUP)
+    out = pick_by_rank(joined, [C.AUDIENCE, C.GROUP], F.col(C.QUOTA), "rank", [C.HOUSEHOLD])
     return out.select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank")
 
 
@@ -245,4 +203,4 @@ def overlap_candidates(pool: DataFrame, audience_sets: DataFrame, set_col: str =
     no nested-loop join; the audience side is spec-size."""
     hh = pool.select(C.HOUSEHOLD, C.GROUP_COUNT, F.explode(C.GROUP_LIST).alias(C.GROUP))
     aud = audience_sets.select(C.AUDIENCE, F.explode(set_col).alias(C.GROUP))
-    return hh.join(F.broadcast(aud), C.GROUP).select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP_COUNT).distinct()
+    return hh.join(aud, C.GROUP).select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP_COUNT).distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix import contracts as C
-from audix.functions import map_to_string, sorted_join
+from audix.functions import sorted_join
 
 
 def allocation_pool(ranks: DataFrame, group_col: str = C.GROUP, rank_col: str = C.RANK) -> DataFrame:
@@ -32,12 +32,6 @@ def pool_long(pool: DataFrame) -> DataFrame:
                        F.explode(C.RANK_MAP).alias(C.GROUP, "rank"))
 
 
-def pool_as_text(pool: DataFrame) -> DataFrame:
-    """The pool with list and map as sorted text (stable for reports and hashing)."""
-    return pool.select(C.HOUSEHOLD, C.GROUP_COUNT, sorted_join(F.col(C.GROUP_LIST)).alias(C.GROUP_LIST),
-                       map_to_string(F.col(C.RANK_MAP)).alias(C.RANK_MAP))
-
-
 def pool_check(pool: DataFrame) -> DataFrame:
     """Households per list size, and how many have a list size different
     from their map size (must be 0)."""

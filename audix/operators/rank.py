@@ -35,7 +35,7 @@ def group_spend(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, amo
 
 def rank_spend(spend: DataFrame, group_col: str = C.GROUP, label: str | None = None,
                names: Sequence[str] | None = None, rank_col: str = C.RANK,
-               sales_col: str = C.SALES, rows_bound: int | None = None) -> DataFrame:
+               sales_col: str = C.SALES) -> DataFrame:
     """Rank households inside each group of a spend table (highest sales
     first, ties by household id). ``names`` keeps some groups; ``label``
     pools them into one group (sales summed per household)."""
@@ -44,8 +44,7 @@ def rank_spend(spend: DataFrame, group_col: str = C.GROUP, label: str | None = N
         src = (src.groupBy(C.HOUSEHOLD).agg(F.sum(sales_col).alias(sales_col))
                .withColumn(group_col, F.lit(label)))
     src = src.select(C.HOUSEHOLD, group_col, sales_col)
-    return rank_within(src, [group_col], [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col,
-                       rows_bound=rows_bound)
+    return rank_within(src, [group_col], [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col)
 
 
 def sales_rank(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, label: str | None = None,
@@ -57,10 +56,10 @@ def sales_rank(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, labe
     listed in two pooled groups then counts twice, as a join fan-out does.
     Sums are exact when ``amount`` is an integer or decimal column.
     """
-    # Staged once: the rank's size check and the rank itself then read the
+    # Staged once: the rank's range sample and the rank itself then read the
     # household x group table instead of scanning the lines twice.
     spend = stage_table(group_spend(txn, groups, group_col, amount, sales_col), "group-spend")
-    return rank_spend(spend, group_col, label, None, rank_col, sales_col, rows_bound=spend.count())
+    return rank_spend(spend, group_col, label, None, rank_col, sales_col)
 
 
 def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (), group_col: str = C.GROUP,
@@ -81,8 +80,7 @@ def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (),
         named = named.where(~F.col("_new").isin(list(drop)))
     named = stage_table(named, "frequency-spend")
     ranked = rank_within(named, [group_col, "times_buy"],
-                         [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col,
-                         rows_bound=named.count())
+                         [F.col(sales_col).desc_nulls_last(), F.col(C.HOUSEHOLD).asc()], rank_col)
     return ranked.select(C.HOUSEHOLD, sales_col, F.col("_new").alias(group_col), rank_col)
 
 

@@ -22,10 +22,8 @@ The order keys must be a total order inside each group (end them with a
 unique key, e.g. the household id), so the numbering is deterministic and a
 retried task produces the same rows.
 
-Groups are sized first (one small aggregate). When the largest group has at
-most ``spark.audix.rank.maxWindowRows`` rows (default 2,000,000) the plain
-window is used, since one task sorts that many narrow rows comfortably;
-beyond it the distributed form above runs.
+``pick_by_rank`` takes the best rows of a group from ranks that exist
+already, without numbering them again: see there.
 """
 
 from __future__ import annotations
@@ -38,6 +36,9 @@ from pyspark.sql import functions as F
 from audix.sources.sinks import stage_table
 
 _PART, _POS, _FIRST, _BEFORE, _N = "_rk_part", "_rk_pos", "_rk_first", "_rk_before", "_rk_n"
+_LIMIT, _RANGE, _ROOM, _WHOLE = "_rk_limit", "_rk_range", "_rk_room", "_rk_whole"
+#: Ranks of a group that one task may sort.
+RANGE_WIDTH = 10_000
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -46,43 +47,14 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-MAX_WINDOW_ROWS_CONF = "spark.audix.rank.maxWindowRows"
-DEFAULT_MAX_WINDOW_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group (one aggregate; only a number reaches the driver)."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    top = sizes.agg(F.max("_n")).first()[0]
-    return int(top or 0)
-
-
-def max_window_rows(spark) -> int:
-    return int(spark.conf.get(MAX_WINDOW_ROWS_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
-
-
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank",
-                num_partitions: int | None = None, rows_bound: int | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = row_number() over (partition by ``by`` order by ``order``).
 
-    Meant for few, possibly huge groups (groups of a product family, one
-    audience); for many small groups of a known bound use
-    :func:`row_number_small_groups` directly. ``rows_bound`` is a proven
-    upper bound on the rows of any group (e.g. the row count of a staged
-    table this frame is a subset of); when it is under the window limit the
-    sizing job is skipped.
+    For groups that may hold a large part of the rows (see module doc); for
+    groups of a proven bound use :func:`row_number_small_groups`.
     """
     by = list(by)
-    limit = max_window_rows(df.sparkSession)
-    small = rows_bound is not None and rows_bound <= limit
-    if small or largest_group(df, by) <= limit:
-        return row_number_small_groups(df, by, order, name).withColumn(name, F.col(name).cast("int"))
-    return distributed_rank(df, by, order, name, num_partitions)
-
-
-def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank",
-                     num_partitions: int | None = None) -> DataFrame:
-    """The range-partitioned form of :func:`rank_within` (see module doc)."""
     n = _partitions(df, num_partitions)
     keys = [F.col(c).asc_nulls_first() for c in by] + list(order)
     placed = (df.repartitionByRange(n, *keys)
@@ -94,24 +66,48 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column],
             .agg(F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias(_N)))
     earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(earlier), F.lit(0))).drop(_N)
-    # Bounded by N + #groups - 1 rows (see module doc), so broadcasting is safe.
+    # N + #groups - 1 rows; AQE broadcasts them when their measured size allows.
     right = runs.select(*[F.col(c).alias(f"_rk_key{i}") for i, c in enumerate(by)],
                         F.col(_PART).alias("_rk_part_r"), _FIRST, _BEFORE)
     cond = F.col(_PART) == F.col("_rk_part_r")
     for i, c in enumerate(by):
         cond = cond & F.col(c).eqNullSafe(F.col(f"_rk_key{i}"))
-    out = placed.join(F.broadcast(right), cond, "inner")
+    out = placed.join(right, cond, "inner")
     rank = (F.col(_BEFORE) + F.col(_POS) - F.col(_FIRST) + 1).cast("int")
     return out.select(*[F.col(c) for c in df.columns], rank.alias(name))
 
 
-def top_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], limit: Column | int,
-               name: str = "rank", num_partitions: int | None = None,
-               rows_bound: int | None = None) -> DataFrame:
-    """Rows whose rank inside their group is at most ``limit`` (a number or a
-    column, e.g. a quota joined from a spec)."""
-    lim = limit if isinstance(limit, Column) else F.lit(limit)
-    return rank_within(df, by, order, name, num_partitions, rows_bound).where(F.col(name) <= lim)
+def pick_by_rank(df: DataFrame, by: Sequence[str], limit: Column | int, rank_col: str = "rank",
+                 tie_cols: Sequence[str] = (), width: int = RANGE_WIDTH) -> DataFrame:
+    """The ``limit`` best rows of each group by an existing rank.
+
+    ``limit`` is a number or a column that is constant inside a group. Rows
+    are counted per (group, range of ``width`` ranks). Ranges that fit under
+    the limit as a whole are taken, the one range in which the limit falls is
+    sorted, later ones are left. As ranks are unique in the ranking they come
+    from, a range holds at most ``width`` rows of it, so no task sorts a
+    group; ``tie_cols`` order rows of equal rank when several rankings meet.
+    Rows without a rank are not picked.
+    """
+    by = list(by)
+    given = df.columns
+    ranged = (df.where(F.col(rank_col).isNotNull())
+              .withColumn(_LIMIT, (limit if isinstance(limit, Column) else F.lit(limit)).cast("long"))
+              .withColumn(_RANGE, F.floor(F.col(rank_col) / F.lit(width))))
+    sizes = ranged.groupBy(*by, _RANGE).agg(F.count(F.lit(1)).alias(_N), F.first(_LIMIT).alias(_LIMIT))
+    spec = Window.partitionBy(*[F.col(c) for c in by]) if by else Window.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum(_N).over(spec.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = (sizes.withColumn(_BEFORE, before).where(F.col(_BEFORE) < F.col(_LIMIT))
+            .select(*[F.col(c).alias(f"_rk_key{i}") for i, c in enumerate(by)], F.col(_RANGE).alias("_rk_range_r"),
+                    (F.col(_LIMIT) - F.col(_BEFORE)).alias(_ROOM), (F.col(_BEFORE) + F.col(_N) <= F.col(_LIMIT)).alias(_WHOLE)))
+    cond = F.col(_RANGE) == F.col("_rk_range_r")
+    for i, c in enumerate(by):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_rk_key{i}"))
+    taken = ranged.join(cuts, cond)
+    whole = taken.where(_WHOLE).select(*given)
+    order = [F.col(rank_col).asc(), *(F.col(c).asc() for c in tie_cols)]
+    edge = row_number_small_groups(taken.where(~F.col(_WHOLE)), [*by, _RANGE], order, _POS)
+    return whole.unionByName(edge.where(F.col(_POS) <= F.col(_ROOM)).select(*given))
 
 
 def row_number_small_groups(df: DataFrame, by: Sequence[str], order: Sequence[Column],

@@ -30,7 +30,10 @@ def period_of(date_dim: DataFrame, date: dt.date | str, back_days: int = 0) -> i
     """Period id of ``date - back_days``."""
     d = dt.date.fromisoformat(date) if isinstance(date, str) else date
     target = d - dt.timedelta(days=back_days)
-    return _scalar(date_dim.where(F.col(C.DATE) == F.lit(target)).select(C.PERIOD).limit(1))
+    found = _scalar(date_dim.where(F.col(C.DATE) == F.lit(target)).select(C.PERIOD).limit(1))
+    if found is None:
+        raise ValueError(f"the calendar has no period for {target}")
+    return found
 
 
 def segment_as_of(history: DataFrame, date_dim: DataFrame, end_date: dt.date | str,
@@ -47,8 +50,11 @@ def segment_as_of(history: DataFrame, date_dim: DataFrame, end_date: dt.date | s
     # Both calendar lookups in one read of the calendar.
     found = {r[0]: r[1] for r in date_dim.where(F.col(C.DATE).isin(start, end))
              .select(C.DATE, C.PERIOD).distinct().collect()}
-    back, current = found.get(start), found.get(end)
-    recent = history.where(F.col(C.PERIOD) >= back) if back is not None else history
+    for day in (start, end):
+        if found.get(day) is None:
+            raise ValueError(f"the calendar has no period for {day}")
+    back, current = found[start], found[end]
+    recent = history.where(F.col(C.PERIOD) >= back)
     latest = _scalar(recent.agg(F.max(C.PERIOD)))
     chosen = current if latest is None else min(int(latest), int(current))
     seg = (recent.where(F.col(C.PERIOD) == chosen)

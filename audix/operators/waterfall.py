@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix import contracts as C
-from audix.operators.ranking import top_within
+from audix.operators.ranking import pick_by_rank
 from audix.sources.readers import union_all
 
 
@@ -77,30 +77,35 @@ def regroup_spend(spend: DataFrame, mapping: Mapping[str, str], group_col: str =
             .agg(F.sum(sales_col).alias(sales_col), F.sum("n_lines").alias("n_lines")))
 
 
-def top_k(candidates: DataFrame, ranks: DataFrame, k: int, rank_col: str = C.RANK,
-          rows_bound: int | None = None) -> DataFrame:
+def top_k(candidates: DataFrame, ranks: DataFrame, k: int, rank_col: str = C.RANK) -> DataFrame:
     """The ``k`` candidates with the best rank (ranks of one group)."""
     joined = candidates.select(C.HOUSEHOLD).join(ranks, C.HOUSEHOLD)
-    out = top_within(joined, [], [F.col(rank_col).asc(), F.col(C.HOUSEHOLD).asc()], k, name="_pick",
-                     rows_bound=rows_bound)
-    return out.drop("_pick")
+    return pick_by_rank(joined, [], k, rank_col, [C.HOUSEHOLD])
+
+
+def quota_table(spark, quotas: Mapping[str, int], group_col: str = C.GROUP, limit_col: str = "limit") -> DataFrame:
+    return spark.createDataFrame([(g, int(v)) for g, v in quotas.items()], f"{group_col} string, {limit_col} long")
 
 
 def limit_by_quota(df: DataFrame, quotas: Mapping[str, int] | DataFrame, group_col: str = C.GROUP,
-                   rank_col: str = C.RANK, limit_col: str = "limit", rows_bound: int | None = None) -> DataFrame:
+                   rank_col: str = C.RANK, limit_col: str = "limit") -> DataFrame:
     """Best ``limit`` rows per group by rank, all groups in one job.
 
-    ``quotas`` is {group: limit} or a (group, limit) table of spec size,
-    broadcast to the rows; groups without a quota drop out.
+    ``quotas`` is {group: limit} or a (group, limit) table; groups without a
+    quota drop out.
     """
     if not isinstance(quotas, DataFrame):
-        spark = df.sparkSession
-        quotas = spark.createDataFrame([(g, int(v)) for g, v in quotas.items()],
-                                       f"{group_col} string, {limit_col} long")
-    joined = df.join(F.broadcast(quotas.select(group_col, limit_col)), group_col)
-    out = top_within(joined, [group_col], [F.col(rank_col).asc(), F.col(C.HOUSEHOLD).asc()],
-                     F.col(limit_col), name="_pick", rows_bound=rows_bound)
-    return out.drop("_pick", limit_col)
+        quotas = quota_table(df.sparkSession, quotas, group_col, limit_col)
+    joined = df.join(quotas.select(group_col, limit_col), group_col)
+    return pick_by_rank(joined, [group_col], F.col(limit_col), rank_col, [C.HOUSEHOLD]).select(*df.columns)
+
+
+def rank_up_to_quota(ranks: DataFrame, quotas: Mapping[str, int], group_col: str = C.GROUP,
+                     rank_col: str = C.RANK) -> DataFrame:
+    """The rows of a complete ranking (ranks 1..n in every group) up to each
+    group's quota: a filter, no second numbering."""
+    limit = F.create_map(*[F.lit(x) for g, v in quotas.items() for x in (g, int(v))])[F.col(group_col)]
+    return ranks.where(F.col(rank_col) <= limit)
 
 
 def map_sets(sets: DataFrame, mapping: DataFrame, ranks: DataFrame, set_col: str = "gr_set",
@@ -108,7 +113,7 @@ def map_sets(sets: DataFrame, mapping: DataFrame, ranks: DataFrame, set_col: str
     """Map each household's exact group set to a target group (a set not in
     the mapping drops out), then attach the household's rank in that group."""
     mapped = sets.select(C.HOUSEHOLD, set_col).join(
-        F.broadcast(mapping.select(F.sort_array(set_col).alias(set_col), target_col)), set_col)
+        mapping.select(F.sort_array(set_col).alias(set_col), target_col), set_col)
     return mapped.join(ranks, [C.HOUSEHOLD, target_col]).drop(set_col)
 
 
@@ -138,11 +143,6 @@ def allocation_profile(alloc: DataFrame, group_col: str = C.GROUP, rank_col: str
 
 def cut_tail(picks: DataFrame, width: int = 10, group_col: str = C.GROUP, rank_col: str = C.RANK) -> DataFrame:
     """The last ``width`` picks of every audience (worst ranks picked): a
-    check of where each quota cut fell. A pick set is bounded by its quota,
-    so the per-audience window stays small."""
-    w = Window.partitionBy(group_col).orderBy(F.col(rank_col).desc(), F.col(C.HOUSEHOLD).desc())
-    return picks.withColumn("_from_end", F.row_number().over(w)).where(F.col("_from_end") <= width).drop("_from_end")
-
-
-def tag(df: DataFrame, label: str | Column, group_col: str = C.GROUP) -> DataFrame:
-    return df.withColumn(group_col, label if isinstance(label, Column) else F.lit(label))
+    check of where each quota cut fell."""
+    backwards = picks.withColumn("_from_end", -F.col(rank_col)).withColumn("_last_first", -F.col(C.HOUSEHOLD))
+    return pick_by_rank(backwards, [group_col], width, "_from_end", ["_last_first"]).select(*picks.columns)

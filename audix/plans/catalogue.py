@@ -20,13 +20,16 @@ from audix.operators import pool as P
 from audix.operators import rank as R
 from audix.operators import split as SP
 from audix.operators import waterfall as W
-from audix.operators.segment import attach_segment
+from audix.operators.report import ordered
+from audix.operators.segment import attach_segment, period_of
 from audix.operators.snapshot import snapshot_profile as _snapshot_profile
 from audix.operators.snapshot import snapshot_txn
 from audix.plans import chains as K
 from audix.plans import specs as S
 from audix.session import stage_path
 from audix.sources import fixtures
+from audix.sources.readers import file_row_counts, read_catalog, read_many, read_spec_csv, read_table
+from audix.sources.sinks import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,8 +58,7 @@ def _round(col: str, digits: int = 6):
 # ---- snapshot, calendar, segments --------------------------------------
 
 def q_snapshot_profile(spark, sf_dir):
-    txn = fixtures.transactions(spark, sf_dir)
-    snap = snapshot_txn(txn, S.TOPK_START_WEEK, S.TOPK_END_WEEK, channel=S.SNAP_PROFILE_CHANNEL)
+    snap = K.week_snapshot(spark, sf_dir, S.TOPK_START_WEEK, S.TOPK_END_WEEK, S.SNAP_PROFILE_CHANNEL)
     seg, _ = K.segments_at_week(spark, sf_dir, S.TOPK_END_WEEK)
     out = _snapshot_profile(snap, seg)
     return out.withColumn("spend", spend_to_double(F.col("spend")))
@@ -67,6 +69,21 @@ def q_segment_as_of(spark, sf_dir):
     return seg.withColumn(C.PERIOD, F.lit(period).cast("long"))
 
 
+def q_period_of(spark, sf_dir):
+    """Period of the last order date and of the day a look-back before it."""
+    dim = fixtures.date_dim(spark, sf_dir)
+    last = dim.agg(F.max(C.DATE)).first()[0]
+    found = [(back, period_of(dim, last, back)) for back in (0, C.SEGMENT_LOOKBACK_DAYS)]
+    return spark.createDataFrame(found, "back_days int, period_id int")
+
+
+def q_snapshot_with_segment(spark, sf_dir):
+    seg, _ = K.segments_at_week(spark, sf_dir)
+    snap = snapshot_txn(fixtures.transactions(spark, sf_dir), channel=S.SNAP_PROFILE_CHANNEL, segments=seg)
+    return snap.groupBy(C.SEGMENT).agg(F.count(F.lit(1)).alias("n_lines"),
+                                       F.countDistinct(C.HOUSEHOLD).alias("n_households"))
+
+
 def q_product_groups(spark, sf_dir):
     return G.group_summary(S.waterfall_groups(spark, sf_dir))
 
@@ -83,9 +100,9 @@ def q_class_products(spark, sf_dir):
 
 def q_sales_top_k(spark, sf_dir):
     """Minimum slice: week-range snapshot -> sales rank -> best k per group."""
-    snap = snapshot_txn(fixtures.transactions(spark, sf_dir), S.TOPK_START_WEEK, S.TOPK_END_WEEK)
+    snap = K.week_snapshot(spark, sf_dir, S.TOPK_START_WEEK, S.TOPK_END_WEEK)
     ranks = R.sales_rank(snap, S.pool_groups(spark, sf_dir))
-    top = W.limit_by_quota(ranks, {g: S.TOPK_PER_GROUP for g in S.POOL_BRANDS})
+    top = W.rank_up_to_quota(ranks, {g: S.TOPK_PER_GROUP for g in S.POOL_BRANDS})
     return _sales(top)
 
 
@@ -118,7 +135,7 @@ def q_pool_check(spark, sf_dir):
 
 
 def q_combination_report(spark, sf_dir):
-    return P.combination_report(K.pool(spark, sf_dir))
+    return ordered(P.combination_report(K.pool(spark, sf_dir)), C.GROUP_COUNT, "-n_households", C.GROUP_LIST)
 
 
 def q_rank_drilldown(spark, sf_dir):
@@ -139,7 +156,8 @@ def q_allocation_pass1(spark, sf_dir):
 def q_remaining_quota(spark, sf_dir):
     _, alloc = K.allocation(spark, sf_dir, sizes=(1,))
     out = A.remaining_quota(S.alloc_spec(spark, sf_dir), alloc.picks)
-    return out.select(C.GROUP, C.AUDIENCE, C.QUOTA, "n_allctd", "to_alloc", _round("prop_to_alloc"))
+    out = out.select(C.GROUP, C.AUDIENCE, C.QUOTA, "n_allctd", "to_alloc", _round("prop_to_alloc"), "position")
+    return ordered(out, "position", C.AUDIENCE)
 
 
 def q_available_by_size(spark, sf_dir):
@@ -178,15 +196,15 @@ def q_overlap_candidates(spark, sf_dir):
 # ---- waterfall (chain B) -------------------------------------------------
 
 def q_exclusive_shoppers(spark, sf_dir):
-    return _sales(K.waterfall(spark, sf_dir).exclusive)
+    return _sales(K.waterfall(spark, sf_dir).exclusive_candidates)
 
 
 def q_quota_top_k(spark, sf_dir):
-    return _sales(K.waterfall(spark, sf_dir).alloc1)
+    return _sales(K.waterfall(spark, sf_dir).exclusive)
 
 
 def q_cut_tail(spark, sf_dir):
-    return _sales(W.cut_tail(K.waterfall(spark, sf_dir).alloc1, width=S.CUT_TAIL_WIDTH))
+    return _sales(W.cut_tail(K.waterfall(spark, sf_dir).exclusive, width=S.CUT_TAIL_WIDTH))
 
 
 def q_super_group_rank(spark, sf_dir):
@@ -198,23 +216,23 @@ def q_set_mapping(spark, sf_dir):
 
 
 def q_waterfall_exclude(spark, sf_dir):
-    rest = K.waterfall(spark, sf_dir).remaining2
+    rest = K.waterfall(spark, sf_dir).after_sets
     listed = rest.where(~F.col(C.GROUP).contains("~"))
     return listed.groupBy(C.HOUSEHOLD).agg(F.countDistinct(C.GROUP).alias("n_groups"),
                                            F.sum("n_lines").alias("n_lines"))
 
 
 def q_bought_both(spark, sf_dir):
-    return K.waterfall(spark, sf_dir).alloc3
+    return K.waterfall(spark, sf_dir).both
 
 
 def q_bought_excluding_lines(spark, sf_dir):
-    return K.waterfall(spark, sf_dir).cand5
+    return K.waterfall(spark, sf_dir).department_candidates(1)
 
 
 def q_pooled_rank_top_k(spark, sf_dir):
     wf = K.waterfall(spark, sf_dir)
-    return _sales(wf.alloc5.unionByName(wf.alloc11))
+    return _sales(wf.department(0).unionByName(wf.department(1)))
 
 
 def q_combine_allocations(spark, sf_dir):
@@ -240,13 +258,18 @@ def _with_segment(spark, sf_dir):
 
 
 def _split(spark, sf_dir, no_control=()):
-    return SP.assign_arm(_with_segment(spark, sf_dir), FRACTIONS, no_control=no_control)
+    return SP.assign_arm(_with_segment(spark, sf_dir), FRACTIONS, salt=S.SALT, no_control=no_control)
 
 
 def q_alloc_segment(spark, sf_dir):
     return _with_segment(spark, sf_dir)
 
 
+def q_alloc_segment_inner(spark, sf_dir):
+    seg, _ = K.segments_at_week(spark, sf_dir)
+    return attach_segment(K.waterfall(spark, sf_dir).combined, seg, how="inner")
+
+
 def q_stratified_split(spark, sf_dir):
     return _split(spark, sf_dir).select(C.HOUSEHOLD, C.GROUP, C.SEGMENT, C.ARM)
 
@@ -256,13 +279,13 @@ def q_split_no_control(spark, sf_dir):
 
 
 def q_sample_by_split(spark, sf_dir):
-    """The seeded sampleBy form of the split (layout-dependent: rows-only check)."""
+    """Invariants of the seeded sampleBy split, whose rows depend on the partition layout."""
     alloc = _with_segment(spark, sf_dir).where(~F.col(C.GROUP).isin(S.NO_CONTROL))
-    return SP.sample_by_arm(alloc, FRACTIONS, seed=0).select(C.HOUSEHOLD, C.GROUP, C.SEGMENT, C.ARM)
+    return SP.sampled_shares(SP.sample_by_arm(alloc, FRACTIONS, seed=0), FRACTIONS)
 
 
 def q_split_summary(spark, sf_dir):
-    return SP.split_summary(_split(spark, sf_dir, S.NO_CONTROL))
+    return ordered(SP.split_summary(_split(spark, sf_dir, S.NO_CONTROL)), "-n_total", C.GROUP)
 
 
 def q_hashed_ids(spark, sf_dir):
@@ -272,36 +295,41 @@ def q_hashed_ids(spark, sf_dir):
 
 
 def q_export_lists(spark, sf_dir):
+    """Lists with names like 007 and 7, households without an id, and empty control arms."""
     split = _split(spark, sf_dir, S.NO_CONTROL)
-    ids = SP.attach_hashed_ids(split, fixtures.customer_dim(spark, sf_dir))
+    names = F.create_map(*[F.lit(x) for kv in S.EXPORT_NAMES.items() for x in kv])
+    split = split.withColumn(C.GROUP, F.coalesce(names[F.col(C.GROUP)], F.col(C.GROUP)))
+    known = fixtures.customer_dim(spark, sf_dir).where(F.col(C.HOUSEHOLD) % S.NO_ID_MODULUS != 0)
+    ids = stage_table(SP.attach_hashed_ids(split, known).select(C.GROUP, C.ARM, C.HASHED_ID), "export-ids")
     path = X.export_lists(ids, stage_path(spark, "export"))
-    return X.export_counts(spark, path).select(C.GROUP, C.ARM, "n_rows")
+    return X.export_counts(ids, path).select(C.GROUP, C.ARM, "n_households", "n_without_id", "n_rows")
 
 
 # ---- purchase cycles (chain C) --------------------------------------------
 
 def q_purchase_cycle(spark, sf_dir):
-    return K.cycle(spark, sf_dir)
+    return K.gaps(spark, sf_dir)
+
+
+def _rhythm(spark, sf_dir):
+    return Y.purchase_rhythm(K.gaps(spark, sf_dir))
 
 
 def q_usage_rate(spark, sf_dir):
-    return Y.usage_rate(K.cycle(spark, sf_dir))
+    return _rhythm(spark, sf_dir).select(C.HOUSEHOLD, "days_per_unit")
 
 
 def q_smoothed_cycle(spark, sf_dir):
-    return Y.smoothed_cycle(K.cycle(spark, sf_dir))
+    return _rhythm(spark, sf_dir).select(C.HOUSEHOLD, "cycle_days", "n_gaps")
 
 
 def q_recency(spark, sf_dir):
-    cyc = K.cycle(spark, sf_dir)
-    return Y.recency(cyc, Y.smoothed_cycle(cyc))
+    return _rhythm(spark, sf_dir).select(C.HOUSEHOLD, "last_date", "cycle_days")
 
 
 def q_purchase_probability(spark, sf_dir):
-    cyc = K.cycle(spark, sf_dir)
-    out = Y.purchase_probability(Y.recency(cyc, Y.smoothed_cycle(cyc)), S.CAMPAIGN_START)
-    return out.select(C.HOUSEHOLD, "last_purchase_date_id", "smth_prchs_cyc", "day_last_to_cmp_str",
-                      "day_last_to_cmp_end", _round("prop"))
+    out = Y.window_probability(_rhythm(spark, sf_dir), S.CAMPAIGN_START)
+    return out.select(C.HOUSEHOLD, "last_date", "cycle_days", "days_to_start", _round("chance"))
 
 
 def q_shopping_cycle(spark, sf_dir):
@@ -323,7 +351,57 @@ def q_next_shop_consumption(spark, sf_dir):
                       _round("next_days"), "next_date_id")
 
 
+# ---- sources --------------------------------------------------------------
+
+def q_spec_csv(spark, sf_dir):
+    """Audience sets written as a CSV spec with a JSON list column, read back with a schema."""
+    path = stage_path(spark, "spec-csv")
+    sets = S.audience_sets(spark).withColumn("ca_gr_set", F.to_json("ca_gr_set"))
+    parts = fixtures.table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias(C.AUDIENCE)).agg(
+        F.to_json(F.sort_array(F.collect_set("p_type"))).alias("ca_gr_set"))
+    sets.unionByName(parts).write.option("header", True).option("escape", '"').csv(path)
+    back = read_spec_csv(spark, path, f"{C.AUDIENCE} string, ca_gr_set string", ["ca_gr_set"])
+    return back.select(C.AUDIENCE, F.explode("ca_gr_set").alias(C.GROUP))
+
+
+def _parts_folder(spark, sf_dir) -> str:
+    """A folder of two tables ``rank_a`` and ``rank_b`` with different columns, and one ``other``."""
+    path = stage_path(spark, "parts")
+    part = fixtures.table(spark, sf_dir, "part")
+    part.where("p_size <= 10").select("p_partkey", "p_size").coalesce(1).write.parquet(f"{path}/rank_a")
+    part.where("p_size > 10 AND p_size <= 30").select("p_partkey", "p_brand").coalesce(1).write.parquet(f"{path}/rank_b")
+    part.where("p_size > 30").select("p_partkey", "p_type").coalesce(1).write.parquet(f"{path}/other")
+    return path
+
+
+def q_prefix_parts(spark, sf_dir):
+    return read_many(spark, _parts_folder(spark, sf_dir), glob="rank_*").select("p_partkey", "p_size", "p_brand")
+
+
+def q_folder_union(spark, sf_dir):
+    return read_many(spark, _parts_folder(spark, sf_dir)).select("p_partkey", "p_size", "p_brand", "p_type")
+
+
+def q_part_counts(spark, sf_dir):
+    counts = file_row_counts(read_many(spark, _parts_folder(spark, sf_dir)))
+    return counts.select(F.regexp_extract("file", "/(rank_a|rank_b|other)/", 1).alias("part"), "n_rows")
+
+
+def q_default_load(spark, sf_dir):
+    """A table loaded by path and once more from the session's catalog."""
+    read_table(spark, f"{sf_dir.rstrip('/')}/supplier.parquet").createOrReplaceTempView("audix_supplier")
+    return read_catalog(spark, "audix_supplier").select("s_suppkey", "s_nationkey")
+
+
 QUERIES: dict[str, Query] = {
+    "period_of": q_period_of,
+    "snapshot_with_segment": q_snapshot_with_segment,
+    "alloc_segment_inner": q_alloc_segment_inner,
+    "spec_csv": q_spec_csv,
+    "prefix_parts": q_prefix_parts,
+    "folder_union": q_folder_union,
+    "part_counts": q_part_counts,
+    "default_load": q_default_load,
     "snapshot_profile": q_snapshot_profile,
     "segment_as_of": q_segment_as_of,
     "product_groups": q_product_groups,
@@ -378,10 +456,6 @@ QUERIES: dict[str, Query] = {
 }
 
 
-# Queries without a SQL twin: their result depends on the partition layout.
-ROWS_ONLY = {"sample_by_split"}
-
-
 def queries() -> dict[str, Query]:
     return {name: (lambda fn: (lambda spark, sf_dir: normalize(fn(spark, sf_dir))))(fn)
             for name, fn in QUERIES.items()}

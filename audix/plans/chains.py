@@ -8,8 +8,6 @@ jobs up to its ranks.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +17,26 @@ from audix.operators import cycle as Y
 from audix.operators import groups as G
 from audix.operators import pool as P
 from audix.operators import rank as R
-from audix.operators import waterfall as W
 from audix.operators.segment import last_date_of_week, segment_as_of
 from audix.operators.snapshot import snapshot_txn
 from audix.plans import specs as S
+from audix.plans.workflows import WaterfallRun
 from audix.sources import fixtures
-from audix.sources.sinks import stage_table
 
 
 def full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_txn(fixtures.transactions(spark, sf_dir))
 
 
+def week_snapshot(spark: SparkSession, sf_dir: str, start_week: int, end_week: int, channel=None) -> DataFrame:
+    """Snapshot of a week range; its first and last day, from the calendar,
+    bound the physical date column, so the scan reads that range only."""
+    weeks = fixtures.date_dim(spark, sf_dir).where(F.col(C.WEEK).between(start_week, end_week))
+    lo, hi = weeks.agg(F.min(C.DATE), F.max(C.DATE)).first()
+    dates = None if lo is None else (lo, hi)
+    return snapshot_txn(fixtures.transactions(spark, sf_dir, dates), start_week, end_week, channel)
+
+
 def segments_at_week(spark: SparkSession, sf_dir: str, week: int | None = None) -> tuple[DataFrame, int]:
     """Segments as of the last day of ``week`` (default: the last week of data)."""
     dim = fixtures.date_dim(spark, sf_dir)
@@ -54,8 +60,8 @@ def rank_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = full_snapshot(spark, sf_dir)
     groups = S.pool_groups(spark, sf_dir)
     part1 = R.frequency_rank(snap, groups.where(F.col(C.GROUP).isin(S.FREQ_GROUPS)), drop=S.FREQ_DROP)
-    part2 = R.sales_rank(snap.where(F.col(C.CHANNEL) == C.CHANNEL_HDE),
-                         groups.where(F.col(C.GROUP) == S.HDE_GROUP))
+    part2 = R.sales_rank(snap.where(F.col(C.CHANNEL) == C.CHANNEL_DELIVERY),
+                         groups.where(F.col(C.GROUP) == S.DELIVERY_GROUP))
     part3 = R.sales_rank(snap, groups.where(F.col(C.GROUP) == S.PLAIN_GROUP))
     return R.combine_ranks(part1, part2, part3)
 
@@ -65,121 +71,11 @@ def allocation(spark: SparkSession, sf_dir: str, sizes=(1, 2, 3, 4)) -> tuple[Da
     return pl, A.allocate(pl, S.alloc_spec(spark, sf_dir), sizes=sizes)
 
 
-# ---- chain B: hand-written waterfall -----------------------------------
-
-G5_SUFFIX, G11_SUFFIX = "~g5", "~g11"
-
-
-class Waterfall:
-    """Exclusive shoppers -> super-group sets -> co-buyers -> department
-    minus products (twice), each stage excluding the households of the
-    earlier ones.
-
-    The transaction lines are read once: they are reduced to a staged
-    household x group spend table over the listed groups and the
-    department-minus-products groups (defined on the small product table),
-    and every stage works on that table. Stages are built on first use, so a
-    report on an early stage does not run the later ones; every stage's picks
-    are staged (bounded by its quota), so later stages anti-join short plans.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    @cached_property
-    def spend(self) -> DataFrame:
-        base = S.waterfall_groups(self.spark, self.sf_dir)
-        groups = (base
-                  .unionByName(W.exclusion_groups(base, S.G5_DEPARTMENTS, S.G5_EXCLUDED, G5_SUFFIX))
-                  .unionByName(W.exclusion_groups(base, S.G11_DEPARTMENTS, S.G11_EXCLUDED, G11_SUFFIX)))
-        return stage_table(R.group_spend(full_snapshot(self.spark, self.sf_dir), groups), "waterfall-spend")
-
-    @cached_property
-    def bound(self) -> int:
-        # Every ranked frame below is a subset of the staged spend table (or
-        # its households), so its row count bounds every rank group.
-        return self.spend.count()
-
-    @cached_property
-    def quotas(self) -> tuple[int, int]:
-        n = S.customers(self.spark, self.sf_dir)
-        return S.scaled(S.Q1_BASE, n), S.scaled(S.Q2_BASE, n)
-
-    @cached_property
-    def exclusive(self) -> DataFrame:
-        family = self.spend.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY))
-        family_rank = R.rank_spend(family, rows_bound=self.bound)
-        return P.exclusive_shoppers(family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
-
-    @cached_property
-    def alloc1(self) -> DataFrame:
-        q1 = self.quotas[0]
-        return stage_table(W.limit_by_quota(self.exclusive, {g: q1 for g in S.EXCLUSIVE_FAMILY},
-                                            rows_bound=self.bound), "alloc1")
-
-    @cached_property
-    def _supers(self) -> DataFrame:
-        s1 = W.exclude_allocated(self.spend, self.alloc1)
-        return W.regroup_spend(s1.where(F.col(C.GROUP).isin(S.EXCLUSIVE_FAMILY)), S.SUPER_GROUPS)
-
-    @cached_property
-    def super_rank(self) -> DataFrame:
-        return R.rank_spend(self._supers, rows_bound=self.bound)
-
-    @cached_property
-    def mapped(self) -> DataFrame:
-        mapping = self.spark.createDataFrame(S.SET_MAPPING, "gr_set array<string>, gr_nm string")
-        return W.map_sets(P.household_group_sets(self._supers), mapping, self.super_rank)
-
-    @cached_property
-    def alloc2(self) -> DataFrame:
-        q2 = self.quotas[1]
-        return stage_table(W.limit_by_quota(self.mapped, {"4_abc": q2, "9_def": q2}, rows_bound=self.bound),
-                           "alloc2")
-
-    @cached_property
-    def remaining2(self) -> DataFrame:
-        return W.exclude_allocated(self.spend, self.alloc1, self.alloc2)
-
-    @cached_property
-    def alloc3(self) -> DataFrame:
-        return stage_table(W.bought_all(self.remaining2, S.BOTH_GROUPS, label=S.BOTH_LABEL), "alloc3")
-
-    @cached_property
-    def _s3(self) -> DataFrame:
-        return W.exclude_allocated(self.remaining2, self.alloc3)
-
-    @cached_property
-    def cand5(self) -> DataFrame:
-        return W.bought_excluding_lines(self._s3, S.G5_DEPARTMENTS, G5_SUFFIX)
-
-    @cached_property
-    def alloc5(self) -> DataFrame:
-        rank5 = R.rank_spend(self._s3, names=S.G5_DEPARTMENTS, label=S.G5_LABEL, rows_bound=self.bound)
-        return stage_table(W.top_k(self.cand5, rank5, S.G5_FACTOR * self.quotas[0], rows_bound=self.bound),
-                           "alloc5")
-
-    @cached_property
-    def _s5(self) -> DataFrame:
-        return W.exclude_allocated(self._s3, self.alloc5)
+# ---- chain B: waterfall over one campaign -------------------------------
 
-    @cached_property
-    def cand11(self) -> DataFrame:
-        return W.bought_excluding_lines(self._s5, S.G11_DEPARTMENTS, G11_SUFFIX)
-
-    @cached_property
-    def alloc11(self) -> DataFrame:
-        rank11 = R.rank_spend(self._s5, names=S.G11_DEPARTMENTS, label=S.G11_LABEL, rows_bound=self.bound)
-        return stage_table(W.top_k(self.cand11, rank11, S.G11_FACTOR * self.quotas[0], rows_bound=self.bound),
-                           "alloc11")
-
-    @cached_property
-    def combined(self) -> DataFrame:
-        return W.combine_allocations(self.alloc1, self.alloc2, self.alloc3, self.alloc5, self.alloc11)
-
-
-def waterfall(spark: SparkSession, sf_dir: str) -> Waterfall:
-    return Waterfall(spark, sf_dir)
+def waterfall(spark: SparkSession, sf_dir: str) -> WaterfallRun:
+    return WaterfallRun(fixtures.transactions(spark, sf_dir), S.waterfall_groups(spark, sf_dir),
+                        S.waterfall_spec(spark, sf_dir))
 
 
 # ---- chain C: purchase cycles ------------------------------------------
@@ -188,5 +84,5 @@ def class_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.expand_to_class(fixtures.prod_dim(spark, sf_dir), S.cycle_targets(spark, sf_dir))
 
 
-def cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Y.purchase_cycle(full_snapshot(spark, sf_dir), class_products(spark, sf_dir))
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Y.purchase_gaps(full_snapshot(spark, sf_dir), class_products(spark, sf_dir))

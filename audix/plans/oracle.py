@@ -20,13 +20,13 @@ def _in(values) -> str:
 
 BASE = [
     ("txn", """
-SELECT o.o_custkey AS household_id, o.o_custkey AS customer_id, o.o_orderkey AS transaction_uid,
+SELECT o.o_custkey AS household_id, CASE WHEN o.o_custkey % 13 <> 0 THEN o.o_custkey END AS customer_id, o.o_orderkey AS transaction_uid,
        l.l_partkey AS upc_id, CAST(o.o_orderdate AS DATE) AS date_id,
        isoyear(CAST(o.o_orderdate AS DATE)) * 100 + week(CAST(o.o_orderdate AS DATE)) AS week_id,
        year(CAST(o.o_orderdate AS DATE)) * 100 + month(CAST(o.o_orderdate AS DATE)) AS period_id,
        CAST(round(l.l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l.l_discount * 100) AS BIGINT)) AS net_spend_amt,
        l.l_quantity AS pkg_weight_unit,
-       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'HDE' WHEN '2-HIGH' THEN 'GoFresh' ELSE 'OTHER' END AS channel
+       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'delivery' WHEN '2-HIGH' THEN 'pickup' ELSE 'store' END AS channel
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""),
     ("snap", "SELECT * FROM txn WHERE customer_id IS NOT NULL"),
     ("date_dim", """
@@ -34,29 +34,29 @@ SELECT d AS date_id, isoyear(d) * 100 + week(d) AS week_id, year(d) * 100 + mont
 FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)),
                                          INTERVAL 1 DAY)) AS DATE) AS d FROM orders)"""),
     ("seg_history", """
-SELECT c.c_custkey AS household_id, c.c_mktsegment AS seg_desc, p.period_id
-FROM customer c, (SELECT DISTINCT period_id FROM date_dim
-                  WHERE period_id <= (SELECT year(x) * 100 + month(x)
-                                      FROM (SELECT CAST(max(o_orderdate) AS DATE) - INTERVAL 2 MONTH AS x FROM orders))) p
-WHERE c.c_custkey % 7 <> 0"""),
+SELECT household_id, period_id, CASE (household_id + period_id) % 5 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING'
+       WHEN 2 THEN 'FURNITURE' WHEN 3 THEN 'HOUSEHOLD' ELSE 'MACHINERY' END AS seg_desc
+FROM (SELECT c_custkey AS household_id, year(m) * 100 + month(m) AS period_id
+      FROM customer JOIN (SELECT unnest([x, x - INTERVAL 1 MONTH, x - INTERVAL 2 MONTH]) AS m
+                          FROM (SELECT date_trunc('month', CAST(max(o_orderdate) AS DATE)) - INTERVAL 2 MONTH AS x FROM orders))
+        ON c_custkey % 7 <> 0)"""),
     ("prod_dim", """
 SELECT p_partkey AS upc_id, p_type AS department_name, p_brand AS section_name, p_size AS class_code,
        'class_' || CAST(p_size AS VARCHAR) AS class_name FROM part"""),
     ("ncust", "SELECT count(*) AS n FROM customer"),
-    ("quota", "SELECT (30 * n) // 1500 AS q1, (25 * n) // 1500 AS q2 FROM ncust"),
+    ("quota", "SELECT (24 * n) // 1500 AS drink, (36 * n) // 1500 AS super FROM ncust"),
     ("pool_groups", """
 SELECT p_partkey AS upc_id, p_brand AS gr_nm FROM part
 WHERE p_type = 'ECONOMY' AND p_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4')"""),
     ("wf_groups", """
 SELECT DISTINCT upc_id, gr_nm FROM (
-  SELECT p_partkey AS upc_id,
-         CASE p_brand WHEN 'Brand#5' THEN '1_a' WHEN 'Brand#6' THEN '2_b' WHEN 'Brand#7' THEN '3_c'
-                      WHEN 'Brand#8' THEN '6_d' WHEN 'Brand#9' THEN '7_e' WHEN 'Brand#10' THEN '8_f' END AS gr_nm
-  FROM part WHERE p_type = 'PROMO' AND p_brand IN ('Brand#5', 'Brand#6', 'Brand#7', 'Brand#8', 'Brand#9', 'Brand#10')
-  UNION ALL SELECT p_partkey, 'sec' FROM part WHERE p_type = 'STANDARD' AND p_brand IN ('Brand#1', 'Brand#2')
-  UNION ALL SELECT upc_id, 'dep_b' FROM prod_dim WHERE department_name = 'PROMO'
-  UNION ALL SELECT upc_id, 'dep_t' FROM prod_dim
-            WHERE department_name IN ('PROMO', 'MEDIUM') AND section_name < 'Brand#2')"""),
+  SELECT p_partkey AS upc_id, l.gr_nm FROM part JOIN (VALUES
+    ('PROMO', 'Brand#5', 'tea'), ('PROMO', 'Brand#6', 'coffee'), ('PROMO', 'Brand#7', 'cocoa'), ('PROMO', 'Brand#8', 'juice'),
+    ('PROMO', 'Brand#9', 'soda'), ('STANDARD', 'Brand#1', 'snacks'), ('STANDARD', 'Brand#3', 'snacks'),
+    ('ECONOMY', 'Brand#5', 'bakery')) l(t, b, gr_nm) ON p_type = l.t AND p_brand = l.b
+  UNION ALL SELECT upc_id, 'shelf_promo' FROM prod_dim WHERE department_name = 'PROMO'
+  UNION ALL SELECT upc_id, 'shelf_medium' FROM prod_dim WHERE department_name = 'MEDIUM' AND section_name < 'Brand#3'
+  UNION ALL SELECT upc_id, 'shelf_large' FROM prod_dim WHERE department_name IN ('LARGE', 'PROMO') AND class_code % 3 = 0)"""),
     ("cls", """
 SELECT DISTINCT upc_id FROM prod_dim
 WHERE class_code IN (SELECT class_code FROM prod_dim WHERE department_name IN ('SMALL', 'MEDIUM') AND class_code <= 5)"""),
@@ -182,53 +182,59 @@ WHERE new_gr NOT IN {_in(S.FREQ_DROP)}""")
 
 # ---- chain B pieces --------------------------------------------------------
 
-FAMILY = _in(S.EXCLUSIVE_FAMILY)
+DRINKS = "('tea', 'coffee', 'cocoa', 'juice', 'soda')"
+
+
+def _shelf(name: str, txn: str, shelves: str, n: int, excluded: str, label: str, quota: str) -> list[tuple[str, str]]:
+    """Candidates, pooled rank and picks of one shelf stage over the lines ``txn``."""
+    return [
+        (f"cand_{name}", f"""
+SELECT household_id FROM {txn} JOIN wf_groups USING (upc_id)
+WHERE gr_nm IN {shelves} AND upc_id NOT IN (SELECT upc_id FROM wf_groups WHERE gr_nm IN {excluded})
+GROUP BY household_id HAVING count(DISTINCT gr_nm) = {n}"""),
+        (f"rank_{name}", _rank(txn, "wf_groups", label=label, where=f"gr_nm IN {shelves}")),
+        (f"pick_{name}", _limit(f"(SELECT r.* FROM cand_{name} JOIN rank_{name} r USING (household_id))", quota, by="")),
+    ]
+
+
 WATERFALL = [
-    ("fam", f"SELECT * FROM wf_groups WHERE gr_nm IN {FAMILY}"),
+    ("fam", f"SELECT * FROM wf_groups WHERE gr_nm IN {DRINKS}"),
     ("fam_rank", _rank("snap", "fam")),
-    ("excl", """
+    ("loyal", """
 SELECT household_id, min(gr_nm) AS gr_nm FROM snap JOIN fam USING (upc_id)
 GROUP BY household_id HAVING count(DISTINCT gr_nm) = 1"""),
-    ("exclusive", "SELECT e.household_id, e.gr_nm, r.sales, r.gr_sales_rank FROM excl e JOIN fam_rank r USING (household_id, gr_nm)"),
-    ("alloc1", _limit("exclusive", "SELECT q1 FROM quota")),
-    ("txn1", "SELECT * FROM snap WHERE household_id NOT IN (SELECT household_id FROM alloc1)"),
-    ("sup", "SELECT DISTINCT upc_id, CASE WHEN gr_nm IN ('1_a', '2_b', '3_c') THEN '4_abc' ELSE '9_def' END AS gr_nm FROM fam"),
-    ("super_rank", _rank("txn1", "sup")),
-    ("sets", "SELECT household_id, string_agg(DISTINCT gr_nm, ',' ORDER BY gr_nm) AS st FROM txn1 JOIN sup USING (upc_id) GROUP BY household_id"),
-    ("mapping", "SELECT * FROM (VALUES ('4_abc', '4_abc'), ('9_def', '9_def'), ('4_abc,9_def', '9_def')) t(st, gr_nm)"),
-    ("mapped", """
-SELECT s.household_id, m.gr_nm, r.sales, r.gr_sales_rank
-FROM sets s JOIN mapping m USING (st) JOIN super_rank r ON r.household_id = s.household_id AND r.gr_nm = m.gr_nm"""),
-    ("alloc2", _limit("mapped", "SELECT q2 FROM quota")),
-    ("txn2", "SELECT * FROM txn1 WHERE household_id NOT IN (SELECT household_id FROM alloc2)"),
-    ("alloc3", """
-SELECT household_id, '10_d_sec' AS gr_nm FROM txn2 JOIN wf_groups USING (upc_id)
-WHERE gr_nm IN ('6_d', 'sec') GROUP BY household_id HAVING count(DISTINCT gr_nm) = 2"""),
-    ("txn3", "SELECT * FROM txn2 WHERE household_id NOT IN (SELECT household_id FROM alloc3)"),
-    ("cand5", """
-SELECT household_id FROM txn3 JOIN wf_groups USING (upc_id)
-WHERE gr_nm IN ('dep_b', 'dep_t') AND upc_id NOT IN (SELECT upc_id FROM wf_groups WHERE gr_nm IN ('1_a', '2_b', '3_c'))
-GROUP BY household_id HAVING count(DISTINCT gr_nm) = 2"""),
-    ("rank5", _rank("txn3", "wf_groups", label=S.G5_LABEL, where="gr_nm IN ('dep_b', 'dep_t')")),
-    ("alloc5", _limit("(SELECT r.* FROM cand5 c JOIN rank5 r USING (household_id))",
-                      f"SELECT {S.G5_FACTOR} * q1 FROM quota", by="")),
-    ("txn5", "SELECT * FROM txn3 WHERE household_id NOT IN (SELECT household_id FROM alloc5)"),
-    ("cand11", """
-SELECT household_id FROM txn5 JOIN wf_groups USING (upc_id)
-WHERE gr_nm = 'dep_t' AND upc_id NOT IN (SELECT upc_id FROM wf_groups WHERE gr_nm IN ('6_d', '7_e', '8_f'))
+    ("loyal_rank", "SELECT r.* FROM loyal JOIN fam_rank r USING (household_id, gr_nm)"),
+    ("one_drink", _limit("loyal_rank", "SELECT drink FROM quota")),
+    ("txn_a", "SELECT * FROM snap WHERE household_id NOT IN (SELECT household_id FROM one_drink)"),
+    ("sup", """
+SELECT upc_id, CASE gr_nm WHEN 'cocoa' THEN 'sweet' WHEN 'juice' THEN 'cold' WHEN 'soda' THEN 'cold' ELSE 'hot' END AS gr_nm
+FROM fam"""),
+    ("super_rank", _rank("txn_a", "sup")),
+    ("sets", """
+SELECT household_id, string_agg(DISTINCT gr_nm, '+' ORDER BY gr_nm) AS st FROM txn_a JOIN sup USING (upc_id)
 GROUP BY household_id"""),
-    ("rank11", _rank("txn5", "wf_groups", label=S.G11_LABEL, where="gr_nm = 'dep_t'")),
-    ("alloc11", _limit("(SELECT r.* FROM cand11 c JOIN rank11 r USING (household_id))",
-                       f"SELECT {S.G11_FACTOR} * q1 FROM quota", by="")),
+    ("mapped", """
+SELECT r.* FROM sets JOIN (VALUES ('hot', 'hot'), ('cold', 'cold'), ('hot+sweet', 'sweet'), ('cold+hot+sweet', 'cold'))
+  m(st, target) USING (st) JOIN super_rank r ON r.household_id = sets.household_id AND r.gr_nm = m.target"""),
+    ("by_set", _limit("mapped", "SELECT super FROM quota")),
+    ("txn_b", "SELECT * FROM txn_a WHERE household_id NOT IN (SELECT household_id FROM by_set)"),
+    ("snackers", """
+SELECT household_id, 'snackers' AS gr_nm FROM txn_b JOIN wf_groups USING (upc_id)
+WHERE gr_nm IN ('snacks', 'bakery') GROUP BY household_id HAVING count(DISTINCT gr_nm) = 2"""),
+    ("txn_c", "SELECT * FROM txn_b WHERE household_id NOT IN (SELECT household_id FROM snackers)"),
+    *_shelf("large", "txn_c", "('shelf_large')", 1, "('juice', 'soda')", "large_no_cold", "SELECT 8 * drink FROM quota"),
+    ("txn_d", "SELECT * FROM txn_c WHERE household_id NOT IN (SELECT household_id FROM pick_large)"),
+    *_shelf("mixed", "txn_d", "('shelf_promo', 'shelf_medium')", 2, "('tea')", "promo_medium_no_tea",
+            "SELECT 15 * drink FROM quota"),
     ("combined", """
-SELECT household_id, gr_nm, gr_sales_rank FROM alloc1
-UNION ALL SELECT household_id, gr_nm, gr_sales_rank FROM alloc2
-UNION ALL SELECT household_id, gr_nm, CAST(NULL AS BIGINT) FROM alloc3
-UNION ALL SELECT household_id, gr_nm, gr_sales_rank FROM alloc5
-UNION ALL SELECT household_id, gr_nm, gr_sales_rank FROM alloc11"""),
+SELECT household_id, gr_nm, gr_sales_rank FROM one_drink
+UNION ALL SELECT household_id, gr_nm, gr_sales_rank FROM by_set
+UNION ALL SELECT household_id, gr_nm, CAST(NULL AS BIGINT) FROM snackers
+UNION ALL SELECT household_id, gr_nm, gr_sales_rank FROM pick_large
+UNION ALL SELECT household_id, gr_nm, gr_sales_rank FROM pick_mixed"""),
 ]
-WF_MAT = {"fam_rank", "alloc1", "txn1", "super_rank", "alloc2", "txn2", "alloc3", "txn3", "alloc5", "txn5",
-          "alloc11", "combined"}
+WF_MAT = {"fam_rank", "one_drink", "txn_a", "super_rank", "by_set", "txn_b", "snackers", "txn_c", "pick_large", "txn_d",
+          "pick_mixed", "combined"}
 
 LABELS = _in(S.SEGMENT_LABELS + [FILL])
 SPLIT = _segments(LAST_WEEK) + [
@@ -242,7 +248,7 @@ def _split(no_control) -> tuple[str, str]:
     first = f"WHEN gr_nm IN {_in(no_control)} THEN 'test' " if no_control else ""
     return ("split", f"""
 SELECT household_id, gr_nm, seg_desc, gr_sales_rank,
-       CASE {first}WHEN CAST(('0x' || substr(md5(CAST(household_id AS VARCHAR) || ':'), 1, 8)) AS BIGINT)
+       CASE {first}WHEN CAST(('0x' || substr(md5(CAST(household_id AS VARCHAR) || ':{S.SALT}'), 1, 8)) AS BIGINT)
                      < (CASE WHEN seg_desc IN {LABELS} THEN {C.CONTROL_FRACTION} ELSE 0.0 END) * 4294967296.0
                 THEN 'ctrl' ELSE 'test' END AS arm
 FROM aseg""")
@@ -265,23 +271,17 @@ WHERE date_diff IS NOT NULL GROUP BY household_id""")
 IN_CLS = "WHERE upc_id IN (SELECT upc_id FROM cls)"
 CYCLE = [
     ("daily", f"SELECT household_id, date_id, sum(pkg_weight_unit) AS units FROM snap {IN_CLS} GROUP BY 1, 2"),
-    ("cycle", """
-SELECT household_id, date_id, units, prev_date_id, datediff('day', prev_date_id, date_id) AS day_diff FROM (
-  SELECT household_id, date_id, units, lag(date_id) OVER (PARTITION BY household_id ORDER BY date_id) AS prev_date_id
-  FROM daily) WHERE prev_date_id IS NOT NULL"""),
-    ("smoothed", f"""
-SELECT household_id,
-       CAST(CASE WHEN c2 IS NOT NULL THEN c1 * {C.SMOOTHING_ALPHA}::DOUBLE
-                                          + c2 * {1 - C.SMOOTHING_ALPHA}::DOUBLE ELSE c1 END AS DOUBLE) AS smth_prchs_cyc,
-       n_cycles
-FROM (SELECT household_id, max(CASE WHEN o = 1 THEN day_diff END) AS c1, max(CASE WHEN o = 2 THEN day_diff END) AS c2,
-             count(*) AS n_cycles
-      FROM (SELECT *, row_number() OVER (PARTITION BY household_id ORDER BY date_id DESC) AS o FROM cycle)
-      WHERE o <= 2 GROUP BY household_id)"""),
-    ("recency", """
-SELECT coalesce(l.household_id, s.household_id) AS household_id, l.last_purchase_date_id, s.smth_prchs_cyc
-FROM (SELECT household_id, max(date_id) AS last_purchase_date_id FROM cycle GROUP BY household_id) l
-FULL OUTER JOIN smoothed s ON l.household_id = s.household_id"""),
+    ("gaps", """
+SELECT household_id, date_id, units, datediff('day', d1, date_id) AS gap_days, datediff('day', d2, d1) AS gap_before FROM (
+  SELECT *, lag(date_id) OVER w AS d1, lag(date_id, 2) OVER w AS d2 FROM daily
+  WINDOW w AS (PARTITION BY household_id ORDER BY date_id)) WHERE d1 IS NOT NULL"""),
+    ("rhythm", f"""
+SELECT household_id, max(date_id) AS last_date, count(*) AS n_gaps,
+       quantile_disc(CAST(gap_days AS DOUBLE) / units, 0.5) AS days_per_unit,
+       coalesce(arg_max(gap_days, date_id) * {C.SMOOTHING_ALPHA}::DOUBLE
+                + arg_max_null(gap_before, date_id) * {1 - C.SMOOTHING_ALPHA}::DOUBLE,
+                CAST(arg_max(gap_days, date_id) AS DOUBLE)) AS cycle_days
+FROM gaps GROUP BY household_id"""),
 ]
 
 
@@ -320,7 +320,7 @@ FROM per_hh LEFT JOIN seg USING (household_id) GROUP BY 1"""),
         "sales_rank": _with(POOL, f"SELECT {SALES_OUT} FROM pool_rank"),
         "frequency_rank": _with([FREQ], "SELECT * FROM freq"),
         "rank_union": _with([FREQ,
-                             ("p2", _rank("snap", "pool_groups", where=f"channel = 'HDE' AND gr_nm = {_q(S.HDE_GROUP)}")),
+                             ("p2", _rank("snap", "pool_groups", where=f"channel = 'delivery' AND gr_nm = {_q(S.DELIVERY_GROUP)}")),
                              ("p3", _rank("snap", "pool_groups", where=f"gr_nm = {_q(S.PLAIN_GROUP)}"))], f"""
 SELECT household_id, gr_nm, sales, gr_sales_rank FROM freq
 UNION ALL SELECT {SALES_OUT} FROM p2 UNION ALL SELECT {SALES_OUT} FROM p3"""),
@@ -337,7 +337,9 @@ SELECT {SALES_OUT} FROM pool_rank WHERE household_id IN (
         "remaining_quota": _alloc_query(lambda p: f"""
 SELECT s.gr_nm, s.ca_nm, s.n_ca, coalesce(d.k, 0) AS n_allctd, greatest(0, s.n_ca - coalesce(d.k, 0)) AS to_alloc,
        round(CASE WHEN s.n_ca = 0 THEN NULL
-                  ELSE CAST(greatest(0, s.n_ca - coalesce(d.k, 0)) AS DOUBLE) / s.n_ca END, 6) AS prop_to_alloc
+                  ELSE CAST(greatest(0, s.n_ca - coalesce(d.k, 0)) AS DOUBLE) / s.n_ca END, 6) AS prop_to_alloc,
+       CASE WHEN s.n_ca > 0 THEN row_number() OVER (ORDER BY CASE WHEN s.n_ca > 0 THEN
+         CAST(greatest(0, s.n_ca - coalesce(d.k, 0)) AS DOUBLE) / s.n_ca END DESC NULLS LAST, ca_nm, gr_nm) END AS position
 FROM spec s LEFT JOIN (SELECT ca_nm, count(*) AS k FROM {p} GROUP BY ca_nm) d USING (ca_nm)""", sizes=(1,)),
         "available_by_size": _alloc_query(lambda p: f"""
 SELECT n_gr, count(*) AS n_available FROM pool_hh
@@ -354,25 +356,46 @@ FROM preview GROUP BY household_id HAVING count(*) > 1""", {"pool_rank"}),
         "overlap_candidates": _with(POOL + [("aud", "SELECT * FROM (VALUES " + ", ".join(
             f"({_q(ca)}, {_q(g)})" for ca, gs in S.AUDIENCE_SETS for g in gs) + ") t(ca_nm, gr_nm)")],
             "SELECT DISTINCT p.household_id, a.ca_nm, p.n_gr FROM pool_long p JOIN aud a USING (gr_nm)"),
-        "exclusive_shoppers": _wf(f"SELECT {SALES_OUT} FROM exclusive"),
-        "quota_top_k": _wf(f"SELECT {SALES_OUT} FROM alloc1"),
+        "exclusive_shoppers": _wf(f"SELECT {SALES_OUT} FROM loyal_rank"),
+        "quota_top_k": _wf(f"SELECT {SALES_OUT} FROM one_drink"),
         "cut_tail": _wf(f"""
 SELECT {SALES_OUT} FROM (
-  SELECT *, row_number() OVER (PARTITION BY gr_nm ORDER BY gr_sales_rank DESC, household_id DESC) AS _e FROM alloc1)
+  SELECT *, row_number() OVER (PARTITION BY gr_nm ORDER BY gr_sales_rank DESC, household_id DESC) AS _e FROM one_drink)
 WHERE _e <= {S.CUT_TAIL_WIDTH}"""),
         "super_group_rank": _wf(f"SELECT {SALES_OUT} FROM super_rank"),
         "set_mapping": _wf(f"SELECT {SALES_OUT} FROM mapped"),
         "waterfall_exclude": _wf("SELECT household_id, count(DISTINCT gr_nm) AS n_groups, count(*) AS n_lines "
-                                 "FROM txn2 JOIN wf_groups USING (upc_id) GROUP BY household_id"),
-        "bought_both": _wf("SELECT household_id, gr_nm FROM alloc3"),
-        "bought_excluding_lines": _wf("SELECT household_id FROM cand5"),
-        "pooled_rank_top_k": _wf(f"SELECT {SALES_OUT} FROM alloc5 UNION ALL SELECT {SALES_OUT} FROM alloc11"),
+                                 "FROM txn_b JOIN wf_groups USING (upc_id) GROUP BY household_id"),
+        "bought_both": _wf("SELECT household_id, gr_nm FROM snackers"),
+        "bought_excluding_lines": _wf("SELECT household_id FROM cand_mixed"),
+        "pooled_rank_top_k": _wf(f"SELECT {SALES_OUT} FROM pick_large UNION ALL SELECT {SALES_OUT} FROM pick_mixed"),
         "combine_allocations": _wf("SELECT household_id, gr_nm, gr_sales_rank FROM combined"),
         "combine_check": _wf("SELECT count(*) AS n_rows, count(DISTINCT household_id) AS n_households FROM combined"),
         "waterfall_profile": _wf("""
 SELECT gr_nm, min(gr_sales_rank) AS min_rank, max(gr_sales_rank) AS max_rank, count(*) AS n_households
 FROM combined GROUP BY gr_nm"""),
         "alloc_segment": _wf("SELECT household_id, gr_nm, gr_sales_rank, seg_desc FROM aseg", SPLIT),
+        "alloc_segment_inner": _wf("SELECT c.household_id, c.gr_nm, c.gr_sales_rank, s.seg_desc "
+                                   "FROM combined c JOIN seg s USING (household_id)", SPLIT),
+        "period_of": _with([], f"""
+SELECT b AS back_days, (SELECT period_id FROM date_dim WHERE date_id = (SELECT max(date_id) FROM date_dim) - CAST(b AS INTEGER)) AS period_id
+FROM (VALUES (0), ({C.SEGMENT_LOOKBACK_DAYS})) t(b)"""),
+        "snapshot_with_segment": _with(_segments(LAST_WEEK), f"""
+SELECT coalesce(seg_desc, {_q(FILL)}) AS seg_desc, count(*) AS n_lines, count(DISTINCT household_id) AS n_households
+FROM snap LEFT JOIN seg USING (household_id) WHERE channel = {_q(S.SNAP_PROFILE_CHANNEL)} GROUP BY 1"""),
+        "spec_csv": "SELECT DISTINCT p_brand AS ca_nm, p_type AS gr_nm FROM part UNION ALL SELECT * FROM (VALUES "
+                    + ", ".join(f"({_q(ca)}, {_q(g)})" for ca, gs in S.AUDIENCE_SETS for g in gs) + ") t(ca_nm, gr_nm)",
+        "prefix_parts": """
+SELECT p_partkey, CASE WHEN p_size <= 10 THEN p_size END AS p_size, CASE WHEN p_size > 10 THEN p_brand END AS p_brand
+FROM part WHERE p_size <= 30""",
+        "folder_union": """
+SELECT p_partkey, CASE WHEN p_size <= 10 THEN p_size END AS p_size,
+       CASE WHEN p_size > 10 AND p_size <= 30 THEN p_brand END AS p_brand, CASE WHEN p_size > 30 THEN p_type END AS p_type
+FROM part""",
+        "part_counts": """
+SELECT CASE WHEN p_size <= 10 THEN 'rank_a' WHEN p_size <= 30 THEN 'rank_b' ELSE 'other' END AS part, count(*) AS n_rows
+FROM part GROUP BY 1""",
+        "default_load": "SELECT s_suppkey, s_nationkey FROM supplier",
         "stratified_split": _wf("SELECT household_id, gr_nm, seg_desc, arm FROM split", SPLIT + [_split(())]),
         "split_no_control": _wf("SELECT household_id, gr_nm, seg_desc, arm FROM split", SPLIT + [split_nc]),
         "split_summary": _wf("""
@@ -380,21 +403,27 @@ SELECT gr_nm, CAST(sum(CASE WHEN arm = 'test' THEN 1 ELSE 0 END) AS BIGINT) AS n
        CAST(sum(CASE WHEN arm = 'ctrl' THEN 1 ELSE 0 END) AS BIGINT) AS n_ctrl, count(*) AS n_total
 FROM split GROUP BY gr_nm""", SPLIT + [split_nc]),
         "hashed_ids": _wf("SELECT * FROM hashed", SPLIT + [split_nc, hashed]),
-        "export_lists": _wf("SELECT gr_nm, arm, count(*) AS n_rows FROM hashed GROUP BY 1, 2",
-                            SPLIT + [split_nc, hashed]),
-        "purchase_cycle": _cyc("SELECT * FROM cycle"),
-        "usage_rate": _cyc("""
-SELECT household_id, quantile_disc(CAST(day_diff AS DOUBLE) / units, 0.5) AS med_day_per_unit
-FROM cycle GROUP BY household_id"""),
-        "smoothed_cycle": _cyc("SELECT * FROM smoothed"),
-        "recency": _cyc("SELECT * FROM recency"),
+        "export_lists": _wf(f"""
+SELECT l.gr_nm, l.arm, count(h.household_id) AS n_households,
+       CAST(count(CASE WHEN h.household_id % {S.NO_ID_MODULUS} = 0 THEN 1 END) AS BIGINT) AS n_without_id,
+       CAST(count(CASE WHEN h.household_id % {S.NO_ID_MODULUS} <> 0 THEN 1 END) AS BIGINT) AS n_rows
+FROM (SELECT DISTINCT gr_nm, unnest(['test', 'ctrl']) AS arm FROM named) l LEFT JOIN named h USING (gr_nm, arm)
+GROUP BY 1, 2""", SPLIT + [split_nc, ("named", "SELECT * REPLACE (CASE gr_nm "
+                    + " ".join(f"WHEN {_q(a)} THEN {_q(b)}" for a, b in S.EXPORT_NAMES.items())
+                    + " ELSE gr_nm END AS gr_nm) FROM split")]),
+        "sample_by_split": _wf(f"""
+SELECT seg_desc, count(*) AS n_rows, count(DISTINCT household_id) AS n_households, true AS in_one_arm,
+       true AS share_in_bound FROM aseg WHERE gr_nm NOT IN {_in(S.NO_CONTROL)} GROUP BY 1""", SPLIT),
+        "purchase_cycle": _cyc("SELECT * FROM gaps"),
+        "usage_rate": _cyc("SELECT household_id, days_per_unit FROM rhythm"),
+        "smoothed_cycle": _cyc("SELECT household_id, cycle_days, n_gaps FROM rhythm"),
+        "recency": _cyc("SELECT household_id, last_date, cycle_days FROM rhythm"),
         "purchase_probability": _cyc(f"""
-SELECT household_id, last_purchase_date_id, smth_prchs_cyc, d AS day_last_to_cmp_str,
-       d + {C.CAMPAIGN_DAYS} AS day_last_to_cmp_end,
-       round(CASE WHEN smth_prchs_cyc > 0
-                  THEN exp(-CAST(greatest(d, 0) AS DOUBLE) / smth_prchs_cyc)
-                       - exp(-CAST(greatest(d + {C.CAMPAIGN_DAYS}, 0) AS DOUBLE) / smth_prchs_cyc) END, 6) AS prop
-FROM (SELECT *, datediff('day', last_purchase_date_id, DATE '{S.CAMPAIGN_START}') AS d FROM recency)"""),
+SELECT household_id, last_date, cycle_days, d AS days_to_start,
+       round(CASE WHEN cycle_days > 0
+                  THEN exp(-CAST(greatest(d, 0) AS DOUBLE) / cycle_days)
+                       - exp(-CAST(greatest(d + {C.CAMPAIGN_DAYS}, 0) AS DOUBLE) / cycle_days) END, 6) AS chance
+FROM (SELECT *, datediff('day', last_date, DATE '{S.CAMPAIGN_START}') AS d FROM rhythm)"""),
         "shopping_cycle": _with([_shop_cycle("sc", IN_CLS)], "SELECT * FROM sc"),
         "dominant_cycle": _with([
             _shop_cycle("tc", IN_CLS), _shop_cycle("ac", ""),

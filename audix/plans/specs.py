@@ -12,40 +12,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.operators.groups import product_groups
+from audix.plans.workflows import DepartmentStage, WaterfallSpec
 from audix.sources import fixtures
 
 QUOTA_BASE_CUSTOMERS = 1500
 
 # Chain A: groups = brand of ECONOMY parts, Brand#1..#4; one audience each.
 POOL_BRANDS = ["Brand#1", "Brand#2", "Brand#3", "Brand#4"]
-ALLOC_SPEC_BASE = [("Brand#1", "ca_b1", 130), ("Brand#2", "ca_b2", 330),
-                   ("Brand#3", "ca_b3", 230), ("Brand#4", "ca_b4", 270)]
+# Thirteen audiences; several share a group, each is on one row.
+ALLOC_SPEC_BASE = [("Brand#1", "ca_01", 40), ("Brand#2", "ca_02", 110), ("Brand#3", "ca_03", 60), ("Brand#4", "ca_04", 90),
+                   ("Brand#1", "ca_05", 25), ("Brand#2", "ca_06", 70), ("Brand#3", "ca_07", 85), ("Brand#4", "ca_08", 30),
+                   ("Brand#2", "ca_09", 55), ("Brand#3", "ca_10", 20), ("Brand#4", "ca_11", 75), ("Brand#1", "ca_12", 35),
+                   ("Brand#4", "ca_13", 45)]
 AUDIENCE_SETS = [("ca_x", ["Brand#1", "Brand#2"]), ("ca_y", ["Brand#3"]), ("ca_z", ["Brand#2", "Brand#4"])]
 FREQ_GROUPS = ["Brand#1", "Brand#2"]
 FREQ_DROP = ["Brand#2_multitimes"]
-HDE_GROUP = "Brand#3"
+DELIVERY_GROUP = "Brand#3"
 PLAIN_GROUP = "Brand#4"
 TOPK_START_WEEK, TOPK_END_WEEK = 199901, 200026
 TOPK_PER_GROUP = 25
 DRILL_GROUP, DRILL_RANK = "Brand#2", 5
 
-# Chain B: listed groups (PROMO brands 5..10, STANDARD brands 1..2) and two
-# department rules.
-LISTED_GROUPS = [("PROMO", "Brand#5", "1_a"), ("PROMO", "Brand#6", "2_b"), ("PROMO", "Brand#7", "3_c"),
-                 ("PROMO", "Brand#8", "6_d"), ("PROMO", "Brand#9", "7_e"), ("PROMO", "Brand#10", "8_f"),
-                 ("STANDARD", "Brand#1", "sec"), ("STANDARD", "Brand#2", "sec")]
-EXCLUSIVE_FAMILY = ["1_a", "2_b", "3_c", "6_d", "7_e", "8_f"]
-SUPER_GROUPS = {"1_a": "4_abc", "2_b": "4_abc", "3_c": "4_abc", "6_d": "9_def", "7_e": "9_def", "8_f": "9_def"}
-SET_MAPPING = [(["4_abc"], "4_abc"), (["9_def"], "9_def"), (["4_abc", "9_def"], "9_def")]
-BOTH_GROUPS, BOTH_LABEL = ["6_d", "sec"], "10_d_sec"
-G5_DEPARTMENTS, G5_EXCLUDED, G5_LABEL = ["dep_b", "dep_t"], ["1_a", "2_b", "3_c"], "5_bt_not_abc"
-G11_DEPARTMENTS, G11_EXCLUDED, G11_LABEL = ["dep_t"], ["6_d", "7_e", "8_f"], "11_t_not_def"
-Q1_BASE, Q2_BASE = 30, 25          # per exclusive group, per super-group
-G5_FACTOR, G11_FACTOR = 10, 20     # group 5 and group 11 quotas in units of q1
-NO_CONTROL = ["6_d", "7_e", "10_d_sec"]
+# Chain B: a drinks campaign. Listed products by (type, brand), departments by rule.
+LISTED_GROUPS = [("PROMO", "Brand#5", "tea"), ("PROMO", "Brand#6", "coffee"), ("PROMO", "Brand#7", "cocoa"),
+                 ("PROMO", "Brand#8", "juice"), ("PROMO", "Brand#9", "soda"),
+                 ("STANDARD", "Brand#1", "snacks"), ("STANDARD", "Brand#3", "snacks"), ("ECONOMY", "Brand#5", "bakery")]
+DRINKS = ["tea", "coffee", "cocoa", "juice", "soda"]
+SUPER_GROUPS = {"tea": "hot", "coffee": "hot", "cocoa": "sweet", "juice": "cold", "soda": "cold"}
+SET_MAPPING = [(["hot"], "hot"), (["cold"], "cold"), (["sweet", "hot"], "sweet"), (["cold", "sweet", "hot"], "cold")]
+SNACKERS, SNACKERS_LABEL = ["snacks", "bakery"], "snackers"
+SHELVES = [(["shelf_large"], ["juice", "soda"], "large_no_cold", 8),
+           (["shelf_promo", "shelf_medium"], ["tea"], "promo_medium_no_tea", 15)]   # quota in units of the first
+DRINK_BASE, SUPER_BASE = 24, 36    # quota per drink, per super-group
+NO_CONTROL = ["hot", "cocoa", "snackers"]
 CUT_TAIL_WIDTH = 10
-SEGMENT_LABELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-SNAP_PROFILE_CHANNEL = "HDE"
+SALT = "drinks-2001"
+NO_ID_MODULUS = 11                # households with custkey % 11 == 0 have no hashed id
+EXPORT_NAMES = {"tea": "007", "coffee": "7"}      # list names that must stay text
+SEGMENT_LABELS = fixtures.SEGMENT_LABELS
+SNAP_PROFILE_CHANNEL = "delivery"
 
 # Chain C: target products SMALL and MEDIUM parts of size <= 5, expanded to
 # their class (size); the two types cover every size 1..5 at every scale
@@ -79,19 +84,29 @@ def audience_sets(spark: SparkSession) -> DataFrame:
 
 
 def waterfall_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed groups unioned with the department rules dep_b and dep_t."""
+    """Listed groups unioned with the shelf rules."""
     part = fixtures.table(spark, sf_dir, "part")
     listing = spark.createDataFrame(LISTED_GROUPS, "p_type string, p_brand string, gr_nm string")
-    listed = part.join(F.broadcast(listing), ["p_type", "p_brand"]).select(
-        F.col("p_partkey").alias("upc_id"), "gr_nm")
+    listed = part.join(listing, ["p_type", "p_brand"]).select(F.col("p_partkey").alias("upc_id"), "gr_nm")
     dim = fixtures.prod_dim(spark, sf_dir)
     rules = {
-        "dep_b": F.col("department_name") == "PROMO",
-        "dep_t": F.col("department_name").isin("PROMO", "MEDIUM") & (F.col("section_name") < "Brand#2"),
+        "shelf_promo": F.col("department_name") == "PROMO",
+        "shelf_medium": (F.col("department_name") == "MEDIUM") & (F.col("section_name") < "Brand#3"),
+        "shelf_large": F.col("department_name").isin("LARGE", "PROMO") & (F.col("class_code") % 3 == 0),
     }
     return product_groups(listed, dim, rules)
 
 
+def waterfall_spec(spark: SparkSession, sf_dir: str) -> WaterfallSpec:
+    n = customers(spark, sf_dir)
+    drink = scaled(DRINK_BASE, n)
+    return WaterfallSpec(
+        family=DRINKS, exclusive_quota={g: drink for g in DRINKS}, super_groups=SUPER_GROUPS,
+        set_mapping=SET_MAPPING, super_quota={g: scaled(SUPER_BASE, n) for g in ("hot", "cold", "sweet")},
+        both=SNACKERS, both_label=SNACKERS_LABEL,
+        departments=[DepartmentStage(d, x, label, k * drink) for d, x, label, k in SHELVES])
+
+
 def cycle_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (fixtures.prod_dim(spark, sf_dir)
             .where(F.col("department_name").isin(CYCLE_TYPES) & (F.col("class_code") <= CYCLE_MAX_SIZE))

@@ -3,7 +3,7 @@ wire the same operators to the driver's test tables).
 
     pool  = rank_pool(txn, groups, start_week=202201, end_week=202226)
     alloc = spec_allocation(pool, spec)                    # sequential quotas
-    split = audience_split(alloc.picks, segments, fractions, group_col="ca_nm")
+    split = audience_split(alloc.picks, segments, fractions, group_col="ca_nm", salt="2022-08")
     files = export_audiences(split, customer_dim, "s3://bucket/export", group_col="ca_nm")
     prob  = purchase_propensity(txn, prod_dim, targets, "2022-08-01")
     stages = run_waterfall(txn, groups, WaterfallSpec(...))   # hand-written chain
@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def spec_allocation(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1,
 
 def audience_split(alloc: DataFrame, segments: DataFrame, fractions: Mapping[str, float],
                    group_col: str = C.GROUP, no_control: Sequence[str] = (),
-                   default_fraction: float | None = None, salt: str = "") -> DataFrame:
+                   default_fraction: float | None = None, *, salt: str) -> DataFrame:
     """Attach segments (fill label for households without one), then assign
     test / control per audience x segment."""
     with_seg = attach_segment(alloc, segments)
@@ -61,19 +62,18 @@ def audience_split(alloc: DataFrame, segments: DataFrame, fractions: Mapping[str
 def export_audiences(split: DataFrame, customer_dim: DataFrame, path: str,
                      group_col: str = C.GROUP) -> DataFrame:
     """Write one id list per audience and arm and read back the row counts."""
-    ids = SP.attach_hashed_ids(split, customer_dim)
+    ids = stage_table(SP.attach_hashed_ids(split, customer_dim), "export-ids")
     X.export_lists(ids, path, group_col=group_col)
-    return X.export_counts(split.sparkSession, path, group_col=group_col)
+    return X.export_counts(ids, path, group_col=group_col)
 
 
 def purchase_propensity(txn: DataFrame, prod_dim: DataFrame, targets: DataFrame,
                         campaign_start: dt.date | str, campaign_days: int = C.CAMPAIGN_DAYS,
                         alpha: float = C.SMOOTHING_ALPHA) -> DataFrame:
-    """Products of the targets' classes -> purchase cycles -> smoothed cycle
-    -> probability of a purchase inside the campaign window."""
-    cyc = Y.purchase_cycle(txn, expand_to_class(prod_dim, targets))
-    recent = Y.recency(cyc, Y.smoothed_cycle(cyc, alpha))
-    return Y.purchase_probability(recent, campaign_start, campaign_days)
+    """Products of the targets' classes -> purchase gaps -> rhythm of each
+    household -> probability of a purchase inside the campaign window."""
+    gaps = Y.purchase_gaps(txn, expand_to_class(prod_dim, targets))
+    return Y.window_probability(Y.purchase_rhythm(gaps, alpha), campaign_start, campaign_days)
 
 
 @dataclass
@@ -98,46 +98,103 @@ class WaterfallSpec:
     departments: Sequence[DepartmentStage] = field(default_factory=list)
 
 
-def run_waterfall(txn: DataFrame, groups: DataFrame, spec: WaterfallSpec) -> dict[str, DataFrame]:
+def department_suffix(i: int) -> str:
+    """Suffix of the product groups of department stage ``i`` without its excluded products."""
+    return f"~d{i}"
+
+
+class WaterfallRun:
     """The hand-written waterfall as one declarative run: exclusive shoppers
     -> exact super-group sets -> co-buyers -> department-minus-products stages,
-    each stage excluding the households of the earlier ones. The lines are
-    read once into a staged household x group table; every stage's picks are
-    staged (bounded by its quota). Returns each stage and ``combined``."""
-    spark = txn.sparkSession
-    all_groups = groups
-    for i, st in enumerate(spec.departments):
-        all_groups = all_groups.unionByName(W.exclusion_groups(groups, st.departments, st.excluded, f"~d{i}"))
-    spend = stage_table(R.group_spend(snapshot_txn(txn), all_groups), "waterfall-spend")
-    bound = spend.count()
-    out: dict[str, DataFrame] = {}
-
-    family = spend.where(F.col(C.GROUP).isin(list(spec.family)))
-    family_rank = R.rank_spend(family, rows_bound=bound)
-    exclusive = P.exclusive_shoppers(family).join(family_rank, [C.HOUSEHOLD, C.GROUP])
-    out["exclusive"] = stage_table(W.limit_by_quota(exclusive, dict(spec.exclusive_quota), rows_bound=bound),
-                                   "exclusive")
-    picked = [out["exclusive"]]
-
-    rest = W.exclude_allocated(spend, *picked)
-    supers = W.regroup_spend(rest.where(F.col(C.GROUP).isin(list(spec.super_groups))), dict(spec.super_groups))
-    mapping = spark.createDataFrame([(sorted(s), t) for s, t in spec.set_mapping],
-                                    f"gr_set array<string>, {C.GROUP} string")
-    mapped = W.map_sets(P.household_group_sets(supers), mapping, R.rank_spend(supers, rows_bound=bound))
-    out["sets"] = stage_table(W.limit_by_quota(mapped, dict(spec.super_quota), rows_bound=bound), "sets")
-    picked.append(out["sets"])
+    each stage excluding the households of the earlier ones.
+
+    The lines are read once into a staged household x group spend table; every
+    stage works on it. Stages are built on first use, so a report on an early
+    stage does not run the later ones, and every stage's picks are staged
+    (bounded by its quota), so later stages anti-join short plans.
+    """
+
+    def __init__(self, txn: DataFrame, groups: DataFrame, spec: WaterfallSpec):
+        self.txn, self.groups, self.spec = txn, groups, spec
+        self._departments: dict[int, DataFrame] = {}
+
+    @cached_property
+    def spend(self) -> DataFrame:
+        groups = self.groups
+        for i, st in enumerate(self.spec.departments):
+            groups = groups.unionByName(
+                W.exclusion_groups(self.groups, st.departments, st.excluded, department_suffix(i)))
+        return stage_table(R.group_spend(snapshot_txn(self.txn), groups), "waterfall-spend")
+
+    @cached_property
+    def exclusive_candidates(self) -> DataFrame:
+        family = self.spend.where(F.col(C.GROUP).isin(list(self.spec.family)))
+        return P.exclusive_shoppers(family).join(R.rank_spend(family), [C.HOUSEHOLD, C.GROUP])
+
+    @cached_property
+    def exclusive(self) -> DataFrame:
+        return stage_table(W.limit_by_quota(self.exclusive_candidates, dict(self.spec.exclusive_quota)), "exclusive")
+
+    @cached_property
+    def _super_spend(self) -> DataFrame:
+        rest = W.exclude_allocated(self.spend, self.exclusive)
+        return W.regroup_spend(rest.where(F.col(C.GROUP).isin(list(self.spec.super_groups))),
+                               dict(self.spec.super_groups))
+
+    @cached_property
+    def super_rank(self) -> DataFrame:
+        return R.rank_spend(self._super_spend)
+
+    @cached_property
+    def mapped(self) -> DataFrame:
+        mapping = self.txn.sparkSession.createDataFrame(
+            [(sorted(s), t) for s, t in self.spec.set_mapping], f"gr_set array<string>, {C.GROUP} string")
+        return W.map_sets(P.household_group_sets(self._super_spend), mapping, self.super_rank)
+
+    @cached_property
+    def sets(self) -> DataFrame:
+        return stage_table(W.limit_by_quota(self.mapped, dict(self.spec.super_quota)), "sets")
+
+    @cached_property
+    def after_sets(self) -> DataFrame:
+        return W.exclude_allocated(self.spend, self.exclusive, self.sets)
+
+    @cached_property
+    def both(self) -> DataFrame | None:
+        if not self.spec.both:
+            return None
+        return stage_table(W.bought_all(self.after_sets, self.spec.both, label=self.spec.both_label), "both")
+
+    def _before_department(self, i: int) -> DataFrame:
+        """Spend of the households that no stage before department stage ``i`` took."""
+        taken = [self.exclusive, self.sets, *([self.both] if self.spec.both else []),
+                 *(self.department(k) for k in range(i))]
+        return W.exclude_allocated(self.spend, *taken)
+
+    def department_candidates(self, i: int) -> DataFrame:
+        return W.bought_excluding_lines(self._before_department(i), self.spec.departments[i].departments,
+                                        department_suffix(i))
+
+    def department(self, i: int) -> DataFrame:
+        if i not in self._departments:
+            st = self.spec.departments[i]
+            ranks = R.rank_spend(self._before_department(i), names=st.departments, label=st.label)
+            self._departments[i] = stage_table(W.top_k(self.department_candidates(i), ranks, st.quota), "department")
+        return self._departments[i]
+
+    @cached_property
+    def combined(self) -> DataFrame:
+        return W.combine_allocations(self.exclusive, self.sets, *([self.both] if self.spec.both else []),
+                                     *(self.department(i) for i in range(len(self.spec.departments))))
 
-    if spec.both:
-        rest = W.exclude_allocated(spend, *picked)
-        out["both"] = stage_table(W.bought_all(rest, spec.both, label=spec.both_label), "both")
-        picked.append(out["both"])
 
+def run_waterfall(txn: DataFrame, groups: DataFrame, spec: WaterfallSpec) -> dict[str, DataFrame]:
+    """Every stage of :class:`WaterfallRun` by name, and ``combined``."""
+    run = WaterfallRun(txn, groups, spec)
+    out = {"exclusive": run.exclusive, "sets": run.sets}
+    if spec.both:
+        out["both"] = run.both
     for i, st in enumerate(spec.departments):
-        rest = W.exclude_allocated(spend, *picked)
-        cand = W.bought_excluding_lines(rest, st.departments, f"~d{i}")
-        ranks = R.rank_spend(rest, names=st.departments, label=st.label, rows_bound=bound)
-        out[st.label] = stage_table(W.top_k(cand, ranks, st.quota, rows_bound=bound), st.label)
-        picked.append(out[st.label])
-
-    out["combined"] = W.combine_allocations(*picked)
+        out[st.label] = run.department(i)
+    out["combined"] = run.combined
     return out

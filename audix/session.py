@@ -55,6 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for a written table."""
+    """A fresh folder under the shared checkpoint folder for a written table.
+
+    Folders live in the application's own checkpoint folder, which a cluster
+    removes with the application's other checkpoints.
+    """
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/audix-stage/{name}-{uuid.uuid4().hex}"

@@ -41,21 +41,15 @@ def read_many(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     """Read several tables written with different column sets as one.
 
     ``paths`` is a folder of tables (optionally only those whose folder name
-    matches ``glob``, e.g. ``"gr_nm_sales*"``) or a list of tables. Tables are
-    combined by column name; columns missing in one table come back as nulls.
+    matches ``glob``, e.g. ``"gr_nm_sales*"``) or a list of tables. One load
+    with schemas merged by column name: columns missing in one table come back as nulls.
     """
-    if isinstance(paths, str):
-        if not glob:
-            return spark.read.format(fmt).load(paths)
-        jvm = spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{paths.rstrip('/')}/{glob}")
-        fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        matched = sorted(str(st.getPath().toString()) for st in (fs.globStatus(pattern) or []))
-        if not matched:
-            raise FileNotFoundError(f"no table matches {pattern.toString()}")
-        paths = matched
-    frames = [spark.read.format(fmt).load(p) for p in paths]
-    return union_all(frames)
+    reader = spark.read.format(fmt).option("mergeSchema", True)
+    if not isinstance(paths, str):
+        return reader.load(list(paths))
+    if glob:
+        return reader.load(f"{paths.rstrip('/')}/{glob}")
+    return reader.option("recursiveFileLookup", True).load(paths)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

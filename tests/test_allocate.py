@@ -91,6 +91,23 @@ def test_resume_and_reports(spark):
     assert state == {hh: next((p[1] for p in full if p[0] == hh), None) for hh in pool}
 
 
+def test_stopped_run_goes_on_after_the_last_finished_pass(spark, tmp_path):
+    pool = random_pool(11, n_hh=40)
+    spec = [(g, f"ca_{g}{k}", 4) for g in "abcd" for k in (1, 2)]
+    sp_pool, sp_spec = spark_pool(spark, pool), spark.createDataFrame(spec, SPEC)
+    state = str(tmp_path / "state")
+    allocate(sp_pool, sp_spec, sizes=(1, 2), state_path=state)
+    held = sorted((tmp_path / "state").rglob("*.parquet"))
+    before = [f.stat().st_mtime_ns for f in held]
+    rest = allocate(sp_pool, sp_spec, state_path=state)
+    assert [f.stat().st_mtime_ns for f in held] == before
+    columns = (C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", "pass_n", "step")
+    assert rows(rest.picks, *columns) == model(pool, spec)
+    other = [(g, ca, 2) for g, ca, _ in spec]
+    again = allocate(sp_pool, spark.createDataFrame(other, SPEC), state_path=state, reset=True)
+    assert rows(again.picks, *columns) == model(pool, other)
+
+
 def test_preview_conflicts_and_overlap(spark):
     pool = {1: {"a": 1, "b": 2}, 2: {"a": 2, "b": 1}, 3: {"a": 3}}
     sp_pool = spark_pool(spark, pool)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from audix.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -17,11 +18,11 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_a_twin():
-    from audix.plans.catalogue import ROWS_ONLY
-    assert set(E.queries()) - ROWS_ONLY == set(E.oracle_sql())
+    from audix.plans import catalogue, oracle
+    assert set(catalogue.queries()) == set(oracle.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"sample_by_split"}))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_query_matches_sql_twin(spark, name):
     from tools.compare import compare
     res = compare(spark, SF, [name], verbose=True)
@@ -29,27 +30,6 @@ def test_query_matches_sql_twin(spark, name):
     assert not res[name][3], f"nested-loop join in the plan of {name}: {res[name][3]}"
 
 
-def test_rows_only_split_covers_its_input(spark):
-    from pyspark.sql import functions as F
-    df = E.queries()["sample_by_split"](spark, SF)
-    n = df.count()
-    assert n > 0 and df.select("household_id").distinct().count() == n
-    assert set(r[0] for r in df.select("arm").distinct().collect()) <= {"test", "ctrl"}
-    assert df.where(F.col("gr_nm").isin("6_d", "7_e", "10_d_sec")).count() == 0
-
-
-@pytest.mark.parametrize("name", ["sales_rank", "quota_top_k", "allocation_audit"])
-def test_distributed_rank_path_matches_sql_twin(spark, name):
-    """Force the hot-group path (range-partitioned exact rank) everywhere."""
-    from tools.compare import compare
-    spark.conf.set("spark.audix.rank.maxWindowRows", "0")
-    try:
-        res = compare(spark, SF, [name], verbose=True)
-    finally:
-        spark.conf.unset("spark.audix.rank.maxWindowRows")
-    assert res[name][0] == "match", res[name]
-
-
 @pytest.mark.parametrize("name", ["allocation_audit", "split_no_control", "pooled_rank_top_k"])
 def test_same_result_under_other_partitioning(spark, name):
     """Results do not depend on the number of shuffle partitions (ties are

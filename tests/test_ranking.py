@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from audix.operators.ranking import distributed_rank, rank_within, top_within
+from audix.operators.ranking import pick_by_rank, rank_within
 
 
 def _frame(spark, n=3000, seed=7, null_group=False):
@@ -21,28 +21,28 @@ def _expected(df, by):
 
 @pytest.mark.parametrize("by", [["g"], []])
 @pytest.mark.parametrize("parts", [3, 8])
-def test_distributed_rank_equals_row_number(spark, by, parts):
+def test_rank_equals_row_number(spark, by, parts):
     df = _frame(spark, null_group=True)
-    got = distributed_rank(df, by, [F.col("s").desc(), F.col("hh")], "rk", num_partitions=parts)
+    got = rank_within(df, by, [F.col("s").desc(), F.col("hh")], "rk", num_partitions=parts)
     exp = _expected(df, by)
     res = {(r["g"], r["hh"]): r["rk"] for r in got.collect()}
     assert res == exp
 
 
-def test_rank_within_paths_agree(spark):
-    df = _frame(spark, n=800)
-    order = [F.col("s").desc(), F.col("hh")]
-    small = {(r["g"], r["hh"]): r["rk"] for r in rank_within(df, ["g"], order, "rk").collect()}
-    spark.conf.set("spark.audix.rank.maxWindowRows", "0")
-    try:
-        big = {(r["g"], r["hh"]): r["rk"] for r in rank_within(df, ["g"], order, "rk").collect()}
-    finally:
-        spark.conf.unset("spark.audix.rank.maxWindowRows")
-    assert small == big == _expected(df, ["g"])
-
-
-def test_top_within_column_limit(spark):
-    df = _frame(spark, n=500).withColumn("lim", F.when(F.col("g") == "hot", 5).otherwise(2))
-    out = top_within(df, ["g"], [F.col("s").desc(), F.col("hh")], F.col("lim"), "rk")
-    counts = {r["g"]: r["count"] for r in out.groupBy("g").count().collect()}
-    assert counts == {"hot": 5, "b": 2, "c": 2}
+@pytest.mark.parametrize("width", [1, 7, 10_000])
+@pytest.mark.parametrize("by", [["g"], []])
+def test_pick_by_rank_equals_sort_and_limit(spark, width, by):
+    df = rank_within(_frame(spark, n=600, null_group=True), ["g"], [F.col("s").desc(), F.col("hh")], "rk")
+    df = df.withColumn("lim", F.when(F.col("g") == "hot", 40).otherwise(3) if by else F.lit(23))
+    got = pick_by_rank(df, by, F.col("lim"), "rk", ["hh"], width=width)
+    assert got.columns == df.columns
+    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy("rk", "hh")
+    want = df.withColumn("k", F.row_number().over(w)).where("k <= lim").drop("k")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_pick_by_rank_edges(spark):
+    df = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 3, None)], "g string, hh long, rk int")
+    assert pick_by_rank(df, ["g"], 0, "rk").collect() == []
+    assert pick_by_rank(df, ["g"], 9, "rk").count() == 2
+    assert pick_by_rank(df.limit(0), [], 9, "rk").collect() == []

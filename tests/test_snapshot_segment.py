@@ -19,18 +19,18 @@ def _date_dim(spark, start=D(2022, 1, 1), days=400):
 
 
 def _txn(spark):
-    data = [(1, 1, 10, D(2022, 1, 3), 202201, 100, "HDE"),
-            (2, None, 11, D(2022, 1, 4), 202201, 50, "HDE"),      # no card: dropped
-            (3, 3, 12, D(2022, 2, 1), 202205, 70, "GoFresh"),
-            (4, 4, 13, D(2022, 3, 1), 202209, 20, "HDE")]          # outside the range
+    data = [(1, 1, 10, D(2022, 1, 3), 202201, 100, "delivery"),
+            (2, None, 11, D(2022, 1, 4), 202201, 50, "delivery"),      # no card: dropped
+            (3, 3, 12, D(2022, 2, 1), 202205, 70, "pickup"),
+            (4, 4, 13, D(2022, 3, 1), 202209, 20, "delivery")]          # outside the range
     return spark.createDataFrame(data, "household_id long, customer_id long, upc_id long, date_id date, "
-                                       "week_id int, net_spend_amt long, store_format_online_subchannel_other string")
+                                       "week_id int, net_spend_amt long, channel string")
 
 
 def test_snapshot_filters(spark):
     snap = snapshot_txn(_txn(spark), 202201, 202205)
     assert rows(snap, C.HOUSEHOLD) == [(1,), (3,)]
-    assert rows(snapshot_txn(_txn(spark), 202201, 202205, channel="HDE"), C.HOUSEHOLD) == [(1,)]
+    assert rows(snapshot_txn(_txn(spark), 202201, 202205, channel="delivery"), C.HOUSEHOLD) == [(1,)]
 
 
 def test_snapshot_profile_fills_label(spark):
@@ -72,3 +72,13 @@ def test_attach_segment_left_fills_and_inner_drops(spark):
     left = attach_segment(alloc, seg)
     assert rows(left, C.HOUSEHOLD, C.SEGMENT) == [(1, "A"), (2, C.SEGMENT_FILL_LABEL), (3, C.SEGMENT_FILL_LABEL)]
     assert rows(attach_segment(alloc, seg, "inner"), C.HOUSEHOLD) == [(1,), (2,)]
+
+
+def test_calendar_gap_is_named(spark):
+    import pytest
+    dim = _date_dim(spark, D(2022, 3, 1), 60)
+    history = _history(spark, [202203])
+    with pytest.raises(ValueError, match="2021-10-02"):
+        segment_as_of(history, dim, "2022-03-31")
+    with pytest.raises(ValueError, match="2023-01-01"):
+        period_of(dim, "2023-01-01")

@@ -19,6 +19,9 @@ def test_glob_filtered_folder_and_file_counts(spark):
     spark.createDataFrame([(9,)], "household_id long").coalesce(1).write.parquet(f"{d}/other")
     picked = read_many(spark, d, glob="gr_nm_sales*")
     assert sorted(r[0] for r in picked.collect()) == [1, 2, 3]
+    spark.createDataFrame([(8, "x")], "household_id long, extra string").write.parquet(f"{d}/wide")
+    every = read_many(spark, d)
+    assert sorted((r.household_id, r.extra) for r in every.collect()) == [(1, None), (2, None), (3, None), (8, "x"), (9, None)]
     only = read_many(spark, [f"{d}/gr_nm_sales_part1", f"{d}/gr_nm_sales_part2"])
     assert sorted(r[0] for r in only.collect()) == [1, 2, 3]
     counts = sorted(r["n_rows"] for r in file_row_counts(only).collect())
