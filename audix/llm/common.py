@@ -43,3 +43,21 @@ def words(col: Column) -> Column:
     """Words of a text (null: none)."""
     parts = F.split(F.coalesce(col, F.lit("")), SPACE, -1)
     return F.filter(parts, lambda w: w != "")
+
+
+#: Any constant; see :func:`join_counted`.
+_FLIP = 0x2545F4914F6CDD1D
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
+    """Join ``rows`` with ``counted``, an aggregate of theirs by the 64-bit column ``key``.
+
+    The key is replaced one to one on both sides for the join. The aggregate's
+    partitioning then does not serve the join, both sides are shuffled for it,
+    and adaptive execution can split a key that many rows share, which it
+    cannot while the aggregation ends in the join's own stage.
+    """
+    def flipped(df: DataFrame) -> DataFrame:
+        return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(_FLIP)))
+
+    return flipped(flipped(rows).join(flipped(counted), key))

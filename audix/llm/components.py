@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.common import staged
+from audix.llm.common import join_counted, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,9 +25,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = pairs.union(pairs.select("y", "x")).toDF("u", "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y")).distinct()
+        large = join_counted(both, low, "u").where("v > u").select(F.col("v").alias("x"), F.col("m").alias("y")).distinct()
         low = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = large.join(low, "x")
+        small = join_counted(large, low, "x")
         pairs = staged(spark, small.where("y > m").select(F.col("y").alias("x"), F.col("m").alias("y"))
                        .union(low.select("x", F.col("m").alias("y"))).distinct(), "stars")
         now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())

@@ -22,6 +22,8 @@ documents the language is null; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -92,11 +94,17 @@ def sample(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang
         F.col("id").isNotNull() & (F.length("lang") > 0) & (F.length("text") > 0)
         & (F.octet_length("text") <= sample_bytes) & ~held_out(F.col("id")))
     names = [r["lang"] for r in small.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()]
-    out = {}
-    for name in names:
-        rows = (small.where(F.col("lang") == name).select("text", F.xxhash64("id").alias("h"))
-                .orderBy("h", "text").limit(per_language).collect())
-        out[name] = [r["text"].encode() for r in rows]
+    # Ids first, so that no task sends more than ids to choose from; then the texts of those only.
+    first = [small.where(F.col("lang") == name).select("id", "lang").distinct()
+             .orderBy(F.xxhash64("id"), "id").limit(per_language) for name in names]
+    if not first:
+        return {}
+    chosen = reduce(DataFrame.union, first)
+    rows = (small.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
+            .select("lang", "text").collect())
+    out: dict[str, list[bytes]] = {name: [] for name in names}
+    for r in rows:
+        out[r["lang"]].append(r["text"].encode())
     return out
 
 

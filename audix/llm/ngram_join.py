@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from audix.llm import textvec
 from audix.llm.bits import bit_table, is_set, with_bit
-from audix.llm.common import staged
+from audix.llm.common import join_counted, staged
 from audix.llm.components import components
 
 SHINGLE = 5
@@ -125,7 +125,7 @@ def _bounded(sets: DataFrame) -> DataFrame:
     """cid of the classes enough of whose shingles occur in another class of ``sets``."""
     cells = sets.select("cid", "n", F.explode(F.transform("shingles", lambda h: F.shiftright(h, 24))).alias("h"))
     shared = cells.groupBy("h").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("h")
-    return (cells.join(shared, "h").groupBy("cid", "n").count()
+    return (join_counted(cells, shared, "h").groupBy("cid", "n").count()
             .where(F.col("count") * DENOMINATOR >= F.col("n") * NUMERATOR).select("cid"))
 
 
@@ -208,7 +208,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     classes = staged(spark, classes, "classes")
     postings = classes.select("cid", F.explode("keys").alias("key"))
     pivots = postings.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi")
-    postings = staged(spark, postings.join(pivots.select("key"), "key"), "shared-keys")
+    postings = staged(spark, join_counted(postings, pivots.select("key"), "key"), "shared-keys")
 
     blocked = staged(spark, postings.select("cid").distinct().join(classes.select("cid", "c1", "c2", "n"), "cid"),
                      "blocked")
@@ -220,7 +220,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
         sets = staged(spark, sets.join(left, "cid"), "bounded")
 
     live = postings.join(sets.select("cid"), "cid")
-    star = live.join(live.groupBy("key").agg(F.min("cid").alias("pivot")), "key")
+    star = join_counted(live, live.groupBy("key").agg(F.min("cid").alias("pivot")), "key")
     families = components(star.where("cid != pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")))
     members = sets.join(families.withColumnRenamed("node", "cid"), "cid")
     blocks = members.groupBy("component").agg(F.greatest(

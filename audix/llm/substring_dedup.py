@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm import textvec
-from audix.llm.common import staged
+from audix.llm.common import join_counted, staged
 from audix.llm.bits import bit_table, with_bit
 
 WINDOW = 35
@@ -151,7 +151,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
     heads = classes.select("cid", F.explode("heads").alias("head"))
     inner = heads.groupBy("head").count().where("count > 1").select("head")
-    shared = staged(spark, heads.join(inner, "head").groupBy("cid").agg(F.collect_set("head").alias("heads"))
+    shared = staged(spark, join_counted(heads, inner, "head").groupBy("cid").agg(F.collect_set("head").alias("heads"))
                     .join(classes.select("cid", "key", "copies"), "cid"), "suffix-shared")
     table = bit_table(shared.select(F.xxhash64("key").alias("h")))
     suspects = rows.where(F.octet_length("_text") >= 2 * window - 1).select("_text")
@@ -162,7 +162,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     grown = texts.select("cid", "_text", "heads").mapInArrow(_grow(window, prefix), "cid bigint, start int, node bigint")
     deep = grown.groupBy("node").count().where("count > 1").select("node")
     single = texts.where("copies = 1").select("cid", "_text")
-    repeats = (grown.join(deep, "node").groupBy("cid").agg(F.collect_list("start").alias("starts")))
+    repeats = (join_counted(grown, deep, "node").groupBy("cid").agg(F.collect_list("start").alias("starts")))
     cut = (single.join(repeats, "cid").select("cid", "_text", "starts")
            .mapInArrow(_cut(window), "cid bigint, n_removed bigint, sha binary, "
                                      "spans array<struct<start:bigint,end:bigint>>"))
