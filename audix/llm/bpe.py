@@ -39,7 +39,7 @@ WIDE = 64
 #: Cells of the tree matrix.
 CELLS = 1 << 19
 #: Encoded matches that a Python worker keeps.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Characters of a text that are split at a time.
 STRETCH = 1 << 18
 #: Characters whose matches are encoded together.
@@ -243,7 +243,7 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
-def _rows_at_a_time(batch: pa.RecordBatch, most: int = 2048) -> Iterator[pa.RecordBatch]:
+def _rows_at_a_time(batch: pa.RecordBatch, most: int = 1024) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, most):
         yield batch.slice(at, most)
 
@@ -253,18 +253,27 @@ def _texts(column: pa.Array) -> list[str]:
 
 
 def encode_texts(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text",
-                 id_col: str = "doc_id") -> DataFrame:
-    """doc_id and ``ids`` (packed little-endian unsigned 32-bit integers) of every row."""
+                 id_col: str = "doc_id", decode: bool = False) -> DataFrame:
+    """doc_id and ``ids`` (packed little-endian unsigned 32-bit integers) of every row.
+
+    With ``decode`` also ``decoded``, the bytes that the ids stand for, in the same
+    Python worker, so that a task needs one coder.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):
         bpe = coder(rank_file, pattern)
         for batch in batches:
             for part in _rows_at_a_time(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(bpe.encode(_texts(part.column(1))), pa.binary())], ["doc_id", "ids"])
+                ids = bpe.encode(_texts(part.column(1)))
+                columns = [part.column(0), pa.array(ids, pa.binary())]
+                if decode:
+                    columns.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][:len(columns)])
+        bpe.known = {}  # an idle worker holds on to the vocabulary only
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
 
 
 def decode_ids(encoded: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
@@ -286,6 +295,6 @@ def decode_ids(encoded: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
 def round_trip(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text",
                id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the bytes decoded from them."""
-    coded = decode_ids(encode_texts(docs, rank_file, pattern, text_col, id_col), rank_file, pattern)
+    coded = encode_texts(docs, rank_file, pattern, text_col, id_col, decode=True)
     return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 _M = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_M, -1, 1 << 64)
 
@@ -124,7 +124,7 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in slices, so that Python objects are made for few texts at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

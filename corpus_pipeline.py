@@ -47,7 +47,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the packed ids and the hash of the bytes they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.decode_ids(bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
+    coded = bpe.encode_texts(docs, ranks, public_tokenizers.PATTERN, decode=True)
     return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids",
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -50,3 +50,9 @@ def test_round_trip_rows(spark):
                      hashlib.sha256((text or "").encode()).hexdigest()))
     assert got == sorted(want, key=str)
     assert bpe.round_trip(frame(spark, []), RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+def test_ids_and_bytes_as_tables(spark):
+    ids = bpe.encode_texts(frame(spark), RANKS, public_tokenizers.PATTERN)
+    back = bpe.decode_ids(ids, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted(bytes(r.decoded) for r in back) == sorted((t or "").encode() for _, t in DOCS)
