@@ -40,7 +40,7 @@ BUCKETS = 1 << 18
 SEGMENT = 64
 STEM = 4
 #: Documents that the model is fitted on, and the longest of them in bytes.
-SAMPLE, SAMPLE_BYTES = 3000, 1 << 15
+SAMPLE, SAMPLE_BYTES = 3000, 1 << 14
 Z = 4.0
 ROUNDS, STEP, RIDGE = 25, 0.5, 1e-3
 SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -166,15 +166,14 @@ def label_tokens(c: Chains, toxic: np.ndarray) -> np.ndarray:
 
 
 def unrepeated(words: textvec.Words) -> np.ndarray:
-    """Documents less than half of whose five-word runs occur in an earlier one."""
-    seen: set[int] = set()
-    keep = np.zeros(words.count, bool)
-    bounds = words.bounds
-    for d in range(words.count):
-        runs = textvec.gram_hashes(words.hashes[bounds[d]:bounds[d + 1]], 5).tolist()
-        keep[d] = 2 * sum(r in seen for r in runs) <= len(runs)
-        seen.update(runs)
-    return keep
+    """Documents at most half of whose five-word runs occur in an earlier one."""
+    runs = textvec.gram_hashes(words.hashes, 5)
+    doc = words.doc[:len(runs)]
+    inside = np.arange(len(runs)) + 5 <= words.bounds[1:][doc]
+    doc = doc[inside]
+    _, first, kind = np.unique(runs[inside], return_index=True, return_inverse=True)
+    known = np.bincount(doc[doc[first][kind] < doc], minlength=words.count)
+    return 2 * known <= np.bincount(doc, minlength=words.count)
 
 
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
