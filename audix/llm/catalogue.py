@@ -58,7 +58,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2}
+    return {"op2_url_filters": OP2, "op3_ngram_join": OP3, "op9_substring_dedup": OP9}
 
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -31,3 +31,36 @@ SELECT page_id, host, path, hit.r AS rule,
   CASE WHEN hit IS NOT NULL THEN hit.v WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, pattern
 FROM k
 """
+
+#: Words between blanks, tabs to carriage returns, of each row of documents.
+_WORDS = r"""
+SELECT row_number() OVER () AS r, doc_id,
+       list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws FROM documents"""
+
+OP3 = f"""
+WITH RECURSIVE d AS ({_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}),
+g AS (SELECT DISTINCT r, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS gram
+      FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS kind FROM g GROUP BY r),
+linked AS (SELECT a.r AS a, b.r AS b FROM g a JOIN g b ON a.gram = b.gram AND a.r <> b.r JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r
+           GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach(a, b) AS (SELECT r, r FROM n UNION SELECT reach.a, linked.b FROM reach JOIN linked ON linked.a = reach.b),
+low AS (SELECT reach.a AS r, min(d.doc_id) AS least FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a),
+links AS (SELECT a AS r, count(DISTINCT y.kind) AS k FROM linked JOIN n x ON x.r = a JOIN n y ON y.r = b
+          WHERE x.kind <> y.kind GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(low.least, doc_id) AS component_id, coalesce(links.k, 0) AS n_links
+FROM d LEFT JOIN n USING (r) LEFT JOIN low USING (r) LEFT JOIN links USING (r)
+"""
+
+OP9 = f"""
+WITH d AS ({_WORDS.format(text="coalesce(text, '')")}),
+w AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
+      FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+hit AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, i + k AS p FROM hit, unnest(range(0, 35)) t(k)),
+kept AS (SELECT d.r, string_agg(ws[p], ' ' ORDER BY p) AS left_over, count(*) AS k
+         FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS p FROM d) d WHERE (d.r, p) NOT IN (SELECT (r, p) FROM gone) GROUP BY d.r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(left_over, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
