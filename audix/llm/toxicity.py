@@ -76,20 +76,20 @@ class Chains:
         self.first, self.segments, self.lengths = first[:-1], segments, n
         inside = np.arange(len(words.doc)) - self.bounds[:-1][words.doc]
         #: Cell of each token in the (segments, SEGMENT) grid.
-        self.cell = self.first[words.doc] * SEGMENT + inside
+        self.cell = (self.first[words.doc] * SEGMENT + inside).astype(np.int32)
         self.shape = (int(first[-1]), SEGMENT)
         self.live = np.zeros(self.shape, bool)
         self.live.reshape(-1)[self.cell] = True
-        self.type = (words.hashes & np.uint64(BUCKETS - 1)).astype(np.int64)
-        self.stem = (words.prefixes & np.uint64(BUCKETS - 1)).astype(np.int64)
-        self.doc = words.doc
+        self.type = (words.hashes & np.uint64(BUCKETS - 1)).astype(np.int32)
+        self.stem = (words.prefixes & np.uint64(BUCKETS - 1)).astype(np.int32)
+        self.doc = words.doc.astype(np.int32)
+        self.texts = range(words.first, words.first + words.count)
         starts, ends = np.zeros(len(inside), bool), np.zeros(len(inside), bool)
         some = n > 0
         starts[self.bounds[:-1][some]] = True
         ends[self.bounds[1:][some] - 1] = True
         self.has_left, self.has_right = ~starts, ~ends
-        self.left = np.concatenate([[0], self.type[:-1]]) if len(self.type) else self.type
-        self.right = np.concatenate([self.type[1:], [0]]) if len(self.type) else self.type
+        self.left, self.right = np.roll(self.type, 1), np.roll(self.type, -1)
 
     def potentials(self, m: Model) -> np.ndarray:
         return (m.bias + m.token[self.type] + m.stem[self.stem]
@@ -154,51 +154,63 @@ class Chains:
         return np.stack([np.ones(len(total)), np.log1p(total), largest, 10 * total / np.maximum(self.lengths, 10)], axis=1)
 
 
-def label_tokens(c: Chains, toxic: np.ndarray) -> np.ndarray:
-    """1 for tokens of toxic documents whose type or stem is significantly frequent in them."""
-    share, found = toxic.mean(), False
-    for kinds in (c.type, c.stem):
-        pair = np.unique(c.doc.astype(np.int64) * BUCKETS + kinds)
-        n = np.bincount(pair % BUCKETS, minlength=BUCKETS)
-        k = np.bincount(pair % BUCKETS, toxic[pair // BUCKETS], BUCKETS)
-        found = found | ((k - n * share) / np.sqrt(n * share * (1 - share) + 1) > Z)[kinds]
-    return found & (toxic[c.doc] > 0)
+def label_tokens(chains: list[Chains], toxic: np.ndarray) -> list[np.ndarray]:
+    """Per block: 1 for tokens of toxic documents whose type or stem is significantly frequent in them."""
+    share = toxic.mean()
+    found = [np.zeros(len(c.doc), bool) for c in chains]
+    for name in ("type", "stem"):
+        n, k = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for c in chains:
+            pair = np.unique(c.doc.astype(np.int64) * BUCKETS + getattr(c, name))
+            n += np.bincount(pair % BUCKETS, minlength=BUCKETS)
+            k += np.bincount(pair % BUCKETS, toxic[c.texts.start + pair // BUCKETS], BUCKETS)
+        often = (k - n * share) / np.sqrt(n * share * (1 - share) + 1) > Z
+        found = [f | often[getattr(c, name)] for f, c in zip(found, chains)]
+    return [(f & (toxic[c.texts.start + c.doc] > 0)).astype(float) for f, c in zip(found, chains)]
 
 
-def unrepeated(words: textvec.Words) -> np.ndarray:
+def unrepeated(texts: list[bytes]) -> np.ndarray:
     """Documents at most half of whose five-word runs occur in an earlier one."""
-    runs = textvec.gram_hashes(words.hashes, 5)
-    doc = words.doc[:len(runs)]
-    inside = np.arange(len(runs)) + 5 <= words.bounds[1:][doc]
-    doc = doc[inside]
-    _, first, kind = np.unique(runs[inside], return_index=True, return_inverse=True)
-    known = np.bincount(doc[doc[first][kind] < doc], minlength=words.count)
-    return 2 * known <= np.bincount(doc, minlength=words.count)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for w in textvec.blocks(texts, textvec.ALPHANUMERIC, True):
+        runs = textvec.gram_hashes(w.hashes, 5)
+        doc = w.doc[:len(runs)]
+        inside = np.arange(len(runs)) + 5 <= w.bounds[1:][doc]
+        found.append((runs[inside], (w.first + doc[inside]).astype(np.int32)))
+    runs, doc = map(np.concatenate, zip(*found))
+    _, first, kind = np.unique(runs, return_index=True, return_inverse=True)
+    known = np.bincount(doc[doc[first][kind] < doc], minlength=len(texts))
+    return 2 * known <= np.bincount(doc, minlength=len(texts))
 
 
 def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
-    """Weights from labelled documents."""
+    """Weights from labelled documents, which are worked on block by block."""
     zero = lambda: np.zeros(BUCKETS)
     base = np.array([np.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 1.5)), 0, 0, 0])
     model = Model(zero(), zero(), zero(), zero(), -3.0, np.zeros((2, 2)), base)
     if not 0 < toxic.sum() < len(toxic):
         return model
-    keep = unrepeated(textvec.together(texts, textvec.ALPHANUMERIC, True))
+    keep = unrepeated(texts)
     texts, toxic = [t for t, k in zip(texts, keep) if k], toxic[keep]
     if not 0 < toxic.sum() < len(toxic):
         return model
-    c = Chains(textvec.together(texts, textvec.ALPHANUMERIC, True, STEM))
-    y = label_tokens(c, toxic).astype(float)
-    before = np.where(c.has_left, np.concatenate([[0], y[:-1]]), 0).astype(int)
-    seen = np.bincount(before * 2 + y.astype(int), minlength=4).reshape(2, 2)
+    chains = [Chains(w) for w in textvec.blocks(texts, textvec.ALPHANUMERIC, True, STEM)]
+    marks = label_tokens(chains, toxic)
+    seen = np.zeros((2, 2))
+    for c, y in zip(chains, marks):
+        before = np.where(c.has_left, np.roll(y, 1), 0).astype(int)
+        seen += np.bincount(before * 2 + y.astype(int), minlength=4).reshape(2, 2)
     weights = [model.token, model.stem, model.left, model.right]
-    grids = [(c.type, 1.0), (c.stem, 1.0), (c.left, c.has_left), (c.right, c.has_right)]
     first, second = [[0.0] * 6 for _ in range(2)]
     for k in range(1, ROUNDS + 1):
-        p, moves = c.marginals(model, pairs=True)
-        gap = y - p
-        slopes = [np.bincount(t, gap * live, BUCKETS) - RIDGE * w for (t, live), w in zip(grids, weights)]
-        slopes += [gap.sum() - RIDGE * model.bias, seen - moves - RIDGE * model.moves]
+        slopes = [-RIDGE * w for w in weights] + [-RIDGE * model.bias, seen - RIDGE * model.moves]
+        for c, y in zip(chains, marks):
+            p, moves = c.marginals(model, pairs=True)
+            gap = y - p
+            for i, (kind, live) in enumerate(((c.type, 1), (c.stem, 1), (c.left, c.has_left), (c.right, c.has_right))):
+                slopes[i] += np.bincount(kind, gap * live, BUCKETS)
+            slopes[4] += gap.sum()
+            slopes[5] = slopes[5] - moves
         for i, g in enumerate(slopes):  # Adam
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.99 * second[i] + 0.01 * g * g
@@ -211,7 +223,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
                 step[0, 0] = 0
                 model.moves += step
     model = model.slim()
-    x = c.features(c.marginals(model))
+    x = np.concatenate([c.features(c.marginals(model)) for c in chains])
     b = base.copy()
     for _ in range(30):  # Newton steps of the document score
         q = 1 / (1 + np.exp(-x @ b))
