@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from audix.sources.sinks import stage_table
 
 _PART, _POS, _FIRST, _BEFORE, _N = "_rk_part", "_rk_pos", "_rk_first", "_rk_before", "_rk_n"
-_LIMIT, _RANGE, _ROOM, _WHOLE = "_rk_limit", "_rk_range", "_rk_room", "_rk_whole"
+_LIMIT, _RANGE, _ROOM = "_rk_limit", "_rk_range", "_rk_room"
 #: Ranks of a group that one task may sort.
 RANGE_WIDTH = 10_000
 
@@ -82,11 +82,11 @@ def pick_by_rank(df: DataFrame, by: Sequence[str], limit: Column | int, rank_col
     """The ``limit`` best rows of each group by an existing rank.
 
     ``limit`` is a number or a column that is constant inside a group. Rows
-    are counted per (group, range of ``width`` ranks). Ranges that fit under
-    the limit as a whole are taken, the one range in which the limit falls is
-    sorted, later ones are left. As ranks are unique in the ranking they come
+    are counted per (group, range of ``width`` ranks); the counts before a
+    range tell how many of its rows are still wanted, and rows are numbered
+    inside their range only. As ranks are unique in the ranking they come
     from, a range holds at most ``width`` rows of it, so no task sorts a
-    group; ``tie_cols`` order rows of equal rank when several rankings meet.
+    group, and ranges past the limit are never moved; ``tie_cols`` order rows of equal rank when several rankings meet.
     Rows without a rank are not picked.
     """
     by = list(by)
@@ -99,15 +99,13 @@ def pick_by_rank(df: DataFrame, by: Sequence[str], limit: Column | int, rank_col
     before = F.coalesce(F.sum(_N).over(spec.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cuts = (sizes.withColumn(_BEFORE, before).where(F.col(_BEFORE) < F.col(_LIMIT))
             .select(*[F.col(c).alias(f"_rk_key{i}") for i, c in enumerate(by)], F.col(_RANGE).alias("_rk_range_r"),
-                    (F.col(_LIMIT) - F.col(_BEFORE)).alias(_ROOM), (F.col(_BEFORE) + F.col(_N) <= F.col(_LIMIT)).alias(_WHOLE)))
+                    (F.col(_LIMIT) - F.col(_BEFORE)).alias(_ROOM)))
     cond = F.col(_RANGE) == F.col("_rk_range_r")
     for i, c in enumerate(by):
         cond = cond & F.col(c).eqNullSafe(F.col(f"_rk_key{i}"))
-    taken = ranged.join(cuts, cond)
-    whole = taken.where(_WHOLE).select(*given)
     order = [F.col(rank_col).asc(), *(F.col(c).asc() for c in tie_cols)]
-    edge = row_number_small_groups(taken.where(~F.col(_WHOLE)), [*by, _RANGE], order, _POS)
-    return whole.unionByName(edge.where(F.col(_POS) <= F.col(_ROOM)).select(*given))
+    inside = row_number_small_groups(ranged.join(cuts, cond), [*by, _RANGE], order, _POS)
+    return inside.where(F.col(_POS) <= F.col(_ROOM)).select(*given)
 
 
 def row_number_small_groups(df: DataFrame, by: Sequence[str], order: Sequence[Column],

@@ -36,9 +36,8 @@ def test_picks_sort_no_whole_group(spark):
     from audix.operators.ranking import pick_by_rank
     df = spark.range(1000).selectExpr("id AS household_id", "cast(id + 1 AS int) AS rank")
     plan = _plan(pick_by_rank(df, [], 10, "rank", ["household_id"]))
-    # Only the counts per range meet in one task (once for each branch of the union);
-    # rows are joined to them, and the one range with the cut is sorted by (group, range).
+    # Only the counts per range meet in one task; rows are joined to them and sorted by (group, range).
     lines = plan.splitlines()
     single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
-    assert len(single) == 2 and all("_rk_n" in lines[i + 1] for i in single)
+    assert len(single) == 1 and all("_rk_n" in lines[i + 1] for i in single)
     assert "BroadcastNestedLoopJoin" not in plan
