@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from audix.llm import textvec
 from audix.llm.common import join_counted, staged
-from audix.llm.bits import bit_table, with_bit
+from audix.llm.bits import bit_table, is_set
 
 WINDOW = 35
 PREFIX = 8
@@ -72,9 +72,10 @@ def _describe(window: int, prefix: int):
             values = np.concatenate(heads_of) if heads_of else np.empty(0, np.uint64)
             n, key, sha = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sha, pa.binary()),
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+                 pa.array([_key_hash(k) for k in key], pa.int64()), pa.array(sha, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.concatenate(bounds), pa.int32()), pa.array(values.view(np.int64)))],
-                ["doc_id", "n_words", "key", "sha", "heads"])
+                ["doc_id", "n_words", "key", "key_hash", "sha", "heads"])
 
     return run
 
@@ -126,14 +127,22 @@ def _cut(window: int):
     return run
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``_text`` and class ``key``."""
+def _key_hash(key: bytes) -> int:
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
+def _suspects(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+    """``_text`` and class ``key`` of the rows whose key has its bit set."""
+    table = rows.sparkSession.sparkContext.broadcast(bits)
+
     def run(batches):
         for batch in textvec.small_batches(batches):
             keys = [_sequence(t)[1] for t in textvec.raw_texts(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["_text", "key"])
+            keep = is_set(table.value, np.array([_key_hash(k) for k in keys], np.int64))
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], ["_text", "key"])
+            yield out.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, "_text string, key binary")
+    return rows.select("_text").mapInArrow(run, "_text string, key binary")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW,
@@ -143,19 +152,18 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     described = staged(spark, rows.mapInArrow(_describe(window, prefix),
-                       f"doc_id {kind}, n_words bigint, key binary, sha binary, heads array<bigint>"), "suffix-heads")
+                       f"doc_id {kind}, n_words bigint, key binary, key_hash bigint, sha binary, heads array<bigint>"), "suffix-heads")
     classes = staged(spark, described.where("n_words >= " + str(window)).groupBy("key")
                      .agg(F.count("*").alias("copies"), F.first("heads").alias("heads"),
-                          F.first("n_words").alias("n_words"))
+                          F.first("n_words").alias("n_words"), F.first("key_hash").alias("key_hash"))
                      .withColumn("cid", F.monotonically_increasing_id()), "suffix-classes")
 
     heads = classes.select("cid", F.explode("heads").alias("head"))
     inner = heads.groupBy("head").count().where("count > 1").select("head")
     shared = staged(spark, join_counted(heads, inner, "head").groupBy("cid").agg(F.collect_set("head").alias("heads"))
-                    .join(classes.select("cid", "key", "copies"), "cid"), "suffix-shared")
-    table = bit_table(shared.select(F.xxhash64("key").alias("h")))
-    suspects = rows.where(F.octet_length("_text") >= 2 * window - 1).select("_text")
-    texts = (with_bit(_keyed(suspects).withColumn("_hash", F.xxhash64("key")), table, True)
+                    .join(classes.select("cid", "key", "key_hash", "copies"), "cid"), "suffix-shared")
+    suspects = rows.where(F.octet_length("_text") >= 2 * window - 1)
+    texts = (_suspects(suspects, bit_table(shared.select("key_hash")))
              .groupBy("key").agg(F.first("_text").alias("_text")))
     texts = staged(spark, texts.join(shared, "key").select("cid", "_text", "heads", "copies"), "suffix-texts")
 
@@ -172,7 +180,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     partly = (cut.join(classes.select("cid", "key"), "cid")
               .select("key", "n_removed", F.col("sha").alias("kept"), "spans"))
     changed = staged(spark, whole.unionByName(partly), "suffix-changed")
-    return (described.drop("heads").join(changed, "key", "left")
+    return (described.drop("heads", "key_hash").join(changed, "key", "left")
             .select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
                     F.lower(F.hex(F.coalesce("kept", "sha"))).alias("kept_sha256"),
                     F.coalesce("spans", F.array()).alias("spans")))
