@@ -90,7 +90,7 @@ def _class(bounds: np.ndarray, grams: np.ndarray) -> list[np.ndarray]:
 def _describe(batches):
     for batch in textvec.small_batches(batches):
         done = 0
-        for count, bounds, grams in shingle_sets(textvec.raw_texts(batch.column(2))):
+        for count, bounds, grams in shingle_sets(textvec.raw_texts(batch.column(3))):
             n = np.diff(bounds)
             low = np.arange(len(grams)) - np.repeat(bounds[:-1], n)
             doc = np.repeat(np.arange(count), n)
@@ -98,9 +98,9 @@ def _describe(batches):
             keys = textvec.mix(grams[:-1] * np.uint64(0x9E3779B97F4A7C15) + grams[1:])[pair]
             key_bounds = np.searchsorted(doc[:-1][pair], np.arange(count + 1))
             yield pa.RecordBatch.from_arrays(
-                [*(c.slice(done, count) for c in batch.columns[:2]),
+                [*(c.slice(done, count) for c in batch.columns[:3]),
                  *(pa.array(c) for c in _class(bounds, grams)), _lists(key_bounds, keys)],
-                ["_row", "doc_id", "c1", "c2", "n", "keys"])
+                ["k1", "k2", "doc_id", "c1", "c2", "n", "keys"])
             done += count
 
 
@@ -189,18 +189,24 @@ def _products(batches):
         yield close()
 
 
+def row_key(id_col: str, text_col: str) -> list:
+    """Two hashes of a row's id and text: the same in every scan of the table,
+    unlike a row number, which depends on how files are dealt to the executors at hand."""
+    return [F.xxhash64(F.col(id_col), F.col(text_col)).alias("k1"),
+            F.xxhash64(F.lit(7), F.col(text_col), F.col(id_col)).alias("k2")]
+
+
 def link_classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Rows (_row, doc_id, c1, c2, n) and classes (c1, c2, n, component, component_id, links).
+    """Rows (k1, k2, doc_id, c1, c2, n) and classes (c1, c2, n, component, component_id, links).
 
-    ``_row`` numbers the rows of ``docs`` as ``monotonically_increasing_id`` does; ``component`` is a
+    ``k1`` and ``k2`` hash a row's id and text (:func:`row_key`); ``component`` is a
     number of the group of linked classes.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
-                       F.col(text_col).alias("_text"))
+    rows = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     described = staged(spark, rows.mapInArrow(
-        _describe, f"_row bigint, doc_id {kind}, c1 bigint, c2 bigint, n bigint, keys array<bigint>"), "shingles")
+        _describe, f"k1 bigint, k2 bigint, doc_id {kind}, c1 bigint, c2 bigint, n bigint, keys array<bigint>"), "shingles")
 
     classes = (described.where("n > 0").groupBy("c1", "c2", "n")
                .agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
@@ -255,18 +261,26 @@ def jaccard_join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each group of linked documents, the least id (then the first row); all columns.
+    """One row of each group of linked documents, one with the least id; all columns.
 
-    Rows without shingles all stay.
+    Of rows that repeat id and text any one is kept. Rows without shingles all stay.
     """
     spark = docs.sparkSession
     rows, classes = link_classes(docs, text_col, id_col)
-    grouped = staged(spark, rows.join(classes, ["c1", "c2", "n"]).select("_row", "doc_id", "component"), "grouped")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
-    first = grouped.groupBy("component").agg(F.min(order)["_row"].alias("_row")).select("_row")
-    dropped = staged(spark, grouped.select("_row").join(first, "_row", "left_anti"), "dropped")
-    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc"))
-    hashed = numbered.withColumn("_hash", F.xxhash64("_row"))
-    table = bit_table(dropped.select(F.xxhash64("_row").alias("h")))
-    suspects = with_bit(hashed, table, True).join(dropped, "_row", "left_anti")
-    return with_bit(hashed, table, False).unionByName(suspects).select("_doc.*")
+    grouped = (rows.join(classes, ["c1", "c2", "n"]).groupBy("k1", "k2", "component")
+               .agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("copies")))
+    grouped = staged(spark, grouped, "grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
+    first = grouped.groupBy("component").agg(F.min(order).alias("o")).select("component", "o.k1", "o.k2")
+    # What happens to a key: it goes, or its repeated rows are cut to one. Keys not listed stay as they are.
+    listed = staged(spark, grouped.join(first.withColumn("keep", F.lit(True)), ["component", "k1", "k2"], "left")
+                    .select("k1", "k2", F.coalesce("keep", F.lit(False)).alias("keep"), "copies")
+                    .where("NOT keep OR copies > 1").drop("copies"), "listed")
+    keyed = docs.select(*row_key(id_col, text_col), F.struct(*docs.columns).alias("_doc"))
+    hashed = keyed.withColumn("_hash", F.col("k1"))
+    table = bit_table(listed.select("k1"))
+    suspects = with_bit(hashed, table, True).join(listed, ["k1", "k2"], "left")
+    once = (suspects.where("keep").groupBy("k1", "k2").agg(F.first("_doc").alias("_doc")))
+    return (with_bit(hashed, table, False).select("_doc.*")
+            .unionByName(suspects.where("keep IS NULL").select("_doc.*"))
+            .unionByName(once.select("_doc.*")))
