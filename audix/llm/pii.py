@@ -254,13 +254,12 @@ def find(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
                                        F.sort_array(F.collect_list("_span")).alias("spans")).drop("_row"))
 
 
-def _replacer(kind: int, loose: bool, model: Classifier):
-    """Lambda of a match and its number: the kind in brackets if it is kept, else the match."""
-    def put(m: Column, i: Column) -> Column:
-        span = _judged(kind, loose, m, i, F.col("_gaps"))
-        return F.when(kept(span, model), F.lit(f"[{KINDS[kind].name.upper()}]")).otherwise(m)
+def _judged_all(kind: int, loose: bool) -> Column:
+    return F.transform("_hits", lambda m, i: _judged(kind, loose, m, i, F.col("_gaps")))
 
-    return put
+
+def _replacer(tag: Column, model: Classifier):
+    return lambda m, span: F.when(kept(span, model), tag).otherwise(m)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -273,11 +272,13 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = docs.columns
     hidden = docs.select(F.struct(*names).alias("_row"), F.col(text_col).alias("_text"))
     for kind, loose, pattern in _patterns():
+        tag = F.lit(f"[{KINDS[kind].name.upper()}]")
         hidden = hidden.select("_row", "_text", F.split("_text", pattern, -1).alias("_gaps"),
                                F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)).alias("_hits"))
-        put = _replacer(kind, loose, model)
-        filled = F.zip_with("_gaps", F.transform("_hits", put),
-                            lambda g, m: F.concat(F.coalesce(g, F.lit("")), F.coalesce(m, F.lit(""))))
+        # The judged spans are a column of their own, so that the classifier refers to a value, not to their expression.
+        hidden = hidden.select("*", _judged_all(kind, loose).alias("_spans"))
+        put = F.zip_with("_hits", "_spans", _replacer(tag, model))
+        filled = F.zip_with("_gaps", put, lambda g, m: F.concat(F.coalesce(g, F.lit("")), F.coalesce(m, F.lit(""))))
         hidden = hidden.select("_row", F.when(F.size("_hits") > 0, F.array_join(filled, ""))
                                .otherwise(F.col("_text")).alias("_text"))
     return hidden.select(*(F.col("_text").alias(n) if n == text_col else F.col("_row")[n].alias(n) for n in names))
