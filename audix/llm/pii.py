@@ -33,6 +33,8 @@ from audix.llm.common import staged
 #: Characters before and after a match that labelers see.
 CONTEXT = 24
 ROUNDS = 50
+#: Longest text in code points, for telling kinds apart by place; characters of a text that are cut at a time.
+AXIS, CHUNK = 1 << 40, 64
 LABELERS = ("strict", "gazetteer", "context", "shape", "edges")
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -254,34 +256,70 @@ def find(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
                                        F.sort_array(F.collect_list("_span")).alias("spans")).drop("_row"))
 
 
-def _judged_all(kind: int, loose: bool) -> Column:
-    return F.transform("_hits", lambda m, i: _judged(kind, loose, m, i, F.col("_gaps")))
+def _running(values: Column, step) -> Column:
+    """``step`` (associative, skips nulls) over every prefix of an array, in rounds over doubled distances."""
+    far = F.filter(F.array(*(F.lit(1 << i) for i in range(31))), lambda d: d < F.size(values))
+    return F.aggregate(far, values, lambda a, d: F.transform(a, lambda x, i: F.when(i >= d, step(F.get(a, i - d), x)).otherwise(x)))
 
 
-def _replacer(tag: Column, model: Classifier):
-    return lambda m, span: F.when(kept(span, model), tag).otherwise(m)
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _piece(start: Column, end: Column) -> Column:
+    """The characters [start, end) of the text in ``_chunks``."""
+    first = F.floor(start / CHUNK).cast("int")
+    count = F.floor((end - 1) / CHUNK).cast("int") - first + 1
+    cut = F.substring(F.array_join(F.slice("_chunks", first + 1, count), ""),
+                      (start - first * CHUNK + 1).cast("int"), (end - start).cast("int"))
+    return F.when(end > start, cut).otherwise("")
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its texts replaced by the kind in brackets, such as ``[EMAIL]``.
 
-    Kinds are replaced one after the other, each in what the last has left.
+    The spans are those of :func:`find`, all judged on the input. Overlapping ones, of whatever kinds, are
+    cut out as one, which takes the kind of the first of them (of several that begin there, of the longest).
+    A cut can lay open a strict span where a longer match had failed its check; such spans then go kind by kind.
     """
-    rows = docs.select(F.col(text_col).alias("_text"))
-    model = fit(candidates(rows, "_text"))
+    model = fit(candidates(docs.select(F.col(text_col).alias("_text")), "_text"))
     names = docs.columns
-    hidden = docs.select(F.struct(*names).alias("_row"), F.col(text_col).alias("_text"))
-    for kind, loose, pattern in _patterns():
-        tag = F.lit(f"[{KINDS[kind].name.upper()}]")
-        hidden = hidden.select("_row", "_text", F.split("_text", pattern, -1).alias("_gaps"),
-                               F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)).alias("_hits"))
-        # The judged spans are a column of their own, so that the classifier refers to a value, not to their expression.
-        hidden = hidden.select("*", _judged_all(kind, loose).alias("_spans"))
-        put = F.zip_with("_hits", "_spans", _replacer(tag, model))
-        filled = F.zip_with("_gaps", put, lambda g, m: F.concat(F.coalesce(g, F.lit("")), F.coalesce(m, F.lit(""))))
-        hidden = hidden.select("_row", F.when(F.size("_hits") > 0, F.array_join(filled, ""))
-                               .otherwise(F.col("_text")).alias("_text"))
-    return hidden.select(*(F.col("_text").alias(n) if n == text_col else F.col("_row")[n].alias(n) for n in names))
+    rows = candidates(docs.select(F.struct(*names).alias("_row"), F.col(text_col).alias("_text")), "_text")
+    # Each step is a column of its own that the next refers to more than once, so that Spark computes it once.
+    # Sums start anew with each pattern: what they were before its first match is taken off.
+    rows = rows.withColumn("_sums", _running(F.transform("_found", lambda c: c["gap"].cast("long") + c["n"]), _add))
+    # Kinds lie one after the other on an axis, so that one running value serves all of them.
+    rows = rows.withColumn("_kept", F.array_sort(F.filter(F.transform("_found", lambda c, i: F.when(kept(c, model), F.struct(
+        (F.get("_sums", i) - F.coalesce(F.get("_sums", i - c["at"] - 1), F.lit(0)) - c["n"] + c["kind"] * AXIS).alias("start"),
+        (F.get("_sums", i) - F.coalesce(F.get("_sums", i - c["at"] - 1), F.lit(0)) + c["kind"] * AXIS).alias("end"),
+        (c["strict"] == 1).alias("base")))), lambda s: s.isNotNull())))
+    rows = rows.select(
+        "*", _running(F.transform("_kept", lambda s: F.when(s["base"], s["end"])), F.greatest).alias("_before"),
+        F.reverse(_running(F.transform(F.reverse("_kept"), lambda s: F.when(s["base"], s["start"])), F.least)).alias("_after"))
+    free = F.filter("_kept", lambda s, i: s["base"] | ~(
+        F.coalesce(F.get("_before", i - 1) > s["start"], F.lit(False))
+        | F.coalesce(F.get("_after", i + 1) < s["end"], F.lit(False))))
+    rows = rows.withColumn("_spans", F.array_sort(F.transform(free, lambda s: F.struct(
+        (s["start"] % AXIS).alias("start"), (-(s["end"] % AXIS)).alias("back"), F.floor(s["start"] / AXIS).cast("int").alias("kind")))))
+    some = F.size("_spans") > 0
+    rows = rows.select("*", _running(F.transform("_spans", lambda s: -s["back"]), F.greatest).alias("_reach"),
+                       F.when(some, F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).alias("_chunks"))
+    tags = F.array(*(F.lit(f"[{k.name.upper()}]") for k in KINDS))
+
+    def put(s: Column, i: Column) -> Column:
+        done = F.coalesce(F.get("_reach", i - 1), F.lit(0))
+        return F.when(s["start"] >= done, F.concat(_piece(done, s["start"]), F.get(tags, s["kind"]))).otherwise("")
+
+    rest = _piece(F.element_at("_reach", -1), F.char_length("_text").cast("long"))
+    cut = F.when(some, F.concat(F.array_join(F.transform("_spans", put), ""), rest)).otherwise(F.col("_text"))
+    rows = rows.select("_row", some.alias("_some"), cut.alias("_text"))
+    for kind, tag in ((k, f"[{k.name.upper()}]") for k in KINDS):
+        rows = rows.select("_row", "_some", "_text", F.when(F.col("_some"), F.split("_text", kind.strict, -1)).alias("_gaps"),
+                           F.regexp_extract_all("_text", F.lit(kind.strict), F.lit(0)).alias("_hits"))
+        filled = F.zip_with("_gaps", "_hits", lambda g, m: F.concat(  # noqa: B023
+            g, F.when(m.isNull(), "").when(passes(kind.name, m), tag).otherwise(m)))
+        rows = rows.select("_row", "_some", F.coalesce(F.array_join(filled, ""), F.col("_text")).alias("_text"))
+    return rows.select(*(F.col("_text").alias(n) if n == text_col else F.col("_row")[n].alias(n) for n in names))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -76,6 +76,26 @@ def test_base_spans_stay(spark):
     assert pii.digest(pii.find(frame(spark, []))).collect() == []
 
 
+def test_redaction_cuts_overlapping_spans_of_all_kinds_whole(spark):
+    long = "".join(f"{i}\U0001F600 a{i}@x{i}.org, " for i in range(300)) + "end"
+    texts = ["call +33.1.42.68.53.00 now", "+4222222222222.12", "1.2.3.4@mail.com!", "a@b.org+33.1.42.68.53.00x@y.de",
+             "host 10.0.0.1 and +4222222222222.12 \U0001F600 a@b.org", "1:2:3:4:5:6:7:8.1.2.3", "", None, "nothing", long]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    spans = {r.doc_id: r.spans for r in pii.find(df).collect()}
+    got = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    for i, text in enumerate(texts):
+        want, done = "", 0
+        for s in sorted(spans[i], key=lambda s: (s.start, -s.end, s.kind)):
+            if s.start >= done:
+                want += text[done:s.start] + f"[{pii.KINDS[s.kind].name.upper()}]"
+            done = max(done, s.end)
+        assert got[i] == (None if text is None else want + text[done:])
+    assert got[0] == "call [PHONE] now" and got[1] == "[PHONE]" and got[2] == "[EMAIL]!"
+    opened = spark.createDataFrame([(0, "4222222222222.1.2.3.4"), (1, "+(123456789).4222222222222 c@d.e")], "doc_id int, text string")
+    assert all(base_spans(r.text) == "" for r in pii.redact(opened).collect())
+    assert got[9] == "".join(f"{i}\U0001F600 [EMAIL], " for i in range(300)) + "end"
+
+
 def test_redaction_leaves_no_base_span(spark):
     rows = [(100 + i, t) for i, t in enumerate(PRIVATE)] + DOCS
     df = frame(spark, rows)
