@@ -10,8 +10,10 @@ suffix and a host. The posterior of a language multiplies
 * the host's prior: the language shares of the host's other rows, smoothed towards those
   of its suffix, which are smoothed towards those of all rows.
 
-The trigram model is fitted on a bounded sample (``SAMPLE`` labelled documents per language, of at most
-``SAMPLE_BYTES`` each, outside the held-out fold). Declarations, suffixes and hosts are grouped
+The trigram model knows every language that labels a non-empty text, up to ``MAX_LANGUAGES``; more are an
+error, none is left out. It is fitted on a bounded sample: of each language at most ``SAMPLE`` documents (all
+languages together at most ``SAMPLE * SHARED``, one of each at least), outside the held-out fold unless
+the language has no others, and of each document its first ``SAMPLE_BYTES``. Declarations, suffixes and hosts are grouped
 aggregates over every row, joined back by key; a host that holds a third of the rows is summed in
 parts and met by a join that Spark can split.
 
@@ -22,21 +24,23 @@ documents the language is null; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm import textvec
-from audix.llm.common import ascii_lower, staged
+from audix.llm.common import ascii_lower, literal_table, staged
 
 BUCKETS = 1 << 16
 #: Trigrams whose weight a text has at most.
 EVIDENCE = 100.0
-#: Documents per language that the model is fitted on, and the longest of them in bytes.
+#: Documents per language that the model is fitted on, and the bytes that are read of each.
 SAMPLE, SAMPLE_BYTES = 400, 1 << 14
+#: Languages up to which each has a full sample, and languages up to which a model is made at all.
+SHARED, MAX_LANGUAGES = 64, 512
+#: Languages whose likelihoods are summed at a time.
+TOGETHER = 8
 #: Rows that a suffix's or all rows' shares count for in a host's prior.
 WEIGHT = 5.0
 
@@ -62,7 +66,9 @@ def fit(texts: dict[str, list[bytes]]) -> tuple[list[str], np.ndarray]:
     for k, name in enumerate(names):
         counts = np.bincount(trigram_buckets(texts[name])[0], minlength=BUCKETS) + 0.5
         table[:, k] = np.log(counts / counts.sum())
-    return names, table - table.mean(axis=1, keepdims=True) if names else table
+    if names:
+        table -= table.mean(axis=1, keepdims=True)
+    return names, table
 
 
 def likelihoods(texts: list[bytes], table: np.ndarray) -> np.ndarray:
@@ -74,7 +80,8 @@ def likelihoods(texts: list[bytes], table: np.ndarray) -> np.ndarray:
             if i > first:
                 at, starts = trigram_buckets(texts[first:i])
                 own = np.array([len(t) for t in texts[first:i]])
-                sums = np.add.reduceat(table[at].astype(np.float64), starts, axis=0)
+                sums = np.concatenate([np.add.reduceat(table[at, k:k + TOGETHER].astype(np.float64), starts, axis=0)
+                                       for k in range(0, table.shape[1], TOGETHER)], axis=1)
                 out[first:i] = sums / np.maximum(1, own / EVIDENCE)[:, None] * (own > 0)[:, None]
             first, size = i, 0
         if i < len(texts):
@@ -88,23 +95,45 @@ def held_out(id_col: Column) -> Column:
 
 
 def sample(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", lang_col: str = "lang",
-           per_language: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict[str, list[bytes]]:
-    """The bounded training sample: the first labelled documents of each language in hash order."""
-    small = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
-        F.col("id").isNotNull() & (F.length("lang") > 0) & (F.length("text") > 0)
-        & (F.octet_length("text") <= sample_bytes) & ~held_out(F.col("id")))
-    names = [r["lang"] for r in small.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()]
-    # Ids first, so that no task sends more than ids to choose from; then the texts of those only.
-    first = [small.where(F.col("lang") == name).select("id", "lang").distinct()
-             .orderBy(F.xxhash64("id"), "id").limit(per_language) for name in names]
-    if not first:
+           per_language: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
+           max_languages: int = MAX_LANGUAGES) -> dict[str, list[bytes]]:
+    """The bounded training sample: the first labelled documents of each language in hash order.
+
+    Raises ValueError if the labels name more than ``max_languages`` languages.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
+        (F.length("lang") > 0) & (F.length("text") > 0))
+    # Rows without an id are told apart by their texts.
+    rows = rows.select("lang", F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id")).alias("key"),
+                       held_out(F.col("id")).alias("held"), "text")
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct(F.when(~F.col("held"), F.col("key"))).alias("free"),
+                                       F.approx_count_distinct("key").alias("every"))
+    known = counted.limit(max_languages + 1).collect()
+    if len(known) > max_languages:
+        raise ValueError(f"labels name more than max_languages = {max_languages} languages")
+    if not known:
         return {}
-    chosen = reduce(DataFrame.union, first)
-    rows = (small.join(F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
-            .select("lang", "text").collect())
-    out: dict[str, list[bytes]] = {name: [] for name in names}
-    for r in rows:
-        out[r["lang"]].append(r["text"].encode())
+    quota = min(per_language, max(1, per_language * SHARED // len(known)))
+
+    def below(cuts: list[dict]) -> DataFrame:
+        """Rows that may train and whose key is at most their language's cut."""
+        cut = literal_table(docs.sparkSession, cuts, "lang:string,cut:bigint,only_held:boolean")
+        return rows.join(F.broadcast(cut), "lang").where((F.col("key") <= F.col("cut")) & (F.col("held") == F.col("only_held")))
+
+    # Keys first, so that no task sends more than keys to choose from: hashes are even, so a share of their range
+    # holds a share of the documents, and twice the share that is wanted leaves room for the estimate's error.
+    cuts = [{"lang": r["lang"], "only_held": not r["free"], "cut": min(
+        (1 << 63) - 1, -(1 << 63) + ((2 * quota + 100) << 64) // (r["free"] or r["every"]))} for r in known]
+    keys: dict[str, list[int]] = {r["lang"]: [] for r in known}
+    for r in below(cuts).select("lang", "key").distinct().collect():
+        keys[r["lang"]].append(r["key"])
+    cuts = [c | {"cut": sorted(keys[c["lang"]])[:quota][-1]} for c in cuts]
+    # Then the texts of those only.
+    chosen = (below(cuts).groupBy("lang", "key").agg(F.min(F.left("text", F.lit(sample_bytes))).alias("text"))
+              .select("lang", "text").collect())
+    out: dict[str, list[bytes]] = {name: [] for name in keys}
+    for r in chosen:
+        out[r["lang"]].append(r["text"].encode()[:sample_bytes])
     return out
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import heapq
 import os
+import random
 import zlib
 
 import pytest
@@ -115,6 +116,28 @@ def test_evidence_decides_where_texts_are_silent(spark):
     assert {r.lang for r in language_id.identify(df, none, empty, ["id"]).collect()} == {None}
 
 
+def test_every_labelled_language_is_known(spark):
+    rnd = random.Random(5)
+    speak = {f"l{k:02}": " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)) for k in range(70)}
+    held = next(i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 5 == 0)
+    free = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(free[3 * k + j], text, lang) for k, (lang, text) in enumerate(speak.items()) for j in range(3)]
+    rows += [(free[-1], "uvu wxw yzy " * 4000, "long"), (held, "qaq jej ziz kok", "held"), (None, "ghg bnb dfd", "no'id"),
+             (held + 10000, "", "empty"), (5000, "no label", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    train = language_id.sample(df)
+    assert set(train) == {*speak, "long", "held", "no'id"}
+    assert len(train["long"][0]) == language_id.SAMPLE_BYTES and all(train.values())
+    names, model = language_id.fit(train)
+    none = F.lit(None).cast("string")
+    asked = df.where("length(text) > 0").withColumns({"declared": none, "suffix": none, "host": none}).withColumnRenamed("lang", "truth")
+    got = language_id.identify(asked, names, model, ["truth"]).collect()
+    assert len(got) == len(rows) - 1 and all(r.lang == r.truth for r in got if r.truth)
+    with pytest.raises(ValueError):
+        language_id.sample(df, max_languages=72)
+    assert len(language_id.sample(df, per_language=2, max_languages=73)["l00"]) == 1
+
+
 @needs_tables
 def test_held_out_documents_and_page_paths(spark):
     got = catalogue.op1_language_id(spark, SF).collect()
