@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -257,3 +258,10 @@ def test_without_labels_nothing_is_toxic(spark):
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.predicted for r in toxicity.toxicity(frame(spark, DOCS), marks).collect()] == [0] * len(DOCS)
     assert toxicity.toxicity(frame(spark, []), marks).collect() == []
+
+
+def test_toxicity_trains_on_documents_up_to_32_kb(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:3]
+    docs = spark.createDataFrame(list(zip(ids, ["x" * n for n in (100, 1 << 15, (1 << 15) + 1)])), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, toxic int")
+    assert sorted(len(t) for t in toxicity.sample_labelled(docs, marks)[0]) == [100, 1 << 15]
