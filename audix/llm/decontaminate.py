@@ -14,9 +14,11 @@ at most about ``BLOCK_BYTES`` of item text, one pass over the documents for
 each block, so what is broadcast stays bounded whatever the size of the set. The documents are
 mapped, never shuffled.
 
-Defined cases: null and empty texts hold nothing; null and empty items are
-not searched for, nor items of fewer than ``min_chars`` characters, which prove
-nothing; items with equal texts are all reported; repeated rows and ids are each judged; null ids
+An item of fewer than ``min_chars`` characters is searched for without edits and as whole words: no letter
+or digit may go on where it begins or ends with one.
+
+Defined cases: null and empty texts hold nothing; null and empty items (or of white space only) are
+not searched for; items with equal texts are all reported; repeated rows and ids are each judged; null ids
 stay null; documents' other columns are kept by :func:`keep_clean`, not read by
 :func:`find_leaks`.
 """
@@ -72,15 +74,22 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word of ``text`` goes on across the ends of the stretch."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum()
+                or end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+
+
 class Matcher:
     """Automaton over the pieces of a block of items."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int):
         by_text: dict[str, list[int]] = {}
         for key, text in items:
-            if len(t := normalise(text or "")) >= min_chars:
+            if t := normalise(text or ""):
                 by_text.setdefault(t, []).append(key)
-        self.items = [(t, int(len(t) * error_rate), keys) for t, keys in by_text.items()]
+        self.min_chars = min_chars
+        self.items = [(t, int(len(t) * error_rate) if len(t) >= min_chars else 0, keys) for t, keys in by_text.items()]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for i, (t, k, _) in enumerate(self.items):
@@ -101,6 +110,8 @@ class Matcher:
                 t, k, _ = items[i]
                 start = last + 1 - b - k
                 end = start + len(t) + 2 * k
+                if len(t) < self.min_chars and not whole_words(text, start, end):
+                    continue
                 if (own := found.get(i)) is None:
                     found[i] = [[start, end]]
                 elif start <= own[-1][1] and end >= own[-1][0]:

@@ -265,3 +265,13 @@ def test_toxicity_trains_on_documents_up_to_32_kb(spark):
     docs = spark.createDataFrame(list(zip(ids, ["x" * n for n in (100, 1 << 15, (1 << 15) + 1)])), "doc_id long, text string")
     marks = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, toxic int")
     assert sorted(len(t) for t in toxicity.sample_labelled(docs, marks)[0]) == [100, 1 << 15]
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "a b"), (3, " "), (4, "x" * 31)], "item_id long, text string")
+    texts = ["Q: what is  the CAPITAL of france? Paris", "What is the capitol of France?", "a b", "ca b, a bc; a b.", "xa b a bx",
+             "x" * 32, "-" + "x" * 31 + "-"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance, r.start, r.end) for r in decontaminate.find_leaks(docs, items).collect()}
+    assert got == {(0, 1, 0, 3, 33), (2, 2, 0, 0, 3), (3, 2, 0, 12, 15), (6, 4, 0, 1, 32)}
+    assert {r.doc_id for r in decontaminate.keep_clean(docs, items).collect()} == {1, 4, 5}
