@@ -1,18 +1,14 @@
-"""Removal of repeated passages by a prefix-partitioned suffix tree (operator 9).
+"""Removal of repeated passages by counted window hashes (operator 9).
 
-The tree holds suffixes at word positions, cut at the depth of ``WINDOW`` words.
-It is built top-down on Spark and kept as tables of nodes; a node is the hash of the words
-on its path, so the suffixes below it are the rows with that hash.
+A prefix-partitioned suffix tree is not built: there are two fixed depths only, and no nodes between them.
 
-1. *Prefixes.* A first level of ``PREFIX`` words is laid out over sampled
+1. *Prefilter.* Hashes of ``PREFIX`` words are counted over sampled
    suffixes: in every window the one whose prefix hash is least. Equal windows sample the same
-   offset, so a window that occurs twice has its sampled prefix node at least twice. Prefix nodes with a
-   single suffix are leaves and are not grown: most of the corpus ends here.
-2. *Subtrees.* Below the prefix nodes that remain, all windows that sampled
-   them are grown to full depth: the prefix of a group is as long as needed to make it small, which is the
-   whole window for a passage that a large part of the corpus shares. Groups are partial
-   counts merged by key, never lists, so none outgrows memory.
-3. *Deep internal nodes*, those of full depth with two suffixes or more, are the repeats; runs of
+   offset, so a window that occurs twice has its sampled prefix at least twice. Prefixes that occur
+   once are dropped: most of the corpus ends here.
+2. *Windows.* All windows of ``WINDOW`` words that sampled a remaining prefix are hashed whole and counted by
+   partial counts merged by key, never lists, so none outgrows memory.
+3. *Repeats* are the windows counted twice or more; runs of
    such windows in a document are its maximal repeats, and their words go.
 
 Documents with equal word sequences are one class; if a class has two documents, all its windows
