@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from audix.llm import alignment, bpe, decontaminate, fingerprint, language_id, ngram_join, pii, sharding, substring_dedup, toxicity, url_filter
+from audix.llm import alignment, bpe, collocations, decontaminate, fingerprint, language_id, nearest, ngram_join, pii, sharding, substring_dedup, toxicity, url_filter
 from audix.llm.common import table
 
 #: The listed host and path rules of op2.
@@ -67,13 +67,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = alignment.read_files(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return alignment.align_corpus(table(spark, sf_dir, "documents"), files)
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_language_id": op1_language_id, "op2_url_filters": op2_url_filters, "op3_ngram_join": op3_ngram_join, "op4_byte_bpe": op4_byte_bpe, "op7_toxicity": op7_toxicity,
             "op5_pii": op5_pii, "op6_decontamination": op6_decontamination, "op8_fingerprints": op8_fingerprints,
             "op9_substring_dedup": op9_substring_dedup, "op10_sharding": op10_sharding,
-            "op12_tokenizer_alignment": op12_tokenizer_alignment}
+            "op11_collocations": op11_collocations, "op12_tokenizer_alignment": op12_tokenizer_alignment,
+            "op13_nearest_neighbours": op13_nearest_neighbours}

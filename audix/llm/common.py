@@ -49,7 +49,7 @@ def words(col: Column) -> Column:
 _FLIP = 0x2545F4914F6CDD1D
 
 
-def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` with ``counted``, an aggregate of theirs by the 64-bit column ``key``.
 
     The key is replaced one to one on both sides for the join. The aggregate's
@@ -60,4 +60,4 @@ def join_counted(rows: DataFrame, counted: DataFrame, key: str) -> DataFrame:
     def flipped(df: DataFrame) -> DataFrame:
         return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(_FLIP)))
 
-    return flipped(flipped(rows).join(flipped(counted), key))
+    return flipped(flipped(rows).join(flipped(counted), key, how))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2, "op3_ngram_join": OP3, "op9_substring_dedup": OP9}
+    return {"op2_url_filters": OP2, "op3_ngram_join": OP3, "op9_substring_dedup": OP9, "op11_collocations": OP11}
 
 
 _HOST = r"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -64,3 +64,28 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k, 0)
        sha256(coalesce(left_over, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+OP11 = r"""
+WITH t AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT doc, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+ws AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+pos AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM ws),
+g AS MATERIALIZED (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM pos, (VALUES (1), (2), (3)) v(k)
+      WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 10),
+halves AS MATERIALIZED (SELECT lang, k, phrase, f AS a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+           FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+cuts AS MATERIALIZED (SELECT h.lang, h.k, h.phrase, h.a, h.cut, x.f AS l, y.f AS r,
+           CAST((1000000::HUGEINT * h.a * h.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+         FROM halves h JOIN g x ON x.lang = h.lang AND x.phrase = h.head JOIN g y ON y.lang = h.lang AND y.phrase = h.tail),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (SELECT lang, inner_phrase, max(f) AS f FROM (
+             SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inner_phrase FROM c WHERE k = 3)
+           GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN longer ON longer.lang = low.lang AND inner_phrase = phrase
+         WHERE longer.f IS NULL OR 100 * longer.f < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
