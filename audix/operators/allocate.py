@@ -5,31 +5,38 @@ audience ``ca_nm``, which takes at most ``n_ca`` households in all.
 
 ``allocate`` runs passes over combination sizes n (households that bought
 exactly n of the pooled groups). Before each pass the spec rows are put in order
-(``remaining_quota``: by the share of their quota still open, descending, then
+(by the share of their audience's quota still open, descending, then
 audience and group names). Within a pass the rows pick one after another: a row
 takes the best ``n_ca - already allocated to its audience`` unallocated
 households of size n that bought its group, by their rank in the group. Each
 household ends in at most one audience, and an audience on several spec rows
 never exceeds its quota.
 
-When every audience is on one spec row, the room of a row is fixed before the
-pass, and the pass runs as deferred acceptance: every unplaced household
-proposes to its next row in pass order, every row keeps its best households up
-to its room, the others move on. That gives the same picks as one row after
-another, in a few jobs per round whatever the number of rows. A pass in which an
-audience is on several rows runs row by row, with a few jobs for each.
-
-The driver holds spec rows and counts only. With ``state_path`` every pass
-leaves its picks there; a later call goes on after the last finished pass,
-or starts over with ``reset``.
+What a pass decides is one number per spec row, its *cut-off*: the last rank it
+takes. A household goes to the first row, in pass order, whose cut-off its rank
+in the row's group reaches. The cut-offs are found by deferred acceptance: all rows
+start open; rows that draw more households than the room left to their audience (earlier
+rows of the audience come first) lower their cut-off to the last rank that fits, and the
+households behind it show up at their next rows in the next round, until every row fits. A round is
+one count of households per (row, range of ranks) over the staged pool, and one more for
+each refinement of the ranges that hold a cut-off, whatever the number of
+households; nothing but counts leaves the executors. Picks and state are a projection of
+the pool by the cut-offs, without a join.
+
+Ranks are unique inside a group and size, as a ranking makes them. The driver holds spec rows,
+cut-offs and a bounded number of counts. With ``state_path`` every pass leaves its cut-offs there,
+with a fingerprint of spec, pool and earlier picks; a later call goes on after the last finished pass, stops with an error
+when the fingerprint is another, or starts over with ``reset``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +44,10 @@ from pyspark.sql import functions as F
 from audix import contracts as C
 from audix.operators.pool import pool_long
 from audix.operators.ranking import pick_by_rank
-from audix.sources.readers import union_all
 from audix.sources.sinks import stage_table, write_table
 
+#: Counts that a job may send to the driver, and the fewest ranges of ranks per spec row.
+COUNTS, LEAST_RANGES = 1 << 18, 256
 PICKS_COLUMNS = [C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", "pass_n", "step"]
 PICKS_SCHEMA = (f"{C.HOUSEHOLD} long, {C.AUDIENCE} string, {C.GROUP} string, {C.GROUP_COUNT} int, "
                 "rank int, pass_n int, step int")
@@ -52,52 +60,94 @@ class Allocation:
     log: list[dict] = field(default_factory=list)   # one entry per step (spec-size)
 
 
-def _free(long: DataFrame, n: int, parts: list[DataFrame]) -> DataFrame:
-    """Rows of unallocated households of size ``n``."""
-    cand = long.where(F.col(C.GROUP_COUNT) == n)
-    if parts:
-        cand = cand.join(union_all([p.select(C.HOUSEHOLD) for p in parts]), C.HOUSEHOLD, "left_anti")
-    return cand
-
-
-def _deferred_pass(long: DataFrame, parts: list[DataFrame], order: list[dict], n: int) -> DataFrame | None:
-    """Picks of one pass by deferred acceptance (see module doc)."""
-    live = [(r["position"], r[C.GROUP], r[C.AUDIENCE], r["to_alloc"]) for r in order if r["to_alloc"] > 0]
-    if not live:
-        return None
-    caps = long.sparkSession.createDataFrame(live, f"step int, {C.GROUP} string, {C.AUDIENCE} string, _room long")
-    # (household, eligible row) pairs of this pass, staged once.
-    cand = stage_table(_free(long, n, parts).join(caps, C.GROUP), "pass-cand")
-    at = cand.groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step"))
+@dataclass
+class _Step:
+    """A spec row inside a pass: ranks up to ``cut`` are taken; ``(lo, hi]`` are the ranks that a count looks at."""
+    turn: int
+    pass_n: int
+    step: int
+    group: str
+    audience: str
+    to_alloc: int
+    cut: int
+    picked: int = 0
+    lo: int = 0
+    hi: int = 0
+    width: int = 1
+
+    def literal(self) -> str:
+        text = {c: "null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                for c, v in (("group", self.group), ("audience", self.audience))}
+        return (f"named_struct('turn', {self.turn}, 'pass_n', {self.pass_n}, 'step', {self.step}, 'group', string({text['group']}), "
+                f"'audience', string({text['audience']}), 'cut', {self.cut}, 'lo', {self.lo}, 'hi', {self.hi}, 'width', {self.width})")
+
+
+def _placed(pool: DataFrame, steps: list[_Step], keep_all: bool = False) -> DataFrame:
+    """The households that a step takes, with the first such step in order and the rank there; with
+    ``keep_all`` the others too (nulls). The step is generated, not projected, so that it is evaluated once."""
+    if not steps:
+        steps = [_Step(0, -1, 0, None, None, 0, 0)]  # takes nobody
+    array = F.expr(f"array({', '.join(s.literal() for s in steps)})")
+    takes = F.filter(array, lambda s: (s["pass_n"] == F.col(C.GROUP_COUNT)) & (F.try_element_at(C.RANK_MAP, s["group"]) <= s["cut"]))
+    first = F.slice(takes, 1, 1)
+    out = pool.select("*", (F.explode_outer(first) if keep_all else F.explode(first)).alias("_s"))
+    return out.withColumn("_rank", F.try_element_at(C.RANK_MAP, F.col("_s.group")))
+
+
+def _counts(pool: DataFrame, steps: list[_Step], turn: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """step -> (ranges, households): the households at each step of this turn whose rank is in ``(lo, hi]``."""
+    at = _placed(pool.where("_given IS NULL"), steps).where(f"_s.turn = {turn} AND _rank > _s.lo AND _rank <= _s.hi")
+    found = (at.groupBy(F.col("_s.step").alias("step"), F.expr("(_rank - _s.lo - 1) div _s.width").alias("range"))
+             .agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by([("step", "ascending"), ("range", "ascending")]))
+    step, ranges, n = (found.column(c).to_numpy() for c in ("step", "range", "n"))
+    return {int(x): (ranges[step == x], n[step == x]) for x in np.unique(step)}
+
+
+def _look_at(s: _Step, lo: int, hi: int, ranges: int) -> None:
+    s.lo, s.hi, s.width = lo, hi, max(1, -(-(hi - lo) // ranges))
+
+
+def _run_pass(pool: DataFrame, earlier: list[_Step], own: list[_Step], turn: int) -> None:
+    """Find the cut-offs of ``own`` (in pass order); ``earlier`` are the steps of earlier turns."""
+    ranges = max(LEAST_RANGES, COUNTS // max(1, len(own)))
     while True:
-        proposals = cand.join(at, [C.HOUSEHOLD, "step"])
-        held = stage_table(pick_by_rank(proposals, ["step"], F.col("_room"), "rank", [C.HOUSEHOLD]), "pass-round")
-        turned_down = (at.join(held.select(C.HOUSEHOLD), C.HOUSEHOLD, "left_anti")
-                       .select(C.HOUSEHOLD, F.col("step").alias("_from")))
-        moved = stage_table(cand.join(turned_down, C.HOUSEHOLD).where(F.col("step") > F.col("_from"))
-                            .groupBy(C.HOUSEHOLD).agg(F.min("step").alias("step")), "pass-next")
-        if moved.isEmpty():
-            break
-        at = held.select(C.HOUSEHOLD, "step").unionByName(moved)
-    return held.select(C.HOUSEHOLD, C.AUDIENCE, C.GROUP, C.GROUP_COUNT, "rank", F.lit(n).alias("pass_n"), "step")
-
-
-def _serial_pass(long: DataFrame, parts: list[DataFrame], order: list[dict], n: int) -> DataFrame | None:
-    """Picks of one pass, row after row; rows of one audience share its room."""
-    taken: Counter = Counter()   # households per audience in this pass
-    found: list[DataFrame] = []
-    for r in order:
-        room = r["to_alloc"] - taken[r[C.AUDIENCE]]
-        if room <= 0:
-            continue
-        cand = _free(long, n, parts + found).where(F.col(C.GROUP) == r[C.GROUP])
-        best = pick_by_rank(cand, [], room, "rank", [C.HOUSEHOLD])
-        picked = stage_table(best.select(
-            C.HOUSEHOLD, F.lit(r[C.AUDIENCE]).alias(C.AUDIENCE), C.GROUP, C.GROUP_COUNT, "rank",
-            F.lit(n).alias("pass_n"), F.lit(r["position"]).alias("step")), "picks")
-        taken[r[C.AUDIENCE]] += picked.count()
-        found.append(picked)
-    return union_all(found) if found else None
+        for s in own:
+            _look_at(s, 0, s.cut, ranges)
+        found = _counts(pool, earlier + own, turn)
+        used: Counter = Counter()  # of the rows so far, by audience
+        pending: list[tuple[_Step, int]] = []
+        for s in own:
+            room = max(0, s.to_alloc - used[s.audience])
+            s.picked = int(found[s.step][1].sum()) if s.step in found else 0
+            if s.picked > room:
+                pending.append((s, room))
+            used[s.audience] += min(room, s.picked)
+        if not pending:
+            return
+        cuts: dict[int, int] = {}
+        while pending:
+            finer = []
+            for s, room in pending:
+                at, n = found[s.step]
+                total = np.cumsum(n)
+                k = int(np.searchsorted(total, room))
+                lo = s.lo + int(at[k]) * s.width
+                if room == 0:
+                    cuts[s.step] = 0
+                elif s.width == 1:
+                    cuts[s.step] = lo + 1
+                else:
+                    _look_at(s, lo, min(lo + s.width, s.hi), ranges)
+                    finer.append((s, room - int(total[k] - n[k])))
+            pending = finer
+            if pending:
+                wanted = {s.step for s, _ in pending}
+                for s in own:
+                    if s.step not in wanted:
+                        s.lo = s.hi = 0
+                found = _counts(pool, earlier + own, turn)
+        for s in own:
+            s.cut = cuts.get(s.step, s.cut)
 
 
 def remaining_quota(spec: DataFrame, picks: DataFrame | None = None) -> DataFrame:
@@ -128,56 +178,83 @@ def merge_picks(pool: DataFrame, picks: DataFrame) -> DataFrame:
     return pool.join(picks.select(C.HOUSEHOLD, C.AUDIENCE), C.HOUSEHOLD, "left")
 
 
-def _finished_pass(spark, state_path: str, n: int) -> DataFrame | None:
-    """Picks that an earlier run left for pass ``n`` (None: not finished)."""
-    path = f"{state_path.rstrip('/')}/pass_{n}"
+_CUTS_SCHEMA = f"step int, {C.GROUP} string, {C.AUDIENCE} string, to_alloc long, cut int, picked long, fingerprint string"
+
+
+def _finished_pass(spark, path: str, fingerprint: str, own: list[_Step]) -> bool:
+    """Take over the cut-offs that an earlier run left for a pass (False: not finished)."""
     try:
         spark.read.text(f"{path}/_SUCCESS")
     except AnalysisException:
-        return None
-    return spark.read.schema(PICKS_SCHEMA).parquet(path)
+        return False
+    rows = {r["step"]: r for r in spark.read.schema(_CUTS_SCHEMA).parquet(path).collect()}
+    if any(r["fingerprint"] != fingerprint for r in rows.values()) or set(rows) != {s.step for s in own}:
+        raise ValueError(f"{path} belongs to another spec, pool or order of passes; pass reset=True to start over")
+    for s in own:
+        s.cut, s.picked = rows[s.step]["cut"], rows[s.step]["picked"]
+    return True
+
+
+def _pool_sum(pool: DataFrame) -> str:
+    """Number of rows and an order-free hash sum of households, earlier picks and ranks."""
+    entries = F.array_sort(F.map_entries(C.RANK_MAP))
+    row = pool.agg(F.count(F.lit(1)), F.sum(F.xxhash64(C.HOUSEHOLD, C.GROUP_COUNT, "_given", entries).cast("decimal(38,0)"))).first()
+    return f"{row[0]}:{row[1]}"
+
+
+def _in_order(spec: list, done: Counter) -> list[dict]:
+    """Spec rows with a quota in the order of a pass (see :func:`remaining_quota`)."""
+    rows = [{**r.asDict(), "to_alloc": max(0, r[C.QUOTA] - done[r[C.AUDIENCE]])} for r in spec if (r[C.QUOTA] or 0) > 0]
+    return sorted(rows, key=lambda r: (-(r["to_alloc"] / r[C.QUOTA]), r[C.AUDIENCE] is not None, r[C.AUDIENCE] or "",
+                                       r[C.GROUP] is not None, r[C.GROUP] or ""))
 
 
 def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3, 4),
-             picks: DataFrame | None = None, method: str = "auto", state_path: str | None = None,
-             reset: bool = False) -> Allocation:
+             picks: DataFrame | None = None, state_path: str | None = None, reset: bool = False) -> Allocation:
     """Sequential quota allocation (see module doc).
 
     ``picks`` continues from earlier picks (same columns as the result).
-    ``method`` is ``auto``, or ``serial`` / ``deferred`` to ask for one form of a pass;
-    a pass with an audience on several rows is always serial.
     """
     spark = pool.sparkSession
-    # One folder per combination size: a step reads only its size's folder.
-    # Inside it, files hold contiguous (group, rank) ranges, so the min/max
-    # statistics of a file let a step skip the files of other groups.
-    n_files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    long = stage_table(pool_long(pool).repartitionByRange(n_files, C.GROUP_COUNT, C.GROUP, "rank"),
-                       "pool-long", partition_by=[C.GROUP_COUNT])
-    long = long.withColumn(C.GROUP_COUNT, F.col(C.GROUP_COUNT).cast("int"))
-    parts: list[DataFrame] = [] if picks is None else [picks.select(*PICKS_COLUMNS)]
+    columns = pool.columns
+    if picks is None:
+        given = pool.withColumn("_given", F.lit(None).cast("string"))
+        done: Counter = Counter()
+    else:
+        picks = picks.select(*PICKS_COLUMNS)
+        given = pool.join(picks.select(C.HOUSEHOLD, F.col(C.AUDIENCE).alias("_given")), C.HOUSEHOLD, "left")
+        done = Counter({r[0]: r[1] for r in picks.groupBy(C.AUDIENCE).count().collect()})
+    # One folder per combination size: a pass reads only its size's folder.
+    kind = pool.schema[C.GROUP_COUNT].dataType
+    held = stage_table(given, "pool", partition_by=[C.GROUP_COUNT]).withColumn(C.GROUP_COUNT, F.col(C.GROUP_COUNT).cast(kind))
+    top = held.agg(F.max(F.array_max(F.map_values(C.RANK_MAP)))).first()[0] or 0
+    rows = spec.select(C.GROUP, C.AUDIENCE, C.QUOTA).collect()
+    told = None if state_path is None else f"{sorted(map(str, rows))}|{_pool_sum(held)}"
+    steps: list[_Step] = []
     log: list[dict] = []
-    for n in sizes:
-        found = None if state_path is None or reset else _finished_pass(spark, state_path, n)
-        rows = remaining_quota(spec, union_all(parts) if parts else None).where(F.col(C.QUOTA) > 0)
-        order = sorted((r.asDict() for r in rows.collect()), key=lambda r: r["position"])
-        if found is None:
-            alone = len({r[C.AUDIENCE] for r in order}) == len(order)
-            run = _deferred_pass if alone and method != "serial" else _serial_pass
-            found = run(long, parts, order, n)
+    for turn, n in enumerate(sizes):
+        own = [_Step(turn, n, k, r[C.GROUP], r[C.AUDIENCE], r["to_alloc"], int(top) if r["to_alloc"] else 0)
+               for k, r in enumerate(_in_order(rows, done), 1)]
+        path, fingerprint = f"{(state_path or '').rstrip('/')}/pass_{n}", None
+        if state_path is not None:
+            fingerprint = hashlib.sha256(f"{told}|{list(sizes[:turn + 1])}".encode()).hexdigest()
+        if state_path is None or reset or not _finished_pass(spark, path, fingerprint, own):
+            earlier = [s for s in steps if s.pass_n == n]
+            _run_pass(held.where(F.col(C.GROUP_COUNT) == n), earlier, own, turn)
             if state_path is not None:
-                empty = spark.createDataFrame([], PICKS_SCHEMA)
-                out = f"{state_path.rstrip('/')}/pass_{n}"
-                write_table(empty if found is None else found.select(*PICKS_COLUMNS), out)
-                found = spark.read.schema(PICKS_SCHEMA).parquet(out)
-        got = Counter() if found is None else Counter(
-            {r["step"]: r["count"] for r in found.groupBy("step").count().collect()})
-        log += [{"pass_n": n, "step": r["position"], C.GROUP: r[C.GROUP], C.AUDIENCE: r[C.AUDIENCE],
-                 "to_alloc": r["to_alloc"], "picked": got[r["position"]]} for r in order]
-        if got:
-            parts.append(found)
-    all_picks = union_all(parts) if parts else spark.createDataFrame([], PICKS_SCHEMA)
-    return Allocation(all_picks, merge_picks(pool, all_picks), log)
+                cuts = [(s.step, s.group, s.audience, s.to_alloc, s.cut, s.picked, fingerprint) for s in own]
+                write_table(spark.createDataFrame(cuts, _CUTS_SCHEMA).coalesce(1), path)
+        for s in own:
+            done[s.audience] += s.picked
+            log.append({"pass_n": n, "step": s.step, C.GROUP: s.group, C.AUDIENCE: s.audience,
+                        "to_alloc": s.to_alloc, "picked": s.picked})
+        steps += own
+    placed = _placed(held.where(F.col(C.GROUP_COUNT).isin(list(sizes)) & F.col("_given").isNull()), steps)
+    new = placed.select(C.HOUSEHOLD, F.col("_s.audience").alias(C.AUDIENCE), F.col("_s.group").alias(C.GROUP),
+                        F.col(C.GROUP_COUNT).cast("int").alias(C.GROUP_COUNT), F.col("_rank").cast("int").alias("rank"),
+                        F.col("_s.pass_n").alias("pass_n"), F.col("_s.step").alias("step"))
+    state = _placed(held, steps, keep_all=True).select(*columns, F.coalesce("_given", F.col("_s.audience")).alias(C.AUDIENCE))
+    return Allocation(new if picks is None else picks.unionByName(new), state, log)
 
 
 def preview_top_k(pool: DataFrame, spec: DataFrame, n: int) -> DataFrame:
