@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 BITS = 1 << 24
 
 
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """Table with the bits of a 64-bit hash column set; at most ``BITS / 32`` words reach the driver."""
+def bit_table(hashes: DataFrame, bits: int = BITS) -> np.ndarray:
+    """Table of ``bits`` (a power of two) with those of a 64-bit hash column set; at most ``bits / 32`` words reach the driver."""
     (name,) = hashes.columns
-    word = F.shiftright(F.col(name).bitwiseAND(F.lit(BITS - 1)), 5)
+    word = F.shiftright(F.col(name).bitwiseAND(F.lit(bits - 1)), 5)
     words = (hashes.select(word.alias("w"), F.expr(f"shiftleft(1L, int({name} & 31))").alias("b"))
              .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
-    out = np.zeros(BITS >> 5, np.int64)
+    out = np.zeros(bits >> 5, np.int64)
     out[words.column("w").to_numpy()] = words.column("b").to_numpy()
     return out
 
 
 def is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = (hashes.view(np.uint64) & np.uint64(BITS - 1)).astype(np.int64)
+    at = (hashes.view(np.uint64) & np.uint64(32 * len(table) - 1)).astype(np.int64)
     return (table[at >> 5] >> (at & 31)) & 1 == 1
 
 

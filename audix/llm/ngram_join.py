@@ -46,6 +46,8 @@ SHINGLE = 5
 #: Link at overlap / union >= NUMERATOR / DENOMINATOR.
 NUMERATOR, DENOMINATOR = 75, 100
 LOWEST = 40
+#: Bits of the table of shared shingles (8 MB).
+SHARED_BITS = 1 << 26
 #: Classes and shingles of a block.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 1 << 19
 #: Columns of the incidence matrix multiplied at a time.
@@ -122,11 +124,25 @@ def _sets_of(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 
 def _bounded(sets: DataFrame) -> DataFrame:
-    """cid of the classes enough of whose shingles occur in another class of ``sets``."""
-    cells = sets.select("cid", "n", F.explode(F.transform("shingles", lambda h: F.shiftright(h, 24))).alias("h"))
+    """``sets`` without the classes too few of whose shingles occur in another class.
+
+    Shared shingles are told by a bit table of fixed size: a full table keeps more classes, and never loses one.
+    """
+    cells = sets.select("cid", F.explode("shingles").alias("h"))
     shared = cells.groupBy("h").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("h")
-    return (join_counted(cells, shared, "h").groupBy("cid", "n").count()
-            .where(F.col("count") * DENOMINATOR >= F.col("n") * NUMERATOR).select("cid"))
+    table = sets.sparkSession.sparkContext.broadcast(bit_table(shared, SHARED_BITS))
+    at = sets.columns.index("shingles")
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(at)
+            bounds = lists.offsets.to_numpy()
+            hits = np.concatenate([[0], np.cumsum(is_set(table.value, lists.flatten().to_numpy(zero_copy_only=False)))])
+            bounds = bounds - bounds[0]
+            common = hits[bounds[1:]] - hits[bounds[:-1]]
+            yield batch.filter(pa.array(common * DENOMINATOR >= np.diff(bounds) * NUMERATOR))
+
+    return sets.mapInArrow(run, sets.schema)
 
 
 def _multiply(sets: list[np.ndarray]) -> np.ndarray:
@@ -222,8 +238,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     sets = staged(spark, found.groupBy("c1", "c2", "n").agg(F.first("shingles").alias("shingles"))
                   .join(blocked, ["c1", "c2", "n"]).select("cid", "n", "shingles"), "sets")
     for _ in range(2):
-        left = _bounded(sets)
-        sets = staged(spark, sets.join(left, "cid"), "bounded")
+        sets = staged(spark, _bounded(sets), "bounded")
 
     live = postings.join(sets.select("cid"), "cid")
     star = join_counted(live, live.groupBy("key").agg(F.min("cid").alias("pivot")), "key")
@@ -231,7 +246,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     members = sets.join(families.withColumnRenamed("node", "cid"), "cid")
     blocks = members.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
-    placed = (members.join(blocks, "component")
+    placed = (join_counted(members, blocks, "component")
               .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
               .select(F.col("component").alias("family"), F.least("block", "other").alias("i"),
@@ -245,7 +260,7 @@ def link_classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                .join(counted.withColumnRenamed("a", "cid"), "cid", "left")
                .withColumn("component", F.coalesce("component", "cid")))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = (classes.join(least, "component")
+    classes = (join_counted(classes, least, "component")
                .select("c1", "c2", "n", "component", "component_id", F.coalesce("links", F.lit(0)).alias("links")))
     return described.drop("keys"), staged(spark, classes, "linked")
 
