@@ -27,6 +27,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -233,16 +234,29 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], np.ndarray]:
-    """The bounded training sample: labelled rows outside the held-out fold."""
+                    sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """The bounded training sample (_text, _toxic): labelled rows outside the held-out fold, in one partition."""
     marks = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample))
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
             .where(F.octet_length("_text") <= sample_bytes)
             .join(F.broadcast(marks), "doc_id").groupBy("doc_id", "_toxic").agg(F.min("_text").alias("_text"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect())
-    return [r["_text"].encode() for r in rows], np.array([float(r["_toxic"] > 0) for r in rows])
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("_text", F.col("_toxic").cast("double").alias("_toxic")))
+
+
+def train(sample: DataFrame) -> Model:
+    """Fit on a bounded sample inside one task; the driver receives the weights only."""
+    def run(batches):
+        texts, toxic = [], []
+        for batch in batches:
+            texts += textvec.raw_texts(batch.column(0))
+            toxic += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, (np.array(toxic) > 0).astype(float)))], pa.binary())], ["model"])
+
+    # A sample that is known to be empty has no partition and so no task.
+    row = sample.mapInArrow(run, "model binary").first()
+    return fit([], np.empty(0)) if row is None else pickle.loads(row["model"])
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -280,7 +294,7 @@ def scores(texts: list[bytes], m: Model) -> np.ndarray:
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns, that score below one half."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(*sample_labelled(docs, labels, text_col, id_col)))
+    shared = docs.sparkSession.sparkContext.broadcast(train(sample_labelled(docs, labels, text_col, id_col)))
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -307,6 +321,6 @@ def _spans(w: textvec.Words, p: np.ndarray) -> list[list[dict]]:
 
 def toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Train on the labels and score every row: doc_id, held_out, score, predicted, spans."""
-    model = fit(*sample_labelled(docs, labels, text_col, id_col))
+    model = train(sample_labelled(docs, labels, text_col, id_col))
     scored = score_texts(docs, model, text_col, id_col)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
