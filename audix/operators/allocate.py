@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from audix import contracts as C
 from audix.operators.pool import pool_long
 from audix.operators.ranking import pick_by_rank
+from audix.sources.readers import spec_frame
 from audix.sources.sinks import stage_table, write_table
 
 #: Counts that a job may send to the driver, and the fewest ranges of ranks per spec row.
@@ -155,7 +156,7 @@ def remaining_quota(spec: DataFrame, picks: DataFrame | None = None) -> DataFram
     still open, its share of the quota (null for a zero quota) and the row's
     ``position`` in the order of a pass (null for a zero quota)."""
     if picks is None:
-        done = spec.sparkSession.createDataFrame([], f"{C.AUDIENCE} string, n_allctd long")
+        done = spec_frame(spec.sparkSession, [], f"{C.AUDIENCE} string, n_allctd long")
     else:
         done = picks.groupBy(C.AUDIENCE).agg(F.count(F.lit(1)).alias("n_allctd"))
     rows = (spec.join(done, C.AUDIENCE, "left").fillna(0, subset=["n_allctd"])
@@ -243,7 +244,7 @@ def allocate(pool: DataFrame, spec: DataFrame, sizes: Sequence[int] = (1, 2, 3,
             _run_pass(held.where(F.col(C.GROUP_COUNT) == n), earlier, own, turn)
             if state_path is not None:
                 cuts = [(s.step, s.group, s.audience, s.to_alloc, s.cut, s.picked, fingerprint) for s in own]
-                write_table(spark.createDataFrame(cuts, _CUTS_SCHEMA).coalesce(1), path)
+                write_table(spec_frame(spark, cuts, _CUTS_SCHEMA), path)
         for s in own:
             done[s.audience] += s.picked
             log.append({"pass_n": n, "step": s.step, C.GROUP: s.group, C.AUDIENCE: s.audience,

@@ -62,17 +62,18 @@ def sales_rank(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, labe
     return rank_spend(spend, group_col, label, None, rank_col, sales_col)
 
 
-def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (), group_col: str = C.GROUP,
-                   amount: str = C.SPEND, rank_col: str = C.RANK, sales_col: str = C.SALES) -> DataFrame:
-    """Split each group by purchase frequency (one distinct visit ->
-    ``<group>_onetime``, more -> ``<group>_multitimes``) and rank inside the
-    split; sub-groups named in ``drop`` are left out."""
-    lines = _spend_lines(txn, groups, group_col, amount, extra=[C.TRANSACTION])
-    # Two partial aggregations instead of count(distinct): no Expand, and each
-    # level is combined map-side before it is shuffled.
-    per_visit = lines.groupBy(group_col, C.HOUSEHOLD, C.TRANSACTION).agg(F.sum(amount).alias("_s"))
-    per_hh = per_visit.groupBy(group_col, C.HOUSEHOLD).agg(
-        F.count(F.lit(1)).alias("visits"), F.sum("_s").alias(sales_col))
+def visit_spend(txn: DataFrame, groups: DataFrame, group_col: str = C.GROUP, amount: str = C.SPEND,
+                sales_col: str = C.SALES, extra: Sequence[str] = ()) -> DataFrame:
+    """Transaction lines reduced to one row per (group, household, visit) and the visit's ``extra`` columns."""
+    lines = _spend_lines(txn, groups, group_col, amount, extra=[C.TRANSACTION, *extra])
+    return lines.groupBy(group_col, C.HOUSEHOLD, C.TRANSACTION, *extra).agg(F.sum(amount).alias(sales_col))
+
+
+def frequency_rank_of(visits: DataFrame, drop: Sequence[str] = (), group_col: str = C.GROUP, rank_col: str = C.RANK,
+                      sales_col: str = C.SALES) -> DataFrame:
+    """:func:`frequency_rank` from a table of :func:`visit_spend`."""
+    per_hh = visits.groupBy(group_col, C.HOUSEHOLD).agg(
+        F.count(F.lit(1)).alias("visits"), F.sum(sales_col).alias(sales_col))
     times = F.when(F.col("visits") == 1, F.lit(C.ONE_TIME_LABEL)).otherwise(F.lit(C.MULTI_TIME_LABEL))
     named = (per_hh.withColumn("times_buy", times)
              .withColumn("_new", F.concat_ws("_", F.col(group_col), F.col("times_buy"))))
@@ -84,6 +85,18 @@ def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (),
     return ranked.select(C.HOUSEHOLD, sales_col, F.col("_new").alias(group_col), rank_col)
 
 
+def frequency_rank(txn: DataFrame, groups: DataFrame, drop: Sequence[str] = (), group_col: str = C.GROUP,
+                   amount: str = C.SPEND, rank_col: str = C.RANK, sales_col: str = C.SALES) -> DataFrame:
+    """Split each group by purchase frequency (one distinct visit ->
+    ``<group>_onetime``, more -> ``<group>_multitimes``) and rank inside the
+    split; sub-groups named in ``drop`` are left out.
+
+    Two partial aggregations instead of count(distinct): no Expand, and each
+    level is combined map-side before it is shuffled.
+    """
+    return frequency_rank_of(visit_spend(txn, groups, group_col, amount, sales_col), drop, group_col, rank_col, sales_col)
+
+
 def combine_ranks(*parts: DataFrame) -> DataFrame:
     """Union of rank tables by column name."""
     return union_all(parts)

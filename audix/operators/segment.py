@@ -1,16 +1,17 @@
 """Calendar lookups and the segment of each household as of a date.
 
-The calendar answers are a handful of integers (a week's last day, a period
-id); they are read to the driver as scalars and used as literals, so the
-filters on the (large) segment history reach the Parquet scan as pushed
-filters and prune partitions when the history is partitioned by period.
+The calendar answers are a handful of integers (a week's last day, a period id). ``segments_at`` and its
+helpers keep them inside the plan as scalar subqueries; a history that is partitioned by
+period is pruned by them when the plan runs. ``period_of`` and ``segment_as_of`` give the same
+answers for a date that the caller holds, and return the period as a number.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audix import contracts as C
@@ -62,6 +63,42 @@ def segment_as_of(history: DataFrame, date_dim: DataFrame, end_date: dt.date | s
     return seg, chosen
 
 
+def last_day(date_dim: DataFrame, week_id: int | None = None) -> Column:
+    """Last calendar day of a week (of the calendar), as a scalar subquery."""
+    days = date_dim if week_id is None else date_dim.where(F.col(C.WEEK) == int(week_id))
+    return days.agg(F.max(C.DATE)).scalar()
+
+
+def period_at(date_dim: DataFrame, date: Column, back_days: int = 0) -> Column:
+    """Period of ``date - back_days`` as a scalar subquery; a day outside the calendar is an error at run time."""
+    found = date_dim.where(F.col(C.DATE) == F.date_sub(date, back_days)).agg(F.min(C.PERIOD)).scalar()
+    return F.coalesce(found, F.raise_error(F.lit(f"the calendar has no period {back_days} days before the date")).cast("int"))
+
+
+def periods_back(date_dim: DataFrame, back_days: Sequence[int], week_id: int | None = None) -> DataFrame:
+    """(back_days, period): the periods of the days so many days before the last day of a week (of the calendar)."""
+    days = date_dim if week_id is None else date_dim.where(F.col(C.WEEK) == int(week_id))
+    wanted = (days.agg(F.max(C.DATE).alias("_last"))
+              .select("_last", F.explode(F.array(*[F.lit(int(b)) for b in back_days])).alias("back_days"))
+              .select("back_days", F.date_sub("_last", F.col("back_days")).alias(C.DATE)))
+    return wanted.join(date_dim.select(C.DATE, C.PERIOD).distinct(), C.DATE).select("back_days", C.PERIOD)
+
+
+def segments_at(history: DataFrame, date_dim: DataFrame, week_id: int | None = None,
+                back_days: int = C.SEGMENT_LOOKBACK_DAYS) -> DataFrame:
+    """:func:`segment_as_of` the last day of a week (of the calendar), all inside one plan.
+
+    (household_id, seg_desc, period_id). The calendar answers and the latest published period are scalar subqueries, so
+    nothing is read before the plan runs; on a history partitioned by period the chosen period
+    prunes the folders when the plan runs.
+    """
+    end = last_day(date_dim, week_id)
+    back, current = period_at(date_dim, end, back_days), period_at(date_dim, end)
+    latest = history.where(F.col(C.PERIOD) >= back).agg(F.max(C.PERIOD)).scalar()
+    return (history.where(F.col(C.PERIOD) == F.least(latest, current))
+            .select(C.HOUSEHOLD, C.SEGMENT, C.PERIOD).dropDuplicates())
+
+
 def attach_segment(df: DataFrame, segments: DataFrame, how: str = "left",
                    fill: str | None = C.SEGMENT_FILL_LABEL) -> DataFrame:
     """Attach the segment of each household (left keeps everyone and fills

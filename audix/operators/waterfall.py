@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from audix import contracts as C
 from audix.operators.ranking import pick_by_rank
-from audix.sources.readers import union_all
+from audix.sources.readers import spec_frame, union_all
 
 
 def allocated_households(*allocations: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def top_k(candidates: DataFrame, ranks: DataFrame, k: int, rank_col: str = C.RAN
 
 
 def quota_table(spark, quotas: Mapping[str, int], group_col: str = C.GROUP, limit_col: str = "limit") -> DataFrame:
-    return spark.createDataFrame([(g, int(v)) for g, v in quotas.items()], f"{group_col} string, {limit_col} long")
+    return spec_frame(spark, [(g, int(v)) for g, v in quotas.items()], f"{group_col} string, {limit_col} long")
 
 
 def limit_by_quota(df: DataFrame, quotas: Mapping[str, int] | DataFrame, group_col: str = C.GROUP,

@@ -20,16 +20,21 @@ from audix.operators import pool as P
 from audix.operators import rank as R
 from audix.operators import split as SP
 from audix.operators import waterfall as W
+from audix.functions.sql import register_functions
+from audix.operators.reach import reach, reach_bitmaps
 from audix.operators.report import ordered
-from audix.operators.segment import attach_segment, period_of
+from audix.operators.segment import attach_segment, periods_back, segments_at
 from audix.operators.snapshot import snapshot_profile as _snapshot_profile
 from audix.operators.snapshot import snapshot_txn
+from audix.operators.snapshot_store import read_snapshot, refresh_snapshot
+from audix.operators.tables import except_distinct, pivot_values, reconcile
 from audix.plans import chains as K
 from audix.plans import specs as S
 from audix.session import stage_path
 from audix.sources import fixtures
 from audix.sources.readers import file_row_counts, read_catalog, read_many, read_spec_csv, read_table
 from audix.sources.sinks import stage_table
+from audix.sources.spec_intake import read_spec_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,26 +64,24 @@ def _round(col: str, digits: int = 6):
 
 def q_snapshot_profile(spark, sf_dir):
     snap = K.week_snapshot(spark, sf_dir, S.TOPK_START_WEEK, S.TOPK_END_WEEK, S.SNAP_PROFILE_CHANNEL)
-    seg, _ = K.segments_at_week(spark, sf_dir, S.TOPK_END_WEEK)
+    seg = K.segments_at_week(spark, sf_dir, S.TOPK_END_WEEK)
     out = _snapshot_profile(snap, seg)
     return out.withColumn("spend", spend_to_double(F.col("spend")))
 
 
 def q_segment_as_of(spark, sf_dir):
-    seg, period = K.segments_at_week(spark, sf_dir)
-    return seg.withColumn(C.PERIOD, F.lit(period).cast("long"))
+    """The chosen period prunes the folders of a history partitioned by period."""
+    history = stage_table(fixtures.segment_history(spark, sf_dir), "segment-history", partition_by=[C.PERIOD])
+    return segments_at(history, fixtures.date_dim(spark, sf_dir)).select(C.HOUSEHOLD, C.SEGMENT, F.col(C.PERIOD).cast("long").alias(C.PERIOD))
 
 
 def q_period_of(spark, sf_dir):
     """Period of the last order date and of the day a look-back before it."""
-    dim = fixtures.date_dim(spark, sf_dir)
-    last = dim.agg(F.max(C.DATE)).first()[0]
-    found = [(back, period_of(dim, last, back)) for back in (0, C.SEGMENT_LOOKBACK_DAYS)]
-    return spark.createDataFrame(found, "back_days int, period_id int")
+    return periods_back(fixtures.date_dim(spark, sf_dir), [0, C.SEGMENT_LOOKBACK_DAYS])
 
 
 def q_snapshot_with_segment(spark, sf_dir):
-    seg, _ = K.segments_at_week(spark, sf_dir)
+    seg = K.segments_at_week(spark, sf_dir)
     snap = snapshot_txn(fixtures.transactions(spark, sf_dir), channel=S.SNAP_PROFILE_CHANNEL, segments=seg)
     return snap.groupBy(C.SEGMENT).agg(F.count(F.lit(1)).alias("n_lines"),
                                        F.countDistinct(C.HOUSEHOLD).alias("n_households"))
@@ -253,7 +256,7 @@ FRACTIONS = {label: C.CONTROL_FRACTION for label in S.SEGMENT_LABELS + [C.SEGMEN
 
 
 def _with_segment(spark, sf_dir):
-    seg, _ = K.segments_at_week(spark, sf_dir)
+    seg = K.segments_at_week(spark, sf_dir)
     return attach_segment(K.waterfall(spark, sf_dir).combined, seg)
 
 
@@ -266,7 +269,7 @@ def q_alloc_segment(spark, sf_dir):
 
 
 def q_alloc_segment_inner(spark, sf_dir):
-    seg, _ = K.segments_at_week(spark, sf_dir)
+    seg = K.segments_at_week(spark, sf_dir)
     return attach_segment(K.waterfall(spark, sf_dir).combined, seg, how="inner")
 
 
@@ -368,9 +371,9 @@ def _parts_folder(spark, sf_dir) -> str:
     """A folder of two tables ``rank_a`` and ``rank_b`` with different columns, and one ``other``."""
     path = stage_path(spark, "parts")
     part = fixtures.table(spark, sf_dir, "part")
-    part.where("p_size <= 10").select("p_partkey", "p_size").coalesce(1).write.parquet(f"{path}/rank_a")
-    part.where("p_size > 10 AND p_size <= 30").select("p_partkey", "p_brand").coalesce(1).write.parquet(f"{path}/rank_b")
-    part.where("p_size > 30").select("p_partkey", "p_type").coalesce(1).write.parquet(f"{path}/other")
+    part.where("p_size <= 10").select("p_partkey", "p_size").write.parquet(f"{path}/rank_a")
+    part.where("p_size > 10 AND p_size <= 30").select("p_partkey", "p_brand").write.parquet(f"{path}/rank_b")
+    part.where("p_size > 30").select("p_partkey", "p_type").write.parquet(f"{path}/other")
     return path
 
 
@@ -384,7 +387,8 @@ def q_folder_union(spark, sf_dir):
 
 def q_part_counts(spark, sf_dir):
     counts = file_row_counts(read_many(spark, _parts_folder(spark, sf_dir)))
-    return counts.select(F.regexp_extract("file", "/(rank_a|rank_b|other)/", 1).alias("part"), "n_rows")
+    table = F.regexp_extract("file", "/(rank_a|rank_b|other)/", 1).alias("part")
+    return counts.groupBy(table).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def q_default_load(spark, sf_dir):
@@ -393,7 +397,83 @@ def q_default_load(spark, sf_dir):
     return read_catalog(spark, "audix_supplier").select("s_suppkey", "s_nationkey")
 
 
+# ---- stored snapshot, reach, table operators ------------------------------
+
+def q_snapshot_refresh(spark, sf_dir):
+    """A stored snapshot: all weeks, then the last one again, first with the lines of one channel
+    only and then with all of them."""
+    txn = fixtures.transactions(spark, sf_dir)
+    weeks = [r[0] for r in fixtures.date_dim(spark, sf_dir).select(C.WEEK).distinct().collect()]
+    path = refresh_snapshot(txn, stage_path(spark, "snapshot"), weeks, files_per_week=1)
+    refresh_snapshot(txn, path, [max(weeks)], channel=S.SNAP_PROFILE_CHANNEL, files_per_week=1)
+    refresh_snapshot(txn, path, [max(weeks)], files_per_week=1)
+    out = read_snapshot(spark, path).groupBy(C.WEEK).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.countDistinct(C.HOUSEHOLD).alias("n_households"), F.sum(C.SPEND).alias("spend"))
+    return out.withColumn("spend", spend_to_double(F.col("spend")))
+
+
+def q_reach_by_weeks(spark, sf_dir):
+    """Reach of two overlapping week ranges from one stored table of bitmaps."""
+    store = stage_table(reach_bitmaps(K.full_snapshot(spark, sf_dir), S.waterfall_groups(spark, sf_dir)), "reach")
+    parts = [reach(store, lo, hi).withColumn("weeks", F.lit(label)) for label, (lo, hi) in S.REACH_RANGES.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def q_except_distinct(spark, sf_dir):
+    """Rank parities by group, with nulls, repeats and a map column: those of all households but no even one."""
+    pool = K.pool(spark, sf_dir)
+    rows = pool.select(C.HOUSEHOLD, F.when(F.col(C.GROUP_COUNT) > 1, F.col(C.GROUP_COUNT)).alias("size"),
+                       F.transform_values(C.RANK_MAP, lambda k, v: v % S.RANK_PARITY).alias(C.RANK_MAP))
+    rows = stage_table(rows, "parities")
+    left, right = rows.drop(C.HOUSEHOLD), rows.where(F.col(C.HOUSEHOLD) % 2 == 0).drop(C.HOUSEHOLD)
+    return except_distinct(left, right).select("size", map_to_string(F.col(C.RANK_MAP)).alias(C.RANK_MAP))
+
+
+def q_reconcile_cycles(spark, sf_dir):
+    """Two independent estimates of a household's cycle: target products in all channels, all products in one channel."""
+    targets = _rhythm(spark, sf_dir).select(C.HOUSEHOLD, "cycle_days")
+    snap = K.full_snapshot(spark, sf_dir).where(F.col(C.CHANNEL) == S.SNAP_PROFILE_CHANNEL)
+    return reconcile(targets, Y.shopping_cycle(snap), [C.HOUSEHOLD])
+
+
+def q_channel_pivot(spark, sf_dir):
+    """Spend of each household by channel, one column per channel found."""
+    spend = K.full_snapshot(spark, sf_dir).groupBy(C.HOUSEHOLD, C.CHANNEL).agg(F.sum(C.SPEND).alias(C.SPEND))
+    out = pivot_values(stage_table(spend, "channel-spend"), [C.HOUSEHOLD], C.CHANNEL, F.col(C.SPEND), prefix="spend_")
+    return out.select(C.HOUSEHOLD, *[spend_to_double(F.col(c)).alias(c) for c in out.columns if c != C.HOUSEHOLD])
+
+
+def q_spec_rejects(spark, sf_dir):
+    """A spec written by hand: quotas that are no numbers or negative, audiences without a name, keys given twice."""
+    path = stage_path(spark, "spec-rejects")
+    part = fixtures.table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    quota = (F.when(size % 10 == 0, F.lit("many")).when(size % 7 == 0, (-size).cast("string")).otherwise(size.cast("string")))
+    name = F.when(size % 9 != 0, F.concat_ws("_", "p_type", (F.col("p_partkey") % S.SPEC_AUDIENCES).cast("string")))
+    part.select(F.col("p_brand").alias(C.GROUP), name.alias(C.AUDIENCE), quota.alias(C.QUOTA)).write.option("header", True).csv(path)
+    good, bad = read_spec_checked(spark, path, f"{C.GROUP} string, {C.AUDIENCE} string, {C.QUOTA} long",
+                                  key=[C.GROUP, C.AUDIENCE], required=[C.GROUP, C.AUDIENCE], checks={"negative quota": F.col(C.QUOTA) >= 0})
+    both = bad.select("reason", C.QUOTA).unionByName(good.select(F.lit("used").alias("reason"), C.QUOTA))
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(C.QUOTA).alias(C.QUOTA))
+
+
+def q_probability_sql(spark, sf_dir):
+    """The purchase probability in SQL text, by the session's own SQL function."""
+    register_functions(spark)
+    return spark.sql("SELECT household_id, datediff(CAST(:start AS DATE), last_date) AS days_to_start, "
+                     "round(window_probability(cycle_days, datediff(CAST(:start AS DATE), last_date), "
+                     "datediff(CAST(:start AS DATE), last_date) + :days), 6) AS chance FROM {rhythm}",
+                     args={"start": S.CAMPAIGN_START, "days": C.CAMPAIGN_DAYS}, rhythm=_rhythm(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "snapshot_refresh": q_snapshot_refresh,
+    "reach_by_weeks": q_reach_by_weeks,
+    "except_distinct": q_except_distinct,
+    "reconcile_cycles": q_reconcile_cycles,
+    "channel_pivot": q_channel_pivot,
+    "spec_rejects": q_spec_rejects,
+    "probability_sql": q_probability_sql,
     "period_of": q_period_of,
     "snapshot_with_segment": q_snapshot_with_segment,
     "alloc_segment_inner": q_alloc_segment_inner,

@@ -17,11 +17,12 @@ from audix.operators import cycle as Y
 from audix.operators import groups as G
 from audix.operators import pool as P
 from audix.operators import rank as R
-from audix.operators.segment import last_date_of_week, segment_as_of
+from audix.operators.segment import segments_at
 from audix.operators.snapshot import snapshot_txn
 from audix.plans import specs as S
 from audix.plans.workflows import WaterfallRun
 from audix.sources import fixtures
+from audix.sources.sinks import stage_table
 
 
 def full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,13 +38,9 @@ def week_snapshot(spark: SparkSession, sf_dir: str, start_week: int, end_week: i
     return snapshot_txn(fixtures.transactions(spark, sf_dir, dates), start_week, end_week, channel)
 
 
-def segments_at_week(spark: SparkSession, sf_dir: str, week: int | None = None) -> tuple[DataFrame, int]:
-    """Segments as of the last day of ``week`` (default: the last week of data)."""
-    dim = fixtures.date_dim(spark, sf_dir)
-    if week is None:
-        week = dim.agg(F.max(C.WEEK)).first()[0]
-    end = last_date_of_week(dim, week)
-    return segment_as_of(fixtures.segment_history(spark, sf_dir), dim, end)
+def segments_at_week(spark: SparkSession, sf_dir: str, week: int | None = None) -> DataFrame:
+    """Segments as of the last day of ``week`` (default: the last week of data), with their period."""
+    return segments_at(fixtures.segment_history(spark, sf_dir), fixtures.date_dim(spark, sf_dir), week)
 
 
 # ---- chain A: rank map pool and sequential allocation -------------------
@@ -57,13 +54,13 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snap = full_snapshot(spark, sf_dir)
-    groups = S.pool_groups(spark, sf_dir)
-    part1 = R.frequency_rank(snap, groups.where(F.col(C.GROUP).isin(S.FREQ_GROUPS)), drop=S.FREQ_DROP)
-    part2 = R.sales_rank(snap.where(F.col(C.CHANNEL) == C.CHANNEL_DELIVERY),
-                         groups.where(F.col(C.GROUP) == S.DELIVERY_GROUP))
-    part3 = R.sales_rank(snap, groups.where(F.col(C.GROUP) == S.PLAIN_GROUP))
-    return R.combine_ranks(part1, part2, part3)
+    """Three rankings of different groups, from one pass over the lines."""
+    visits = stage_table(R.visit_spend(full_snapshot(spark, sf_dir), S.pool_groups(spark, sf_dir), extra=[C.CHANNEL]), "visit-spend")
+    part1 = R.frequency_rank_of(visits.where(F.col(C.GROUP).isin(S.FREQ_GROUPS)), drop=S.FREQ_DROP)
+    delivery = (F.col(C.GROUP) == S.DELIVERY_GROUP) & (F.col(C.CHANNEL) == C.CHANNEL_DELIVERY)
+    rest = visits.where(delivery | (F.col(C.GROUP) == S.PLAIN_GROUP))
+    spend = stage_table(rest.groupBy(C.HOUSEHOLD, C.GROUP).agg(F.sum(C.SALES).alias(C.SALES)), "group-spend")
+    return R.combine_ranks(part1, R.rank_spend(spend))
 
 
 def allocation(spark: SparkSession, sf_dir: str, sizes=(1, 2, 3, 4)) -> tuple[DataFrame, A.Allocation]:

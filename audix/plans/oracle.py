@@ -395,6 +395,39 @@ FROM part""",
         "part_counts": """
 SELECT CASE WHEN p_size <= 10 THEN 'rank_a' WHEN p_size <= 30 THEN 'rank_b' ELSE 'other' END AS part, count(*) AS n_rows
 FROM part GROUP BY 1""",
+        "snapshot_refresh": _with([], """
+SELECT week_id, count(*) AS n_lines, count(DISTINCT household_id) AS n_households, CAST(sum(net_spend_amt) AS DOUBLE) / 10000 AS spend
+FROM snap GROUP BY week_id"""),
+        "reach_by_weeks": _with([], " UNION ALL ".join(
+            f"SELECT gr_nm, {_q(label)} AS weeks, count(DISTINCT household_id) AS n_households FROM snap JOIN wf_groups USING (upc_id) "
+            f"WHERE week_id BETWEEN {lo} AND {hi} GROUP BY gr_nm" for label, (lo, hi) in S.REACH_RANGES.items())),
+        "except_distinct": _with(POOL + [("parity", f"""
+SELECT household_id, CASE WHEN count(*) > 1 THEN count(*) END AS size,
+       string_agg(gr_nm || ':' || CAST(gr_sales_rank % {S.RANK_PARITY} AS VARCHAR), ',' ORDER BY gr_nm) AS gr_rank_map
+FROM pool_rank GROUP BY household_id""")],
+            "SELECT size, gr_rank_map FROM parity EXCEPT SELECT size, gr_rank_map FROM parity WHERE household_id % 2 = 0", {"pool_rank"}),
+        "reconcile_cycles": _with(CYCLE + [_shop_cycle("one_channel", f"WHERE channel = {_q(S.SNAP_PROFILE_CHANNEL)}")], """
+SELECT coalesce(r.household_id, s.household_id) AS household_id, r.cycle_days, s.med_shp_cyc_day,
+       CASE WHEN s.household_id IS NULL THEN 'left' WHEN r.household_id IS NULL THEN 'right' ELSE 'both' END AS found_in
+FROM rhythm r FULL OUTER JOIN one_channel s ON r.household_id = s.household_id"""),
+        "channel_pivot": _with([], "SELECT household_id, " + ", ".join(
+            f"CAST(sum(CASE WHEN channel = '{c}' THEN net_spend_amt END) AS DOUBLE) / 10000 AS spend_{c}"
+            for c in ("delivery", "pickup", "store")) + " FROM snap GROUP BY household_id"),
+        "spec_rejects": f"""
+WITH l AS (SELECT p_brand AS gr_nm, CASE WHEN p_size % 9 <> 0 THEN p_type || '_' || CAST(p_partkey % {S.SPEC_AUDIENCES} AS VARCHAR) END AS ca_nm,
+             p_size FROM part),
+j AS (SELECT *, CASE WHEN p_size % 10 = 0 THEN 'malformed' WHEN ca_nm IS NULL THEN 'missing ca_nm'
+                     WHEN p_size % 7 = 0 THEN 'negative quota' END AS reason FROM l),
+k AS (SELECT *, count(*) OVER (PARTITION BY gr_nm, ca_nm, reason IS NULL) AS copies FROM j)
+SELECT coalesce(reason, CASE WHEN copies > 1 THEN 'duplicate' ELSE 'used' END) AS reason, count(*) AS n_rows,
+       CAST(sum(CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 7 = 0 THEN -p_size ELSE p_size END) AS BIGINT) AS n_ca
+FROM k GROUP BY 1""",
+        "probability_sql": _cyc(f"""
+SELECT household_id, d AS days_to_start,
+       round(CASE WHEN cycle_days > 0
+                  THEN exp(-CAST(greatest(d, 0) AS DOUBLE) / cycle_days)
+                       - exp(-CAST(greatest(d + {C.CAMPAIGN_DAYS}, 0) AS DOUBLE) / cycle_days) END, 6) AS chance
+FROM (SELECT *, datediff('day', last_date, DATE '{S.CAMPAIGN_START}') AS d FROM rhythm)"""),
         "default_load": "SELECT s_suppkey, s_nationkey FROM supplier",
         "stratified_split": _wf("SELECT household_id, gr_nm, seg_desc, arm FROM split", SPLIT + [_split(())]),
         "split_no_control": _wf("SELECT household_id, gr_nm, seg_desc, arm FROM split", SPLIT + [split_nc]),

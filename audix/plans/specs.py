@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from audix.operators.groups import product_groups
 from audix.plans.workflows import DepartmentStage, WaterfallSpec
 from audix.sources import fixtures
+from audix.sources.readers import spec_frame
 
 QUOTA_BASE_CUSTOMERS = 1500
 
@@ -31,6 +32,9 @@ DELIVERY_GROUP = "Brand#3"
 PLAIN_GROUP = "Brand#4"
 TOPK_START_WEEK, TOPK_END_WEEK = 199901, 200026
 TOPK_PER_GROUP = 25
+REACH_RANGES = {"first": (199801, 200026), "second": (199927, 200152)}     # overlapping week ranges
+RANK_PARITY = 2
+SPEC_AUDIENCES = 40
 DRILL_GROUP, DRILL_RANK = "Brand#2", 5
 
 # Chain B: a drinks campaign. Listed products by (type, brand), departments by rule.
@@ -75,18 +79,17 @@ def pool_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alloc_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = customers(spark, sf_dir)
-    return spark.createDataFrame([(g, ca, scaled(b, n)) for g, ca, b in ALLOC_SPEC_BASE],
-                                 "gr_nm string, ca_nm string, n_ca long")
+    return spec_frame(spark, [(g, ca, scaled(b, n)) for g, ca, b in ALLOC_SPEC_BASE], "gr_nm string, ca_nm string, n_ca long")
 
 
 def audience_sets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(AUDIENCE_SETS, "ca_nm string, ca_gr_set array<string>")
+    return spec_frame(spark, AUDIENCE_SETS, "ca_nm string, ca_gr_set array<string>")
 
 
 def waterfall_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed groups unioned with the shelf rules."""
     part = fixtures.table(spark, sf_dir, "part")
-    listing = spark.createDataFrame(LISTED_GROUPS, "p_type string, p_brand string, gr_nm string")
+    listing = spec_frame(spark, LISTED_GROUPS, "p_type string, p_brand string, gr_nm string")
     listed = part.join(listing, ["p_type", "p_brand"]).select(F.col("p_partkey").alias("upc_id"), "gr_nm")
     dim = fixtures.prod_dim(spark, sf_dir)
     rules = {

@@ -32,7 +32,8 @@ from audix.operators.pool import allocation_pool
 from audix.operators.rank import sales_rank
 from audix.operators.segment import attach_segment
 from audix.operators.snapshot import snapshot_txn
-from audix.sources.sinks import stage_table
+from audix.sources.readers import spec_frame
+from audix.sources.sinks import stage_bucketed, stage_table
 
 
 def rank_pool(txn: DataFrame, groups: DataFrame, start_week: int | None = None, end_week: int | None = None,
@@ -108,8 +109,8 @@ class WaterfallRun:
     -> exact super-group sets -> co-buyers -> department-minus-products stages,
     each stage excluding the households of the earlier ones.
 
-    The lines are read once into a staged household x group spend table; every
-    stage works on it. Stages are built on first use, so a report on an early
+    The lines are read once into a household x group spend table, stored in buckets of households; every
+    stage works on it, and set building and the anti joins with earlier stages move the picks only. Stages are built on first use, so a report on an early
     stage does not run the later ones, and every stage's picks are staged
     (bounded by its quota), so later stages anti-join short plans.
     """
@@ -117,6 +118,7 @@ class WaterfallRun:
     def __init__(self, txn: DataFrame, groups: DataFrame, spec: WaterfallSpec):
         self.txn, self.groups, self.spec = txn, groups, spec
         self._departments: dict[int, DataFrame] = {}
+        self._before: dict[int, DataFrame] = {}
 
     @cached_property
     def spend(self) -> DataFrame:
@@ -124,12 +126,12 @@ class WaterfallRun:
         for i, st in enumerate(self.spec.departments):
             groups = groups.unionByName(
                 W.exclusion_groups(self.groups, st.departments, st.excluded, department_suffix(i)))
-        return stage_table(R.group_spend(snapshot_txn(self.txn), groups), "waterfall-spend")
+        return stage_bucketed(R.group_spend(snapshot_txn(self.txn), groups), "waterfall_spend", C.HOUSEHOLD)
 
     @cached_property
     def exclusive_candidates(self) -> DataFrame:
         family = self.spend.where(F.col(C.GROUP).isin(list(self.spec.family)))
-        return P.exclusive_shoppers(family).join(R.rank_spend(family), [C.HOUSEHOLD, C.GROUP])
+        return stage_table(P.exclusive_shoppers(family).join(R.rank_spend(family), [C.HOUSEHOLD, C.GROUP]), "exclusive-candidates")
 
     @cached_property
     def exclusive(self) -> DataFrame:
@@ -138,8 +140,8 @@ class WaterfallRun:
     @cached_property
     def _super_spend(self) -> DataFrame:
         rest = W.exclude_allocated(self.spend, self.exclusive)
-        return W.regroup_spend(rest.where(F.col(C.GROUP).isin(list(self.spec.super_groups))),
-                               dict(self.spec.super_groups))
+        rolled = W.regroup_spend(rest.where(F.col(C.GROUP).isin(list(self.spec.super_groups))), dict(self.spec.super_groups))
+        return stage_bucketed(rolled, "super_spend", C.HOUSEHOLD)
 
     @cached_property
     def super_rank(self) -> DataFrame:
@@ -147,9 +149,9 @@ class WaterfallRun:
 
     @cached_property
     def mapped(self) -> DataFrame:
-        mapping = self.txn.sparkSession.createDataFrame(
-            [(sorted(s), t) for s, t in self.spec.set_mapping], f"gr_set array<string>, {C.GROUP} string")
-        return W.map_sets(P.household_group_sets(self._super_spend), mapping, self.super_rank)
+        mapping = spec_frame(self.txn.sparkSession, [(sorted(s), t) for s, t in self.spec.set_mapping],
+                             f"gr_set array<string>, {C.GROUP} string")
+        return stage_table(W.map_sets(P.household_group_sets(self._super_spend), mapping, self.super_rank), "mapped-sets")
 
     @cached_property
     def sets(self) -> DataFrame:
@@ -166,10 +168,15 @@ class WaterfallRun:
         return stage_table(W.bought_all(self.after_sets, self.spec.both, label=self.spec.both_label), "both")
 
     def _before_department(self, i: int) -> DataFrame:
-        """Spend of the households that no stage before department stage ``i`` took."""
-        taken = [self.exclusive, self.sets, *([self.both] if self.spec.both else []),
-                 *(self.department(k) for k in range(i))]
-        return W.exclude_allocated(self.spend, *taken)
+        """Spend on the departments of stage ``i`` of the households that no stage before it took; staged, since
+        candidates and ranks read it."""
+        if i not in self._before:
+            taken = [self.exclusive, self.sets, *([self.both] if self.spec.both else []),
+                     *(self.department(k) for k in range(i))]
+            names = self.spec.departments[i].departments
+            own = self.spend.where(F.col(C.GROUP).isin([*names, *(d + department_suffix(i) for d in names)]))
+            self._before[i] = stage_bucketed(W.exclude_allocated(own, *taken), "before_department", C.HOUSEHOLD)
+        return self._before[i]
 
     def department_candidates(self, i: int) -> DataFrame:
         return W.bought_excluding_lines(self._before_department(i), self.spec.departments[i].departments,

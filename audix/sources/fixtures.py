@@ -83,14 +83,13 @@ def segment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment history: every segmented household in the last published
     periods (the newest lies two months before the last data month), with a label
     that changes from period to period."""
-    last = date_dim(spark, sf_dir).agg(F.add_months(F.max(C.DATE), -PUBLISHED_LAG_MONTHS)).first()[0]
-    months = [last.year * 12 + last.month - 1 - k for k in range(SEGMENT_PERIODS)]
-    periods = [m // 12 * 100 + m % 12 + 1 for m in months]
+    last = date_dim(spark, sf_dir).agg(F.add_months(F.max(C.DATE), -PUBLISHED_LAG_MONTHS)).scalar()
     labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
     key, period = F.col("c_custkey"), F.col(C.PERIOD)
     label = F.get(labels, ((key + period) % len(SEGMENT_LABELS)).cast("int"))
     return (table(spark, sf_dir, "customer").where(key % SEGMENT_GAP_MODULUS != 0)
-            .select(key, F.explode(F.array(*[F.lit(p) for p in periods])).alias(C.PERIOD))
+            .select(key, F.explode(F.array(*[F.lit(k) for k in range(SEGMENT_PERIODS)])).alias("_back"))
+            .select(key, month_period_id(F.add_months(last, -F.col("_back"))).alias(C.PERIOD))
             .select(key.alias(C.HOUSEHOLD), label.alias(C.SEGMENT), C.PERIOD))
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
@@ -58,8 +60,14 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def spec_frame(spark: SparkSession, rows: Sequence, schema: StructType | str) -> DataFrame:
-    """A literal relation (a spec of a few rows) with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema=schema)
+    """A literal relation (a spec of a few rows) with an explicit schema.
+
+    It is a local relation, whose size the planner knows: a join with a large side broadcasts it from
+    the start, while rows handed over as an RDD count as huge and shuffle both sides first.
+    """
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    table = pa.Table.from_pylist([dict(zip(kind.names, r)) for r in rows], schema=to_arrow_schema(kind))
+    return spark.createDataFrame(table, kind)
 
 
 def file_row_counts(df: DataFrame) -> DataFrame:

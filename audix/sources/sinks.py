@@ -29,3 +29,17 @@ def stage_table(df: DataFrame, name: str, fmt: str = "parquet",
     path = stage_path(spark, name)
     write_table(df, path, fmt=fmt, partition_by=partition_by)
     return spark.read.format(fmt).load(path)
+
+
+def stage_bucketed(df: DataFrame, name: str, by: str, buckets: int | None = None) -> DataFrame:
+    """Like :func:`stage_table`, stored in buckets of ``by`` (sorted inside; one file each).
+
+    Aggregates and joins by that column read it in place, without an exchange. The table is known to the session's
+    catalog under a fresh name, its files lie under the shared checkpoint folder. Key nulls meet in one bucket.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = stage_path(spark, name)
+    table = "audix_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+    (df.repartition(n, by).write.format("parquet").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table))
+    return spark.table(table)
