@@ -117,7 +117,8 @@ def partitions(keys: list[np.ndarray], weight: np.ndarray, least: int):
                 yield depth, own, np.append(np.flatnonzero(new), len(own))
             continue
         x = keys[d][own]
-        pivot = np.partition(x[::len(x) // 999], 499)[499]
+        some = x[::max(1, len(x) // 999)]
+        pivot = np.partition(some, len(some) // 2)[len(some) // 2]
         below, equal = x < pivot, x == pivot
         parts = own[below], own[equal], own[~(below | equal)]
         p[lo:hi] = np.concatenate(parts)
