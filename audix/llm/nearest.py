@@ -19,7 +19,8 @@ candidates. They are cut off inside each task before the shuffle.
 
 Defined cases: null ids take no part, neither do vectors that are null, empty or zero or hold a null or
 non-finite component; vectors of different lengths never meet; a query is a distinct pair of id and vector and
-its own rows are those with its id; equal scores go to the smaller id; with fewer than ``k`` candidates all are
+its own rows are those with its id; of rows that repeat id and vector one is a candidate, rows that repeat an id with another
+vector are candidates of their own; equal scores go to the smaller id; with fewer than ``k`` candidates all are
 returned; an empty table gives no rows; other columns are not read.
 """
 
@@ -118,11 +119,11 @@ def with_codes(rows: DataFrame, model: dict[int, np.ndarray]) -> DataFrame:
 
 
 def _best(key: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` best of each key, ties to the smaller id; a repeated (key, id) counts once."""
+    """Places of the ``k`` best of each key, ties to the smaller id; a candidate found twice counts once."""
     order = np.lexsort((ids, -score, key))
-    key, ids = key[order], ids[order]
+    key, ids, score = key[order], ids[order], score[order]
     once = np.ones(len(key), bool)
-    once[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+    once[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]) | (score[1:] != score[:-1])
     order, key = order[once], key[once]
     first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
     return order[np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key)))) < k]
@@ -232,8 +233,7 @@ def sure_cosine(bits: int, radius: int, miss: float = MISS) -> float:
 
 def _top(hits: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
-    return (hits.groupBy("key", "vec_id").agg(F.max("score").alias("score"))
-            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
+    return hits.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _probe(queries: DataFrame, candidates: DataFrame, bits: int, k: int, radius: int) -> DataFrame:
@@ -300,7 +300,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id
     bits = SUBSTRINGS * min(30, max(16, math.ceil(math.log2(max([1, *(r["count"] for r in sizes)])))))
     coded = staged(spark, with_codes(kept, fit(kept, [r["dim"] for r in sizes], bits)), "codes")
     same = Window.partitionBy(F.xxhash64("v"), "v").orderBy("vec_id")
-    candidates = staged(spark, coded.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n"), "candidates")
+    candidates = staged(spark, coded.dropDuplicates(["vec_id", "v"]).withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n"), "candidates")
     queries = staged(spark, coded.where(is_query).dropDuplicates(["vec_id", "v"])
                      .withColumn("key", F.monotonically_increasing_id()), "queries")
 
