@@ -34,6 +34,11 @@ def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFra
     return spark.sql(f"SELECT inline(from_json('{js}', 'array<struct<{schema}>>'))")
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it whole, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z only; every other character stays."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -7,14 +7,14 @@ holds the item with at most ``k`` edits holds one piece unchanged. An
 Aho-Corasick automaton over all pieces finds these in one pass over a text; each hit places
 the item on a stretch of ``n + 2k`` characters, overlapping stretches of an item
 are joined, and Myers' bit-parallel distance (the item's columns in one
-integer) decides about them.
+integer) decides about them. Run backwards from the end it finds, anchored there, the same recurrence gives the start.
 
 The test items are the given query set. They are sent to the executors in blocks of
 at most about ``BLOCK_BYTES`` of item text, one pass over the documents for
 each block, so what is broadcast stays bounded whatever the size of the set. The documents are
 mapped, never shuffled.
 
-An item of fewer than ``min_chars`` characters is searched for without edits and as whole words: no letter
+An item too short for an edit (fewer than 1 / ``error_rate`` characters) is searched for as whole words: no letter
 or digit may go on where it begins or ends with one.
 
 Defined cases: null and empty texts hold nothing; null and empty items (or of white space only) are
@@ -32,11 +32,12 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from audix.llm import textvec
+from audix.llm.common import staged
 
 ERROR_RATE = 0.08
-MIN_CHARS = 32
 #: Item text that is sent to the executors at a time.
 BLOCK_BYTES = 4 << 20
 
@@ -45,8 +46,9 @@ def normalise(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def myers(pattern: str, text: str) -> tuple[int, int]:
-    """Least edit distance of ``pattern`` to any stretch of ``text``, and the first end of such a stretch."""
+def myers(pattern: str, text: str, anchored: bool = False) -> tuple[int, int]:
+    """Least edit distance of ``pattern`` to any stretch of ``text``, and the first end of such a stretch;
+    ``anchored``: to any stretch that begins where ``text`` does."""
     m = len(pattern)
     full, top = (1 << m) - 1, 1 << (m - 1)
     peq: dict[str, int] = {}
@@ -55,6 +57,7 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     pv, mv, score = full, 0, m
     best, end = m, 0
     get = peq.get
+    carry = 1 if anchored else 0  # characters before a stretch cost nothing, unless it is anchored
     for at, c in enumerate(text, 1):
         eq = get(c, 0)
         xv = eq | mv
@@ -67,7 +70,7 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
             score -= 1
             if score < best:
                 best, end = score, at
-        ph = (ph << 1) & full
+        ph = ((ph << 1) | carry) & full
         mh = (mh << 1) & full
         pv = mh | (full & ~(xv | ph))
         mv = ph & xv
@@ -83,13 +86,12 @@ def whole_words(text: str, start: int, end: int) -> bool:
 class Matcher:
     """Automaton over the pieces of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int):
+    def __init__(self, items: list[tuple[object, str]], error_rate: float):
         by_text: dict[str, list[int]] = {}
         for key, text in items:
             if t := normalise(text or ""):
                 by_text.setdefault(t, []).append(key)
-        self.min_chars = min_chars
-        self.items = [(t, int(len(t) * error_rate) if len(t) >= min_chars else 0, keys) for t, keys in by_text.items()]
+        self.items = [(t, int(len(t) * error_rate), keys) for t, keys in by_text.items()]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for i, (t, k, _) in enumerate(self.items):
@@ -110,7 +112,7 @@ class Matcher:
                 t, k, _ = items[i]
                 start = last + 1 - b - k
                 end = start + len(t) + 2 * k
-                if len(t) < self.min_chars and not whole_words(text, start, end):
+                if k == 0 and not whole_words(text, start, end):
                     continue
                 if (own := found.get(i)) is None:
                     found[i] = [[start, end]]
@@ -134,7 +136,7 @@ class Matcher:
             if best[0] <= k:
                 distance, end = best
                 back = text[max(0, end - len(t) - k):end][::-1]
-                begin = end - myers_from_start(t[::-1], back)
+                begin = end - myers(t[::-1], back, anchored=True)[1]
                 for key in keys:
                     yield key, distance, begin, end
 
@@ -142,27 +144,15 @@ class Matcher:
         return next(self.matches(raw), None) is not None
 
 
-def myers_from_start(pattern: str, text: str) -> int:
-    """Length of the prefix of ``text`` that is nearest to ``pattern``."""
-    row = list(range(len(pattern) + 1))
-    best = (row[-1], 0)
-    for j, c in enumerate(text, 1):
-        left, row = row, [j]
-        for i, p in enumerate(pattern, 1):
-            row.append(min(left[i] + 1, row[-1] + 1, left[i - 1] + (p != c)))
-        best = min(best, (row[-1], j))
-    return best[1]
-
-
 _matchers: dict[bytes, Matcher] = {}
 
 
-def _matcher(items: list[tuple[int, str]], error_rate: float, min_chars: int) -> Matcher:
+def _matcher(items: list[tuple[object, str]], error_rate: float) -> Matcher:
     """The automaton of a block, built once per Python worker."""
-    key = hashlib.sha256(repr((items, error_rate, min_chars)).encode()).digest()
+    key = hashlib.sha256(repr((items, error_rate)).encode()).digest()
     if key not in _matchers:
         _matchers.clear()
-        _matchers[key] = Matcher(items, error_rate, min_chars)
+        _matchers[key] = Matcher(items, error_rate)
     return _matchers[key]
 
 
@@ -179,22 +169,22 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-               error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               error_rate: float = ERROR_RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, distance, start and end for each item that a document holds.
 
-    ``start`` and ``end`` count characters of the normalised text.
+    ``start`` and ``end`` count characters of the normalised text. Ids keep their types.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    item_type = items.schema["item_id"].dataType.simpleString()
+    item_type = items.schema["item_id"].dataType
+    arrow_type = to_arrow_type(item_type)
     doc_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {doc_type}, item_id {item_type}, distance int, start bigint, end bigint"
+    schema = f"doc_id {doc_type}, item_id {item_type.simpleString()}, distance int, start bigint, end bigint"
     out = None
     for block in item_blocks(items, block_bytes=block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
-            matcher = _matcher(shared.value, error_rate, min_chars)
+            matcher = _matcher(shared.value, error_rate)
             for batch in textvec.small_batches(batches):
                 at, found = [], []
                 for i, text in enumerate(batch.column(1).to_pylist()):
@@ -203,24 +193,29 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col
                         found.append(m)
                 item, distance, start, end = zip(*found) if found else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at, pa.int64())), pa.array(item, pa.int64()),
+                    [batch.column(0).take(pa.array(at, pa.int64())), pa.array(item, arrow_type),
                      pa.array(distance, pa.int32()), pa.array(start, pa.int64()), pa.array(end, pa.int64())],
                     ["doc_id", "item_id", "distance", "start", "end"])
 
-        got = rows.mapInArrow(run, schema)
+        got = staged(docs.sparkSession, rows.mapInArrow(run, schema), "leaks")
+        shared.destroy()
         out = got if out is None else out.unionByName(got)
     return out
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", error_rate: float = ERROR_RATE,
-               min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that hold none of the items."""
     at = docs.columns.index(text_col)
+    before = None
     for block in item_blocks(items, block_bytes=block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        if before is not None:  # more than one block: what the one before has kept is written, its items go
+            docs = staged(docs.sparkSession, docs, "clean")
+            before.destroy()
+        before = shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
-            matcher = _matcher(shared.value, error_rate, min_chars)
+            matcher = _matcher(shared.value, error_rate)
             for batch in textvec.small_batches(batches):
                 keep = [not matcher.holds_any(t or "") for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(keep, pa.bool_()))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from audix.llm import textvec
 from audix.llm.bits import bit_table, is_set, with_bit
-from audix.llm.common import join_counted, staged
+from audix.llm.common import join_counted, quoted, staged
 from audix.llm.components import components
 
 SHINGLE = 5
@@ -291,7 +291,7 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     listed = staged(spark, grouped.join(first.withColumn("keep", F.lit(True)), ["component", "k1", "k2"], "left")
                     .select("k1", "k2", F.coalesce("keep", F.lit(False)).alias("keep"), "copies")
                     .where("NOT keep OR copies > 1").drop("copies"), "listed")
-    keyed = docs.select(*row_key(id_col, text_col), F.struct(*docs.columns).alias("_doc"))
+    keyed = docs.select(*row_key(id_col, text_col), F.struct(*map(quoted, docs.columns)).alias("_doc"))
     hashed = keyed.withColumn("_hash", F.col("k1"))
     table = bit_table(listed.select("k1"))
     suspects = with_bit(hashed, table, True).join(listed, ["k1", "k2"], "left")

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from audix.llm.common import staged
+from audix.llm.common import quoted, staged
 
 #: Characters before and after a match that labelers see.
 CONTEXT = 24
@@ -284,7 +284,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     model = fit(candidates(docs.select(F.col(text_col).alias("_text")), "_text"))
     names = docs.columns
-    rows = candidates(docs.select(F.struct(*names).alias("_row"), F.col(text_col).alias("_text")), "_text")
+    rows = candidates(docs.select(F.struct(*map(quoted, names)).alias("_row"), F.col(text_col).alias("_text")), "_text")
     # Each step is a column of its own that the next refers to more than once, so that Spark computes it once.
     # Sums start anew with each pattern: what they were before its first match is taken off.
     rows = rows.withColumn("_sums", _running(F.transform("_found", lambda c: c["gap"].cast("long") + c["n"]), _add))
