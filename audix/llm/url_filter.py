@@ -59,10 +59,17 @@ def _host_label(label: str) -> Rule:
                 tuple(re.findall("[a-z0-9]+", label)), listed=False)
 
 
+def _path_part(word: str) -> Rule:
+    """Block paths one of whose parts is ``word``, with or without an extension."""
+    return Rule(SESSION, BLOCK, rf"^[^/]*/(?:[^/]*/)*{word}(?:/|\.|$)", (word,), listed=False)
+
+
+#: Name of the rules for session pages.
+SESSION = "path:session"
 #: The method's own judgement of addresses that no listed rule fits.
 PATTERNS = (
     *(_host_label(x) for x in ("spam-farm", "spam", "casino", "porn", "xxx", "torrent", "doorway", "adserver")),
-    Rule("path:session", BLOCK, r"^[^/]*/(?:[^/]*/)*(?:login|logout|signin|cart|checkout)(?:/|\.|$)", (), listed=False),
+    *(_path_part(x) for x in ("login", "logout", "signin", "cart", "checkout")),
 )
 
 
@@ -112,7 +119,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     """
     judged = judge_urls(pages, rules, url_col, default)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_url"))
-    return (rows.join(judged, "_url", "left")
+    # With the added key both sides are shuffled for the join, and an address that many pages share can be split.
+    key = F.xxhash64("_url")
+    return (rows.withColumn("_key", key).join(judged.withColumn("_key", key), ["_url", "_key"], "left")
             .select("page_id",
                     F.coalesce(host_of(F.col("_url")), F.lit("")).alias("host"),
                     F.coalesce(path_of(F.col("_url")), F.lit("")).alias("path"),
