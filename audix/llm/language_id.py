@@ -198,11 +198,15 @@ def identify(rows: DataFrame, names: list[str], table: np.ndarray, keep: list[st
     suffixes = summed("_suffix").select("_suffix", F.when(F.col("_suffix") != "", shares(F.col("_sum"), overall))
                                         .otherwise(overall).alias("_suffix_share"))
     hosts = summed("_host", "_suffix").where("_host != ''").withColumnRenamed("_sum", "_host_sum")
-    hosts = hosts.join(suffixes, "_suffix")
+    # The added keys make both sides of these joins shuffle for them, so that one frequent host or suffix can be split.
+    host_key, suffix_key = F.xxhash64("_host", "_suffix"), F.xxhash64("_suffix", F.lit(1))
+    hosts = (hosts.withColumn("_key", suffix_key).join(suffixes.withColumn("_key", suffix_key), ["_suffix", "_key"])
+             .withColumn("_key", host_key))
     declared = (summed("_declared").where("_declared != ''")
                 .select("_declared", F.zip_with("_sum", F.array(*(F.lit(float(x)) for x in total)),
                                                 lambda s, t: F.log((s + 0.1) / (t + 1.0))).alias("_declared_log")))
-    joined = judged.join(hosts, ["_host", "_suffix"], "left").join(declared, "_declared", "left")
+    joined = (judged.withColumn("_key", host_key).join(hosts, ["_host", "_suffix", "_key"], "left")
+              .join(declared, "_declared", "left"))
     others = F.zip_with("_host_sum", "_share", lambda s, p: s - p)
     prior = F.when(F.col("_host_sum").isNotNull(), shares(others, F.col("_suffix_share"))).otherwise(overall)
     logs = F.zip_with("_text_log", F.transform(prior, lambda p: F.log(p)), lambda a, b: a + b)
