@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -160,7 +161,7 @@ def test_leaks_with_edits_are_found(spark, block_bytes):
         docs.append((d, text))
     for d, text in docs:
         for k, t in items:
-            if t and len(t) >= 32:
+            if t:
                 p = decontaminate.normalise(t)
                 if plain_distance(p, decontaminate.normalise(text)) <= int(len(p) * decontaminate.ERROR_RATE):
                     want.add((d, k))
@@ -264,14 +265,67 @@ def test_toxicity_trains_on_documents_up_to_32_kb(spark):
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5][:3]
     docs = spark.createDataFrame(list(zip(ids, ["x" * n for n in (100, 1 << 15, (1 << 15) + 1)])), "doc_id long, text string")
     marks = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, toxic int")
-    assert sorted(len(t) for t in toxicity.sample_labelled(docs, marks)[0]) == [100, 1 << 15]
+    assert sorted(len(r._text) for r in toxicity.sample_labelled(docs, marks).collect()) == [100, 1 << 15]
+
+
+def test_short_items(spark):
+    """Items too short for an edit as whole words; from 13 characters on with their edits, against plain distance."""
+    rnd = random.Random(12)
+    items = [(1, "What is the capital of France?"), (2, "a b"), (3, " "), (4, "x" * 12)]
+    items += [(10 + n, "".join(rnd.choice("abcdefgh ") for _ in range(n)).strip() + "." * 3) for n in range(10, 29)]
+    texts = ["Q: what is  the CAPITAL of france? Paris", "What is the capitol of France?", "What is a capitel of Frence?", "a b", "ca b, a bc; a b.",
+             "xa b a bx", "x" * 13, "-" + "x" * 12 + "-"]
+    for _, t in items[4:]:
+        for edits in range(4):
+            leak = list(t)
+            for _ in range(edits):
+                at = rnd.randrange(len(leak))
+                leak[at:at + rnd.randint(0, 1)] = rnd.choice(["#", "", "##"])
+            texts.append("zz " + "".join(leak) + " zz")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = set()
+    for d, text in enumerate(texts):
+        n = decontaminate.normalise(text)
+        for k, t in items:
+            p = decontaminate.normalise(t)
+            budget = int(len(p) * decontaminate.ERROR_RATE)
+            if p and budget and plain_distance(p, n) <= budget:
+                want.add((d, k))
+            elif p and not budget and any(n.startswith(p, i) and decontaminate.whole_words(n, i, i + len(p)) for i in range(len(n))):
+                want.add((d, k))
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 40
+    assert {(0, 1), (1, 1), (3, 2), (4, 2), (7, 4)} <= want and not {(5, 2), (6, 4)} & want
+    for r in got:
+        p, n = decontaminate.normalise(dict(items)[r.item_id]), decontaminate.normalise(texts[r.doc_id])
+        assert plain_distance(p, n[r.start:r.end]) <= r.distance == plain_distance(p, n)
 
 
-def test_short_items_are_found_as_whole_words(spark):
-    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "a b"), (3, " "), (4, "x" * 31)], "item_id long, text string")
-    texts = ["Q: what is  the CAPITAL of france? Paris", "What is the capitol of France?", "a b", "ca b, a bc; a b.", "xa b a bx",
-             "x" * 32, "-" + "x" * 31 + "-"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {(r.doc_id, r.item_id, r.distance, r.start, r.end) for r in decontaminate.find_leaks(docs, items).collect()}
-    assert got == {(0, 1, 0, 3, 33), (2, 2, 0, 0, 3), (3, 2, 0, 12, 15), (6, 4, 0, 1, 32)}
-    assert {r.doc_id for r in decontaminate.keep_clean(docs, items).collect()} == {1, 4, 5}
+def test_item_ids_keep_their_types_and_long_items_are_quick(spark):
+    rnd = random.Random(2)
+    long_item = "".join(rnd.choice("abcd ") for _ in range(20_000))
+    matcher = decontaminate.Matcher([("k", long_item)], decontaminate.ERROR_RATE)
+    t0 = time.process_time()
+    (found,) = matcher.matches("pre " + long_item.replace("ab", "a#") + " post")
+    assert found[0] == "k" and time.process_time() - t0 < 5
+    docs = frame(spark, [(1, "the quick brown fox jumps over it"), (2, None)])
+    for kind, key in (("string", "k"), ("int", 3), ("decimal(5,1)", None)):
+        bench = spark.createDataFrame([(key, "the quick brown fox jumps")], f"item_id {kind}, text string")
+        leaks = decontaminate.find_leaks(docs, bench)
+        assert [(r.doc_id, r.item_id) for r in leaks.collect()] == [(1, key)] and leaks.schema["item_id"].dataType == bench.schema["item_id"].dataType
+
+
+def test_anchored_myers_is_distance_to_a_prefix():
+    rnd = random.Random(6)
+    for _ in range(200):
+        p = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 70)))
+        t = "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 90)))
+        row = list(range(len(p) + 1))
+        best = (row[-1], 0)
+        for j, c in enumerate(t, 1):
+            left, row = row, [j]
+            for i, x in enumerate(p, 1):
+                row.append(min(left[i] + 1, row[-1] + 1, left[i - 1] + (x != c)))
+            best = min(best, (row[-1], j))
+        assert decontaminate.myers(p, t, anchored=True) == best

@@ -5,6 +5,7 @@ import heapq
 import os
 import random
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,20 +36,47 @@ def test_shards_hold_groups_and_gapless_slots(spark):
     assert sharding.shard_rows(frame(spark, []), 5).collect() == []
 
 
-def test_lpt_is_the_textbook_schedule():
-    items = [(s, (i,)) for i, s in enumerate([7, 7, 6, 6, 5, 5, 4, 4, 4, 1, 0])]
-    load = [0] * 3
-    for size, key in sorted(items, key=lambda x: (-x[0], x[1])):
-        load[load.index(min(load))] += size
-    placed = sharding.lpt(items, 3)
-    assert sorted(load) == sorted(sum(s for s, k in items if placed[k] == x) for x in range(3))
-    assert heapq.nsmallest(1, load)[0] >= 15
+def plain_lpt(sizes, n):
+    """(size, shard) -> groups, by the schedule as the textbook has it."""
+    heap, out = [(0, s) for s in range(n)], Counter()
+    for size in sorted(sizes, reverse=True):
+        load, s = heapq.heappop(heap)
+        out[size, s] += 1
+        heapq.heappush(heap, (load + size, s))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lpt_is_the_textbook_schedule(seed):
+    rnd = random.Random(seed)
+    sizes = [rnd.choice([1, 2, 3, 5, 8, 90, rnd.randint(1, 4000)]) for _ in range(rnd.choice([0, 1, 40, 3000]))]
+    n = rnd.randint(1, 17)
+    got = {(size, s): k for size, taken in sharding.lpt(list(Counter(sizes).items()), n) for s, k in enumerate(taken) if k}
+    assert got == plain_lpt(sizes, n)
+
+
+def test_every_group_is_scheduled_by_itself(spark):
+    rnd = random.Random(8)
+    rows = DOCS + [(i, f"{rnd.randint(0, 10 ** 6)} " * rnd.randint(1, 4)) for i in range(500)] + [(7, "same")] * 200
+    got = sharding.shard_rows(frame(spark, rows), 7, piece_rows=30).collect()
+    of_group = {}
+    for r in got:
+        of_group.setdefault((r.text_crc32, r.shard), 0)
+        of_group[r.text_crc32, r.shard] += r["size"]
+    want = Counter()
+    for _, text in rows:
+        want[zlib.crc32((text or "").encode())] += len((text or "").encode()) + 1
+    assert Counter((size, s) for (_, s), size in of_group.items()) == plain_lpt(want.values(), 7)
 
 
 def test_written_shards_keep_all_columns(spark, tmp_path):
-    sharding.write_shards(frame(spark).drop("shard"), str(tmp_path / "out"), 4)
+    odd = frame(spark).withColumn("_file", F.lit("f")).withColumn("a.b", F.lit("dot"))
+    with pytest.raises(ValueError, match="shard_col"):
+        sharding.write_shards(odd, str(tmp_path / "out"), 4)
+    sharding.write_shards(odd, str(tmp_path / "out"), 4, shard_col="part")
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == len(DOCS) and set(frame(spark).columns) == set(back.columns)
+    assert back.count() == len(DOCS) and set(back.columns) == {*odd.columns, "part"}
+    assert {r[0] for r in back.select("`a.b`").distinct().collect()} == {"dot"}
 
 
 def test_edited_texts_and_fingerprints(spark):
