@@ -51,9 +51,12 @@ _fold[48:58] = 32
 
 
 def trigram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every trigram of the texts together, and where each text's begin."""
+    """Bucket of every trigram of the texts together, and where each text's begin.
+
+    A text's trigrams run from its two leading blanks to its trailing ones, so none reaches into its neighbour.
+    """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 3
-    b = _fold[np.frombuffer(b"   ".join(texts) + b"     ", np.uint8)]
+    b = _fold[np.frombuffer(b"  " + b"   ".join(texts) + b"   ", np.uint8)]
     code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
     at = (code * np.uint32(2654435761)) >> np.uint32(16)
     return at, np.concatenate([[0], np.cumsum(lengths)[:-1]])

@@ -7,11 +7,13 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from audix.llm import catalogue, fingerprint, language_id, oracle, sharding
-from tests.llm.helpers import DOCS, base_spans, frame, jaccard_components
+from tests.llm.helpers import DOCS, base_spans, frame, jaccard_components, split_words
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -106,6 +108,42 @@ def test_edited_texts_and_fingerprints(spark):
     assert alone.near_next == 1.0 and alone.next_doc_id == 1
 
 
+def plain_sketch(text):
+    """Signed xxhash64 chains of neighbouring words, seeded like Spark's, below a quarter of the range, cut to 31 bits."""
+    w = [x.encode() for x in split_words(text)]
+    pairs = list(zip(w, w[1:])) or [(x,) for x in w]
+    out = set()
+    for pair in pairs:
+        h = 42
+        for x in pair:
+            h = xxhash.xxh64_intdigest(x, h)
+        if h < 1 << 62:
+            out.add(h >> 31)
+    return out
+
+
+def test_sketches_and_likeness_match_a_plain_version(spark):
+    rows = [(k, t) for k, t in DOCS if k is not None] + [(50 + i, " ".join(f"w{j % 40}" for j in range(i, i + 9 * i))) for i in range(12)]
+    got = fingerprint.fingerprint_edits(frame(spark, rows)).collect()
+    texts = {}
+    for k, t in rows:
+        texts.setdefault(k, []).append(t or "")
+    after = {}
+    for r in got:
+        digest, sketch = r.fingerprint.split(":")
+        mine = {int(x, 16) for x in sketch.split(",") if x}
+        text = next(t for t in texts[r.doc_id] if f"{xxhash.xxh64_intdigest(t.encode(), 42):016X}" == digest)
+        assert mine == plain_sketch(text)
+        after[r.doc_id, text] = (r, mine)
+    for (_, text), (r, mine) in after.items():
+        edited = {int(x, 16) for x in r.edited_fingerprint.split(":")[1].split(",") if x}
+        either = mine | edited
+        assert abs(r.near_edited - (len(mine & edited) / len(either) if either else r.near_edited)) < 1e-12
+        nexts = [(plain_sketch(t), t) for t in texts[r.next_doc_id]]
+        likely = [len(mine & n) / len(mine | n) if mine | n else float(t == text) for n, t in nexts]
+        assert any(abs(r.near_next - x) < 1e-12 for x in likely)
+
+
 def test_pieces_of_the_ring_are_linked(spark):
     keys = spark.range(500).select(F.col("id").alias("_id"), F.col("id").alias("_hash"),
                                    F.col("id").cast("string").alias("key"), F.col("id").alias("n"))
@@ -144,6 +182,41 @@ def test_evidence_decides_where_texts_are_silent(spark):
     assert {r.lang for r in language_id.identify(df, none, empty, ["id"]).collect()} == {None}
 
 
+def test_posterior_matches_a_plain_version(spark):
+    speak = {"en": "the and of to in that with from have this", "fr": "le la les des une dans pour avec sur est",
+             "de": "der die das und nicht mit von auf eine ist"}
+    names, model = language_id.fit({k: [(v + " ").encode() * 5] for k, v in speak.items()})
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choices(" ".join(speak.values()).split(), k=rnd.randint(0, 6))), rnd.choice([None, "", "de", "xx"]),
+             rnd.choice([None, "fr", "org"]), rnd.choice([None, "", "h", "g", "k"])) for i in range(150)] + [(150, None, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, text string, declared string, suffix string, host string")
+    got = {r.id: r for r in language_id.identify(df, names, model, ["id"]).collect()}
+    logs = language_id.likelihoods([(t or "").encode() for _, t, *_ in rows], model)
+    share = np.exp(logs - logs.max(axis=1, keepdims=True))
+    share /= share.sum(axis=1, keepdims=True)
+    logs, share = logs.astype(np.float64), share.astype(np.float64)  # single precision up to here, as in the tasks
+    keys = [tuple(x or "" for x in r[2:]) for r in rows]
+
+    def summed(which):
+        out = {}
+        for key, s in zip(keys, share):
+            out[which(key)] = out.get(which(key), 0) + s
+        return out
+
+    def smooth(sums, parent):
+        return (np.maximum(sums, 0) + language_id.WEIGHT * parent) / (sums.sum() + language_id.WEIGHT)
+
+    total = share.sum(axis=0)
+    overall = (total + 1) / (total.sum() + len(names))
+    by_suffix, by_host, by_word = summed(lambda k: k[1]), summed(lambda k: k[1:]), summed(lambda k: k[0])
+    for (i, *_), (word, suffix, host), own, log in zip(rows, keys, share, logs):
+        parent = smooth(by_suffix[suffix], overall) if suffix else overall
+        prior = smooth(by_host[suffix, host] - own, parent) if host else overall
+        log = log + np.log(prior) + (np.log((by_word[word] + 0.1) / (total + 1)) if word else 0)
+        want = np.exp(log - log.max()) / np.exp(log - log.max()).sum()
+        assert abs(got[i].probability - want.max()) < 1e-6 and want[names.index(got[i].lang)] > want.max() - 1e-6
+
+
 def test_every_labelled_language_is_known(spark):
     rnd = random.Random(5)
     speak = {f"l{k:02}": " ".join("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)) for k in range(70)}
