@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix import contracts as C
+from audix.sources.readers import spec_frame
 
 #: Rows of a list that go to one file.
 ROWS_PER_FILE = 5_000_000
@@ -19,11 +20,12 @@ def export_lists(df: DataFrame, path: str, group_col: str = C.GROUP, arm_col: st
     left out here; :func:`export_counts` reports them per list. A list is
     spread by a hash of the id over as many files as its rows need, so a large
     audience is written by several tasks. Stage ``df`` first if it is costly: its lists are
-    counted before they are written.
+    counted before they are written. The numbers of files, one for each list, come back as a local relation, so
+    the rows meet them where they are.
     """
     lists = df.where(F.col(id_col).isNotNull()).select(group_col, arm_col, id_col)
-    files = (lists.groupBy(group_col, arm_col).count()
-             .select(group_col, arm_col, F.ceil(F.col("count") / rows_per_file).alias("_files")))
+    held = lists.groupBy(group_col, arm_col).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    files = spec_frame(df.sparkSession, [tuple(r) for r in held.collect()], held.schema)
     placed = lists.join(files, [group_col, arm_col]).withColumn("_file", F.pmod(F.xxhash64(id_col), F.col("_files")))
     (placed.repartition(group_col, arm_col, "_file").select(group_col, arm_col, id_col)
      .write.mode("overwrite").partitionBy(group_col, arm_col).option("header", True).csv(path))
