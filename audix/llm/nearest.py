@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by multi-index hashing (operator 13).
 
-1. *Codes.* A rotation per vector length is learned on a bounded sample (``SAMPLE`` vectors of least hash):
+1. *Codes.* A rotation per vector length is learned on a bounded sample (``SAMPLE`` vectors of least hash, ``SAMPLE_CELLS`` components in all):
    principal directions, then alternately signs and the orthogonal matrix nearest to them. A vector's
    code is the signs of its rotated components, ``SUBSTRINGS`` substrings of ``log2(rows)`` bits, 16 at least.
 2. *Index.* Every row stands in one bucket per substring. A query probes, per substring, the buckets whose value
@@ -41,8 +41,8 @@ SUBSTRINGS = 4
 RADIUS = 7
 #: Chance that a neighbour as near as the k-th lies outside the radius.
 MISS = 0.02
-#: Vectors of one length that a rotation is learned on.
-SAMPLE = 10_000
+#: Vectors of one length that a rotation is learned on, and the components that all of them may have.
+SAMPLE, SAMPLE_CELLS = 10_000, 1 << 22
 #: Rows of a block of a bucket; queries of a pass over all rows.
 BLOCK, SCANNED = 1 << 14, 1 << 14
 #: Scores held at a time.
@@ -90,10 +90,11 @@ def learn_rotation(x: np.ndarray, bits: int, rounds: int = 25) -> np.ndarray:
 
 
 def fit(rows: DataFrame, dims: list[int], bits: int) -> dict[int, np.ndarray]:
-    """The directions of every vector length, from its ``SAMPLE`` vectors of least hash."""
+    """The directions of every vector length, from its vectors of least hash (a bounded number)."""
     model = {}
     for d in dims:
-        least = rows.where(F.col("dim") == d).orderBy(F.xxhash64("v", "vec_id")).limit(SAMPLE).select("v")
+        most = max(1, min(SAMPLE, SAMPLE_CELLS // d))
+        least = rows.where(F.col("dim") == d).orderBy(F.xxhash64("v", "vec_id")).limit(most).select("v")
         model[d] = learn_rotation(_matrix(least.toArrow().column(0).combine_chunks()), bits)
     return model
 
