@@ -9,6 +9,10 @@ Parquet under the shared checkpoint folder and reads it back for the next.
 4. ``pii``: personal data in the texts is replaced by its kind; ``n_chars`` follows the text.
 5. ``encoding``: texts become byte-level BPE ids, checked by decoding them.
 
+Defined cases: null, empty and wordless texts pass every stage and are encoded as no ids; null ids are kept, rows that
+repeat id and text are one after ``near_duplicates``; without labels nothing is toxic, without items nothing is a leak; an empty
+table gives no rows; extra columns, whatever their names, pass all stages but the last.
+
 All but the last return the columns of ``documents``. The result cannot be stated in SQL
 (a trained model, a trained classifier, byte-pair merges), so ``ORACLE_SQL`` is None and
 the tests compare with a brute-force version.
