@@ -36,7 +36,7 @@ from audix.llm.common import join_counted, staged
 ROUTE, HEAVY = 1 << 20, 1 << 17
 ROUTES = 64
 #: Suffixes merged together in a task; words counted in a task before they are handed on.
-HELD, WORDS_HELD = 1 << 21, 1 << 19
+HELD, WORDS_HELD = 1 << 19, 1 << 17
 #: Largest part that is ordered at once.
 SMALL = 1 << 16
 #: Unknown-language label of null.
