@@ -70,7 +70,7 @@ class Words:
     ends: np.ndarray
     doc: np.ndarray
     hashes: np.ndarray
-    prefixes: np.ndarray | None = None
+    prefixes: np.ndarray | None = None  # a row for each length
 
     @property
     def bounds(self) -> np.ndarray:
@@ -83,7 +83,7 @@ class Words:
         return before[at] - before[self.offsets[doc]]
 
 
-def _words(first: int, texts: list[bytes], kind: np.ndarray, fold: bool, prefix: int = 0) -> Words:
+def _words(first: int, texts: list[bytes], kind: np.ndarray, fold: bool, prefix: tuple[int, ...] = ()) -> Words:
     buffer = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     offsets = np.concatenate([[0], np.cumsum(lengths)])[:-1]
@@ -97,13 +97,13 @@ def _words(first: int, texts: list[bytes], kind: np.ndarray, fold: bool, prefix:
     np.cumsum((_FOLDED if fold else _EXACT)[buffer] * _table("powers", _M, len(buffer)), out=total[1:])
     back = _table("inverse", _INVERSE, len(buffer))[starts]
     hashes = mix((total[ends] - total[starts]) * back)
-    heads = mix((total[np.minimum(starts + prefix, ends)] - total[starts]) * back) if prefix else None
+    heads = np.stack([mix((total[np.minimum(starts + n, ends)] - total[starts]) * back) for n in prefix]) if prefix else None
     doc = np.searchsorted(offsets, starts, side="right") - 1
     return Words(first, len(texts), buffer, offsets, starts, ends, doc, hashes, heads)
 
 
-def blocks(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False, prefix: int = 0) -> Iterator[Words]:
-    """Words of ``texts``, block by block; ``fold`` hashes A-Z as a-z, ``prefix`` also hashes so many first bytes."""
+def blocks(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False, prefix: tuple[int, ...] = ()) -> Iterator[Words]:
+    """Words of ``texts``, block by block; ``fold`` hashes A-Z as a-z, ``prefix`` also hashes so many first bytes, each."""
     first, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > BLOCK:
@@ -114,7 +114,7 @@ def blocks(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False,
         yield _words(first, texts[first:], kind, fold, prefix)
 
 
-def together(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False, prefix: int = 0) -> Words:
+def together(texts: list[bytes], kind: np.ndarray = NOT_SPACE, fold: bool = False, prefix: tuple[int, ...] = ()) -> Words:
     """Words of all ``texts`` as one block (for lists that are known to be small)."""
     return _words(0, texts, kind, fold, prefix)
 

@@ -1,17 +1,19 @@
 """Toxic spans and document scores from a linear-chain CRF (operator 7).
 
 Tokens are runs of letters and digits, lower-cased. The chain has the states
-clean and toxic. A token's potential sums weights of itself, its first ``STEM`` bytes, its left
+clean and toxic. A token's potential sums weights of itself, its first bytes (each length of ``STEM``), its left
 and its right neighbour (hashed into ``BUCKETS``); transitions have a weight each.
 
 Training takes a bounded sample of the labelled rows (``sample`` documents of at
 most ``sample_bytes`` each, the first in hash order), without those that mostly
 repeat an earlier one of the sample. Labelled tokens come from
 labelled documents: a token of a toxic document is toxic if documents with its
-type, or its stem, are toxic significantly more often than others (``Z``). Weights follow the gradient of the
+type, or one of its stems, are toxic significantly more often than others. What is significant depends on the
+sample: the lowest cut of ``CUTS`` above which labels dealt at random put at most a hundredth of the types found (more, if
+none is found so; then the most significant). Weights follow the gradient of the
 log-likelihood, with expectations from the forward-backward recursion. A small
 logistic model then turns a document's marginals (their sum, largest value and
-mean) into the score.
+mean) into the score, which never falls as these grow.
 
 Scoring is a map over all rows and whole texts: forward-backward marginals per
 token; runs of tokens above one half are the offending spans. Chains are
@@ -28,6 +30,7 @@ Other columns are not read.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,11 +42,14 @@ from audix.llm import textvec
 
 BUCKETS = 1 << 18
 SEGMENT = 64
-STEM = 4
+STEM = (4, 6, 8)
 #: Documents that the model is fitted on, and the longest of them in bytes.
 SAMPLE, SAMPLE_BYTES = 3000, 1 << 15
-Z = 4.0
-ROUNDS, STEP, RIDGE = 25, 0.5, 1e-3
+#: Significances, the share of them that chance may explain (the first that finds any), and the random dealings of labels.
+CUTS, CHANCE, DEALS = np.arange(5, 1.9, -0.25), (0.01, 0.1, 0.3, 1.0), 10
+ROUNDS, STEP, RIDGE = 25, 0.5, 0.1
+#: Weights of the document features that the logistic model departs from.
+PRIOR = np.array([0.0, 1.0, 1.0, 0.0])
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -82,7 +88,8 @@ class Chains:
         self.live = np.zeros(self.shape, bool)
         self.live.reshape(-1)[self.cell] = True
         self.type = (words.hashes & np.uint64(BUCKETS - 1)).astype(np.int32)
-        self.stem = (words.prefixes & np.uint64(BUCKETS - 1)).astype(np.int32)
+        own = np.arange(1, len(STEM) + 1, dtype=np.uint64)[:, None]  # lengths share the buckets, words of all of them differ
+        self.stem = ((words.prefixes ^ own) & np.uint64(BUCKETS - 1)).astype(np.int32)
         self.doc = words.doc.astype(np.int32)
         self.texts = range(words.first, words.first + words.count)
         starts, ends = np.zeros(len(inside), bool), np.zeros(len(inside), bool)
@@ -93,7 +100,7 @@ class Chains:
         self.left, self.right = np.roll(self.type, 1), np.roll(self.type, -1)
 
     def potentials(self, m: Model) -> np.ndarray:
-        return (m.bias + m.token[self.type] + m.stem[self.stem]
+        return (m.bias + m.token[self.type] + sum(m.stem[s] for s in self.stem)
                 + m.left[self.left] * self.has_left + m.right[self.right] * self.has_right)
 
     def marginals(self, m: Model, pairs: bool = False):
@@ -155,21 +162,71 @@ class Chains:
         return np.stack([np.ones(len(total)), np.log1p(total), largest, 10 * total / np.maximum(self.lengths, 10)], axis=1)
 
 
+def excess(chains: list[Chains], labels: np.ndarray) -> Iterator[np.ndarray]:
+    """For types, then for stems of each length: per labelling (row) and bucket, by how many deviations toxic documents exceed their share."""
+    share = labels[0].mean()
+    for name in range(1 + len(STEM)):
+        n, k = np.zeros(BUCKETS), np.zeros((len(labels), BUCKETS))
+        for c in chains:
+            pair = np.unique(c.doc.astype(np.int64) * BUCKETS + (c.stem[name - 1] if name else c.type))
+            bucket, doc = pair % BUCKETS, c.texts.start + pair // BUCKETS
+            n += np.bincount(bucket, minlength=BUCKETS)
+            for i, row in enumerate(labels):
+                k[i] += np.bincount(bucket, row[doc], BUCKETS)
+        yield (k - n * share) / np.sqrt(n * share * (1 - share) + 1)
+
+
 def label_tokens(chains: list[Chains], toxic: np.ndarray) -> list[np.ndarray]:
     """Per block: 1 for tokens of toxic documents whose type or stem is significantly frequent in them."""
-    share = toxic.mean()
+    deal = np.random.default_rng(0).permutation
+    scores, counts = [], []
+    for z in excess(chains, np.stack([toxic] + [deal(toxic) for _ in range(DEALS)])):
+        scores.append(z[0])
+        counts.append([((z[0] > t).sum(), (z[1:] > t).sum() / DEALS) for t in CUTS])
+    for part in CHANCE:
+        cuts = [min((t for t, (n, by_chance) in zip(CUTS, c) if n and by_chance <= part * n), default=np.inf) for c in counts]
+        if min(cuts) < np.inf:
+            break
+    else:
+        cuts = [z.max() - 1e-9 for z in scores]
     found = [np.zeros(len(c.doc), bool) for c in chains]
-    for name in ("type", "stem"):
-        n, k = np.zeros(BUCKETS), np.zeros(BUCKETS)
-        for c in chains:
-            pair = np.unique(c.doc.astype(np.int64) * BUCKETS + getattr(c, name))
-            n += np.bincount(pair % BUCKETS, minlength=BUCKETS)
-            k += np.bincount(pair % BUCKETS, toxic[c.texts.start + pair // BUCKETS], BUCKETS)
-        often = (k - n * share) / np.sqrt(n * share * (1 - share) + 1) > Z
-        found = [f | often[getattr(c, name)] for f, c in zip(found, chains)]
+    for name, (z, cut) in enumerate(zip(scores, cuts)):
+        often = z > cut
+        found = [f | often[c.stem[name - 1] if name else c.type] for f, c in zip(found, chains)]
     return [(f & (toxic[c.texts.start + c.doc] > 0)).astype(float) for f, c in zip(found, chains)]
 
 
+def document_weights(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Ridge logistic weights of the document features around ``PRIOR``; none but the intercept is negative."""
+    live = np.ones(len(PRIOR), bool)
+    while True:
+        z, mid = x[:, live], PRIOR[live].copy()
+        mid[0] = np.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 0.5))
+        pull = np.where(np.arange(len(mid)) > 0, 1.0, 1e-3)
+
+        def loss(b):
+            return np.logaddexp(0, z @ b).sum() - toxic @ (z @ b) + 0.5 * (pull * (b - mid) ** 2).sum()
+
+        b = mid
+        for _ in range(50):  # Newton steps, halved while they overshoot
+            q = probability(z @ b)
+            step = np.linalg.solve((z * (q * (1 - q))[:, None]).T @ z + np.diag(pull), z.T @ (toxic - q) - pull * (b - mid))
+            while loss(b + step) > loss(b) and abs(step).max() > 1e-9:
+                step = step / 2
+            b = b + step
+            if abs(step).max() < 1e-8:
+                break
+        out = np.zeros(len(PRIOR))
+        out[live] = b
+        if out[1:].min() >= 0:
+            return out
+        live &= (out >= 0) | (np.arange(len(PRIOR)) == 0)
+
+
+def probability(s: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(s, -500, 500)))
+
+
 def unrepeated(texts: list[bytes]) -> np.ndarray:
     """Documents at most half of whose five-word runs occur in an earlier one."""
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -208,7 +265,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
         for c, y in zip(chains, marks):
             p, moves = c.marginals(model, pairs=True)
             gap = y - p
-            for i, (kind, live) in enumerate(((c.type, 1), (c.stem, 1), (c.left, c.has_left), (c.right, c.has_right))):
+            for i, kind, live in (0, c.type, 1), *((1, s, 1) for s in c.stem), (2, c.left, c.has_left), (3, c.right, c.has_right):
                 slopes[i] += np.bincount(kind, gap * live, BUCKETS)
             slopes[4] += gap.sum()
             slopes[5] = slopes[5] - moves
@@ -224,12 +281,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
                 step[0, 0] = 0
                 model.moves += step
     model = model.slim()
-    x = np.concatenate([c.features(c.marginals(model)) for c in chains])
-    b = base.copy()
-    for _ in range(30):  # Newton steps of the document score
-        q = 1 / (1 + np.exp(-x @ b))
-        b = b + np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 1e-1 * np.eye(4), x.T @ (toxic - q) - 1e-1 * b)
-    model.score = b
+    model.score = document_weights(np.concatenate([c.features(c.marginals(model)) for c in chains]), toxic)
     return model
 
 
@@ -271,7 +323,7 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text", id_col: s
             for w in textvec.blocks(textvec.raw_texts(batch.column(1)), textvec.ALPHANUMERIC, fold=True, prefix=STEM):
                 c = Chains(w)
                 p = c.marginals(m)
-                scores.append(1 / (1 + np.exp(-(c.features(p) @ m.score))))
+                scores.append(probability(c.features(p) @ m.score))
                 spans += _spans(w, p)
             score = np.concatenate(scores) if scores else np.empty(0)
             yield pa.RecordBatch.from_arrays(
@@ -288,7 +340,7 @@ def scores(texts: list[bytes], m: Model) -> np.ndarray:
     found = [np.empty(0)]
     for w in textvec.blocks(texts, textvec.ALPHANUMERIC, fold=True, prefix=STEM):
         c = Chains(w)
-        found.append(1 / (1 + np.exp(-(c.features(c.marginals(m)) @ m.score))))
+        found.append(probability(c.features(c.marginals(m)) @ m.score))
     return np.concatenate(found)
 
 

@@ -255,6 +255,41 @@ def test_held_out_accuracy_and_spans(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if not r.predicted}
 
 
+def ranks_above(scores, toxic):
+    """Share of the pairs of a toxic and a clean document whose toxic one scores higher; ties count half."""
+    gaps = np.subtract.outer(scores[toxic > 0], scores[toxic == 0])
+    return ((gaps > 0) + 0.5 * (gaps == 0)).mean()
+
+
+SUFFIXES = "pa le on vi ch an ou ment er ie pf st au ein tz".split()
+
+
+@pytest.mark.parametrize("bad, clean", [("vile grim foul nasty rotten mean cruel dumb".split(), []),
+                                        ([f"lousybad{e}" for e in SUFFIXES], [f"lous{e}" for e in SUFFIXES])])
+def test_few_labels_rank_held_out_documents(spark, bad, clean):
+    """45 labelled documents; a telling word is in few of them, or shares more than four bytes with others only."""
+    rnd = random.Random(4)
+    rows, truth = [], {}
+    folds = sorted(range(500), key=lambda i: zlib.crc32(str(i).encode()) % 5 == 0)
+    for i in folds[:45] + folds[-80:]:
+        words = [f"{rnd.choice('abcdefgh')}{rnd.choice('xyz')}{rnd.randint(0, 40)}" for _ in range(rnd.randint(5, 200))]
+        truth[i] = int(rnd.random() < 0.25)
+        for _ in range(6):
+            words.insert(rnd.randrange(len(words)), rnd.choice(bad if truth[i] else clean or words))
+        rows.append((i, " ".join(words)))
+    marks = spark.createDataFrame(list(truth.items()), "doc_id long, toxic int")
+    got = [r for r in toxicity.toxicity(frame(spark, rows), marks).collect() if r.held_out]
+    assert len(got) == 80
+    assert ranks_above(np.array([r.score for r in got]), np.array([truth[r.doc_id] for r in got])) > 0.9
+
+
+def test_score_does_not_fall_with_the_features():
+    rnd = np.random.default_rng(3)
+    x = np.column_stack([np.ones(60), rnd.normal(size=(60, 3))])
+    for y in ((rnd.random(60) < 0.5) * 1.0, (x[:, 1] < 0) * 1.0, (x[:, 2] > 0) * 1.0):
+        assert np.isfinite(b := toxicity.document_weights(x, y)).all() and (b[1:] >= 0).all()
+
+
 def test_without_labels_nothing_is_toxic(spark):
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.predicted for r in toxicity.toxicity(frame(spark, DOCS), marks).collect()] == [0] * len(DOCS)
