@@ -101,15 +101,17 @@ def fingerprint_edits(docs: DataFrame, text_col: str = "text", id_col: str = "do
     keys = rows.select(F.col("doc_id").alias("_id"), digest.alias("_hash"), key.alias("key"),
                        F.char_length("text").cast("long").alias("n")).distinct()
     ring = staged(docs.sparkSession, neighbours(keys), "fingerprint-ring")
-    placed = rows.withColumn("key", key).join(ring, "key")
+    rows = rows.withColumn("key", key)
+    placed = rows.join(ring.select("key", "prev_key", "prev_n"), "key")
 
     head = F.expr("left(text, int(prev_n div 3))")
+    # Grouped by the own key, whose order the join has left, so nothing is sorted for it.
     sent = (with_sketch(placed, "text", "next_sketch")
-            .select(F.col("prev_key").alias("key"),
-                    F.struct(head.alias("head"), "next_sketch", digest.alias("digest"),
-                             F.col("doc_id").alias("doc_id")).alias("_sent")))
-    sent = sent.groupBy("key").agg(F.first("_sent").alias("next"))
-    both = with_sketch(placed.join(sent, "key"), "text", "sketch")
+            .select("key", "prev_key", F.struct(head.alias("head"), "next_sketch", digest.alias("digest"),
+                                                F.col("doc_id").alias("doc_id")).alias("_sent"))
+            .groupBy("key").agg(F.first("prev_key").alias("_to"), F.first("_sent").alias("next"))
+            .select(F.col("_to").alias("key"), "next"))
+    both = with_sketch(rows.join(sent, "key"), "text", "sketch").withColumn("n", F.char_length("text").cast("long"))
     both = both.withColumn("edited", F.concat(F.expr("left(text, int(n - n div 3))"), "next.head"))
     both = with_sketch(both, "edited", "edited_sketch")
     return both.select(

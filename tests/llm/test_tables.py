@@ -81,6 +81,17 @@ def test_written_shards_keep_all_columns(spark, tmp_path):
     assert {r[0] for r in back.select("`a.b`").distinct().collect()} == {"dot"}
 
 
+def test_texts_are_joined_and_sorted_once_for_each_direction(spark):
+    """Own texts meet the ring once and what the next document sends once; the sent rows are not sorted before they move."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = fingerprint.fingerprint_edits(frame(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin [") == 2 and plan.count("- Sort [") == 4
+
+
 def test_edited_texts_and_fingerprints(spark):
     rows = [r for r in DOCS]
     got = fingerprint.fingerprint_edits(frame(spark, rows)).collect()
