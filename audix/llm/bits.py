@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from audix.llm.common import releasing
+
 #: Bits of a table (2 MB).
 BITS = 1 << 24
 
@@ -36,6 +38,7 @@ def with_bit(rows: DataFrame, bits: np.ndarray, value: bool) -> DataFrame:
     table = rows.sparkSession.sparkContext.broadcast(bits)
     at = rows.columns.index("_hash")
 
+    @releasing
     def run(batches):
         for batch in batches:
             hashes = batch.column(at).to_numpy(zero_copy_only=False)

@@ -33,6 +33,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from audix.llm.common import releasing
+
 NONE = np.int64(1) << 62
 #: Longest match, in bytes, that is merged together with others.
 WIDE = 64
@@ -43,7 +45,7 @@ REMEMBERED = 200_000
 #: Characters of a text that are split at a time.
 STRETCH = 1 << 18
 #: Characters whose matches are encoded together.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 18
 
 _cut = regex.compile(r"(?<=\S)\s")
 
@@ -261,6 +263,7 @@ def encode_texts(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
+    @releasing
     def run(batches):
         bpe = coder(rank_file, pattern)
         for batch in batches:

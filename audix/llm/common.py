@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import json
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,29 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, for ``mapInArrow``, so that memory Arrow has no more use for goes back to the system.
+
+    Arrow's pool otherwise keeps what batches took. Python workers outlive their task, so that
+    an executor's idle workers would hold it through the stages that follow.
+    """
+    @functools.wraps(run)
+    def released(batches):
+        pool = pa.default_memory_pool()
+
+        def given():
+            for batch in batches:
+                yield batch
+                pool.release_unused()
+
+        try:
+            yield from run(given())
+        finally:
+            pool.release_unused()
+
+    return released
+
+
 def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A small driver-side list as a relation without Python or RDD nodes."""
     js = json.dumps(rows).replace("\\", "\\\\").replace("'", "\\'")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.common import join_counted, staged
+from audix.llm.common import join_counted, releasing, staged
 
 #: Edges that a task contracts together.
 HELD = 1 << 20
@@ -36,6 +36,7 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
 
 
+@releasing
 def _contract(batches):
     held, size = [], 0
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from audix.llm import textvec
-from audix.llm.common import staged
+from audix.llm.common import releasing, staged
 
 ERROR_RATE = 0.08
 #: Item text that is sent to the executors at a time.
@@ -214,6 +214,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", error_
             before.destroy()
         before = shared = docs.sparkSession.sparkContext.broadcast(block)
 
+        @releasing
         def run(batches, shared=shared):
             matcher = _matcher(shared.value, error_rate)
             for batch in textvec.small_batches(batches):

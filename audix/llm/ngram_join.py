@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from audix.llm import textvec
 from audix.llm.bits import bit_table, is_set, with_bit
-from audix.llm.common import join_counted, quoted, staged
+from audix.llm.common import join_counted, quoted, releasing, staged
 from audix.llm.components import components
 
 SHINGLE = 5
@@ -89,6 +89,7 @@ def _class(bounds: np.ndarray, grams: np.ndarray) -> list[np.ndarray]:
     return [_sums(bounds, grams).view(np.int64), _sums(bounds, textvec.mix(grams)).view(np.int64), np.diff(bounds)]
 
 
+@releasing
 def _describe(batches):
     for batch in textvec.small_batches(batches):
         done = 0
@@ -110,6 +111,7 @@ def _sets_of(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
     """c1, c2, n and shingles of the rows whose class has its bit set."""
     table = rows.sparkSession.sparkContext.broadcast(wanted)
 
+    @releasing
     def run(batches):
         bits = table.value
         for batch in textvec.small_batches(batches):
@@ -133,6 +135,7 @@ def _bounded(sets: DataFrame) -> DataFrame:
     table = sets.sparkSession.sparkContext.broadcast(bit_table(shared, SHARED_BITS))
     at = sets.columns.index("shingles")
 
+    @releasing
     def run(batches):
         for batch in batches:
             lists = batch.column(at)
@@ -182,6 +185,7 @@ def _links(cids: np.ndarray, block: np.ndarray, pair: tuple[int, int], sets: lis
         label = new
 
 
+@releasing
 def _products(batches):
     """Rows sorted by (family, i, j): the links of each group."""
     held, key = [], None

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm import textvec
+from audix.llm.common import releasing
 
 BUCKETS = 1 << 18
 SEGMENT = 64
@@ -299,6 +300,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, text_col: str = "text",
 
 def train(sample: DataFrame) -> Model:
     """Fit on a bounded sample inside one task; the driver receives the weights only."""
+    @releasing
     def run(batches):
         texts, toxic = [], []
         for batch in batches:
@@ -349,6 +351,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_co
     shared = docs.sparkSession.sparkContext.broadcast(train(sample_labelled(docs, labels, text_col, id_col)))
     at = docs.columns.index(text_col)
 
+    @releasing
     def run(batches):
         for batch in textvec.small_batches(batches):
             keep = scores(textvec.raw_texts(batch.column(at)), shared.value) < 0.5

@@ -1,5 +1,9 @@
 import hashlib
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -56,3 +60,46 @@ def test_ids_and_bytes_as_tables(spark):
     ids = bpe.encode_texts(frame(spark), RANKS, public_tokenizers.PATTERN)
     back = bpe.decode_ids(ids, RANKS, public_tokenizers.PATTERN).collect()
     assert sorted(bytes(r.decoded) for r in back) == sorted((t or "").encode() for _, t in DOCS)
+
+
+#: Runs a task's function in a process of its own over batches made as they are asked for, then tells the MB that Arrow's pool
+#: holds without use.
+IDLE = r"""
+import random, re, sys
+import pyarrow as pa
+from pathlib import Path
+from audix.llm import bpe, ngram_join
+import public_tokenizers
+
+class Docs:  # hands out the function that Spark would run
+    schema = {"doc_id": type("Field", (), {"dataType": type("Type", (), {"simpleString": staticmethod(lambda: "bigint")})})}
+    select = lambda self, *columns: self
+    mapInArrow = lambda self, run, schema: run
+
+def anon():
+    return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+text = "the words of a long text " * 120
+def batches(before):  # the text comes after so many other columns
+    for _ in range(3):
+        yield pa.RecordBatch.from_arrays([*(pa.array([0] * 5_000) for _ in range(before)), pa.array([text] * 5_000)],
+                                         [str(i) for i in range(before + 1)])
+
+bpe.F.col = lambda name: type("Column", (), {"alias": lambda self, name: self})()
+run = {"bpe": (bpe.encode_texts(Docs(), bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN, decode=True), 1),
+       "shingles": (ngram_join._describe, 3)}[sys.argv[1]]
+rows = sum(b.num_rows for b in run[0](batches(run[1])))
+held = anon()
+pa.default_memory_pool().release_unused()
+print(rows, held - anon())
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory is read from /proc")
+@pytest.mark.parametrize("task", ["bpe", "shingles"])
+def test_an_idle_worker_gives_back_the_memory_of_its_batches(task):
+    root = str(Path(__file__).parents[2])
+    said = subprocess.run([sys.executable, "-c", IDLE, task], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True,
+                          text=True, check=True).stdout.split()
+    assert int(said[-2]) == 15_000
+    assert float(said[-1]) < 15
