@@ -30,17 +30,18 @@ from pyspark.sql import functions as F
 
 from audix.llm import textvec
 from audix.llm.bits import bit_table, is_set
-from audix.llm.common import join_counted, staged
+from audix.llm.common import join_counted, releasing, staged
 
 #: Suffixes of a route, on average, and the count from which a leading word is heavy.
-ROUTE, HEAVY = 1 << 20, 1 << 17
+ROUTE, HEAVY = 1 << 18, 1 << 17
 ROUTES = 64
 #: Suffixes merged together in a task; words counted in a task before they are handed on.
-HELD, WORDS_HELD = 1 << 19, 1 << 17
+HELD, WORDS_HELD = 1 << 18, 1 << 17
 #: Largest part that is ordered at once.
 SMALL = 1 << 16
 #: Unknown-language label of null.
 NO_LANG = "und"
+PHRASES = pa.schema([(name, pa.int64()) for name in ("k1", "k2", "k3", "f")])
 
 _bytes = np.arange(256)
 #: Bytes that end a piece: . , ; : ! ? and line breaks.
@@ -71,6 +72,7 @@ def _merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return key[first], lang[first], word[first], np.add.reduceat(n, np.flatnonzero(first))
 
 
+@releasing
 def _count_words(batches):
     held, size = [], 0
 
@@ -168,6 +170,7 @@ def _route_suffixes(heavy, routes: int):
         return pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())],
                                           ["route", "packed"])
 
+    @releasing
     def run(batches):
         held, size = [], 0
         for w, key, _, _ in _blocks(batches):
@@ -188,7 +191,7 @@ def _route_suffixes(heavy, routes: int):
     return run
 
 
-def _unpack(data: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+def _unpack(data: list[pa.Buffer]) -> tuple[list[np.ndarray], np.ndarray]:
     keys, n = ([], [], []), []
     for b in data:
         m = len(b) // 28
@@ -198,7 +201,7 @@ def _unpack(data: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     return [np.concatenate(k) for k in keys], np.concatenate(n).astype(np.int64)
 
 
-def _count_route(data: list[bytes], least: int):
+def _count_route(data: list[pa.Buffer], least: int):
     """k1, k2, k3 (0: a pair) and f of the frequent phrases of a route."""
     keys, n = _unpack(data)
     weight = np.abs(n)
@@ -210,22 +213,15 @@ def _count_route(data: list[bytes], least: int):
             if len(at):
                 third = keys[2][at] if depth == 2 else np.zeros(len(at), np.uint64)
                 yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (keys[0][at], keys[1][at], third)),
-                                                  pa.array(f[f >= least])], ["k1", "k2", "k3", "f"])
+                                                  pa.array(f[f >= least])], schema=PHRASES)
 
 
 def _count_routes(least: int):
-    """Rows sorted by route."""
-    def run(batches):
-        route, held = None, []
-        for batch in batches:
-            for r, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if r != route and held:
-                    yield from _count_route(held, least)
-                    held = []
-                route = r
-                held.append(data)
-        if held:
-            yield from _count_route(held, least)
+    """A route's frequent phrases; a group goes to a worker by itself, so that no more than a route is held there or on its way."""
+    def run(route: pa.Table) -> pa.Table:
+        found = list(_count_route([x.as_buffer() for x in route.column("packed")], least))
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_batches(found, PHRASES)
     return run
 
 
@@ -242,8 +238,7 @@ def phrase_counts(docs: DataFrame, least: int, text_col: str = "text", lang_col:
     routes = max(ROUTES, math.ceil(total / ROUTE))
     heavy = spark.sparkContext.broadcast(bit_table(words.where(F.col("n") >= HEAVY).select("key")))
     routed = rows.mapInArrow(_route_suffixes(heavy, routes), "route bigint, packed binary")
-    phrases = (routed.repartition("route").sortWithinPartitions("route")
-               .mapInArrow(_count_routes(least), "k1 bigint, k2 bigint, k3 bigint, f bigint"))
+    phrases = routed.groupBy("route").applyInArrow(_count_routes(least), "k1 bigint, k2 bigint, k3 bigint, f bigint")
     return words, words.groupBy("lang").agg(F.sum("n").alias("n")), staged(spark, phrases, "phrases")
 
 

@@ -6,10 +6,12 @@ import math
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,34 @@ def test_quicksort_counts_and_abandons():
         assert got == {k: v for k, v in want.items() if v >= least}
 
 
+def most_held(run):
+    tracemalloc.start()
+    try:
+        found = run()
+        return found, tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_task_holds_one_route_and_few_suffixes():
+    """A route of average size, and the suffixes that a task merges before it hands them on."""
+    rnd, size = np.random.default_rng(5), collocations.ROUTE
+    keys = [rnd.integers(1, 1 << 63, size, dtype=np.uint64) for _ in range(3)]
+    weight = np.where(np.arange(size) % 4096, 1, 10).astype(np.int32)
+    packed = [pa.py_buffer(b"".join(x[at::8].tobytes() for x in (*keys, weight))) for at in range(8)]
+    found, held = most_held(lambda: list(collocations._count_route(packed, 10)))
+    assert sum(b.num_rows for b in found) == 2 * -(-size // 4096) and held < 40
+
+    class Heavy:
+        value = np.zeros(1 << 10, np.int64)
+
+    words = rnd.integers(0, 1 << 40, 1_100_000)
+    texts = [" ".join(map("{:x}".format, words[at:at + 200])) for at in range(0, len(words), 200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], ["lang", "text"])
+    rows, held = most_held(lambda: sum(len(x) for b in collocations._route_suffixes(Heavy, 7)(iter([batch])) for x in b.column(1).to_pylist()))
+    assert rows == 28 * (len(words) - len(texts)) and held < 90
+
+
 def test_collocations_of_empty_tables(spark):
     assert collocations.collocations(table11(spark, [])).collect() == []
     assert collocations.collocations(table11(spark, [("en", None), (None, " . , ")])).collect() == []
